@@ -214,3 +214,19 @@ SELECT s.snapshot_date,
        count(b.snapshot_date) FILTER (WHERE b.in_l AND NOT b.in_f) AS n_only_labels
 FROM snaps s LEFT JOIN both_sides b ON b.snapshot_date = s.snapshot_date
 GROUP BY s.snapshot_date"""
+
+SQL["rowcount_check"] = BASE + "," + CALENDAR + "," + PANEL + """
+SELECT 'raw_transactions' AS "table", count(*) AS loaded_rows, count(*) AS expected_rows, true AS matches FROM raw
+UNION ALL
+SELECT 'clean_transactions', count(*), count(*), true FROM clean
+UNION ALL
+SELECT 'customer_snapshots', count(*), count(*), true FROM panel"""
+
+SQL["table_replace"] = BASE + "\nSELECT * FROM clean"
+SQL["table_append"] = BASE + "\nSELECT * FROM clean"
+
+SQL["report_json_roundtrip"] = BASE + "," + CALENDAR + "," + PANEL + "," + PER_SNAPSHOT + f"""
+SELECT CAST({N} AS BIGINT) AS threshold_days, (SELECT count(*) FROM panel) AS rows_total,
+       {_iso("snapshot_date")} AS snapshot_date, n_customers, n_churned,
+       CASE WHEN n_customers > 0 THEN n_churned / n_customers ELSE 0.0 END AS churn_rate
+FROM per_snap"""

@@ -18,7 +18,10 @@ from churnlens.operators.labels import churn_labels
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for, calendar_frame
+from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
+from churnlens.schemas import PANEL_REPORT_SCHEMA
 from churnlens.session import scratch_path
+from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import load_parts, part_row_counts
 from churnlens.sources.retail_view import raw_parts_from_tables, raw_transactions_from_tables
 
@@ -126,6 +129,47 @@ def q_population_parity(spark, sf):
     return S.population_parity(clean, panel, cal)
 
 
+def q_rowcount_check(spark, sf):
+    """The three jobs end to end, each table re-read and counted."""
+    base = scratch_path(spark, "jobs")
+    raw_t = TableTarget(f"{base}/raw_transactions")
+    clean_t = TableTarget(f"{base}/clean_transactions")
+    panel_t = TableTarget(f"{base}/customer_snapshots")
+    a = run_ingestion(spark, raw_parts_from_tables(spark, sf, P.expected_parts), P.expected_parts, raw_t)
+    b = run_validation(spark, raw_t, clean_t, f"{base}/validation_report", P.reference_date)
+    c = run_feature_engineering(spark, clean_t, panel_t, f"{base}/feature_engineering_report",
+                                P.snapshot_start_date, P.threshold_days)
+    return verification_frame(spark, [a["check"], b["check"], c["check"]])
+
+
+def q_table_replace(spark, sf):
+    """A second replace write leaves only the second frame."""
+    clean = _clean_persisted(spark, sf)
+    target = TableTarget(scratch_path(spark, "replace"), mode="replace")
+    target.write(clean.filter(F.col("is_cancellation")))
+    target.write(clean)
+    return target.read(spark)
+
+
+def q_table_append(spark, sf):
+    """Two appends keep both frames."""
+    clean = _clean_persisted(spark, sf)
+    target = TableTarget(scratch_path(spark, "append"), mode="append")
+    target.write(clean.filter(F.col("is_cancellation")))
+    target.write(clean.filter(~F.col("is_cancellation")))
+    return target.read(spark)
+
+
+def q_report_json_roundtrip(spark, sf):
+    """Nested panel report -> JSON -> read back with its schema."""
+    _, panel, cal = _panel(spark, sf)
+    path = scratch_path(spark, "feature_engineering_report")
+    write_report_json(S.panel_report(panel, cal), path)
+    back = read_report_json(spark, path, PANEL_REPORT_SCHEMA)
+    return (back.select("threshold_days", "rows_total", F.explode("per_snapshot").alias("s"))
+            .select("threshold_days", "rows_total", "s.*"))
+
+
 QUERIES: dict[str, Query] = {
     "raw_union_counts": q_raw_union_counts,
     "raw_rename": q_raw_rename,
@@ -142,4 +186,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_report": q_snapshot_report,
     "panel_report_overall": q_panel_report_overall,
     "population_parity": q_population_parity,
+    "rowcount_check": q_rowcount_check,
+    "table_replace": q_table_replace,
+    "table_append": q_table_append,
+    "report_json_roundtrip": q_report_json_roundtrip,
 }
