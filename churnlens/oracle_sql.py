@@ -14,6 +14,9 @@ REF = P.reference_date
 START = P.snapshot_start_date
 N = P.threshold_days
 AS_OF = P.as_of_date
+TEST_START = P.test_start_date
+MIN_PRECISION = P.min_precision
+BINS = P.drift_bins
 
 RAW = """
 raw_base AS (
@@ -230,3 +233,117 @@ SELECT CAST({N} AS BIGINT) AS threshold_days, (SELECT count(*) FROM panel) AS ro
        {_iso("snapshot_date")} AS snapshot_date, n_customers, n_churned,
        CASE WHEN n_customers > 0 THEN n_churned / n_customers ELSE 0.0 END AS churn_rate
 FROM per_snap"""
+
+GAPS = """
+pts AS (SELECT DISTINCT customer_id, invoice_date AS ts FROM clean
+        WHERE NOT is_cancellation AND invoice_date IS NOT NULL),
+gaps AS (SELECT date_sub('day', lag(ts) OVER (PARTITION BY customer_id ORDER BY ts), ts) AS gap_days FROM pts)"""
+
+SQL["purchase_gap_percentile"] = BASE + "," + GAPS + """
+SELECT count(gap_days) AS n_gaps,
+       quantile_cont(gap_days, 0.5) AS median_gap_days,
+       quantile_cont(gap_days, 0.9) AS p90_gap_days,
+       avg(gap_days) AS mean_gap_days
+FROM gaps"""
+
+SQL["purchase_gap_histogram"] = BASE + "," + GAPS + """
+SELECT gap_days, count(*) AS n_gaps FROM gaps WHERE gap_days IS NOT NULL GROUP BY gap_days"""
+
+SQL["favourite_product"] = BASE + f""",
+cnt AS (SELECT customer_id, stock_code, count(*) AS n FROM clean
+        WHERE NOT is_cancellation AND stock_code IS NOT NULL AND invoice_date < TIMESTAMP '{AS_OF}'
+        GROUP BY customer_id, stock_code),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY n DESC, stock_code) AS rn FROM cnt)
+SELECT customer_id, stock_code AS favourite_stock_code, n AS favourite_lines FROM ranked WHERE rn = 1"""
+
+SPLIT = f"""
+sp AS (
+  SELECT *, CASE WHEN snapshot_date >= TIMESTAMP '{TEST_START}' THEN 'test'
+                 WHEN snapshot_date + INTERVAL {N} DAY <= TIMESTAMP '{TEST_START}' THEN 'train'
+                 ELSE 'embargo' END AS split
+  FROM panel)"""
+
+PANEL_SPLIT = BASE + "," + CALENDAR + "," + PANEL + "," + SPLIT
+
+SQL["temporal_split_counts"] = PANEL_SPLIT + """
+SELECT split, count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers,
+       count(DISTINCT snapshot_date) AS n_snapshots,
+       count(*) FILTER (WHERE is_churned) AS n_churned,
+       CAST(count(*) FILTER (WHERE is_churned) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS churn_rate
+FROM sp GROUP BY split"""
+
+CURVE = f""",
+scored AS (SELECT is_churned, CAST(recency_days AS DOUBLE) / (CAST(recency_days AS DOUBLE) + {float(N)}) AS score
+           FROM sp WHERE split = 'test'),
+hist AS (SELECT score, count(*) FILTER (WHERE is_churned) AS pos, count(*) AS n FROM scored GROUP BY score),
+cum AS (SELECT score, pos,
+               CAST(sum(pos) OVER w AS BIGINT) AS cum_pos, CAST(sum(n) OVER w AS BIGINT) AS cum_n
+        FROM hist WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+curve AS (
+  SELECT score, pos, cum_pos AS tp, cum_n - cum_pos AS fp,
+         CAST(cum_pos AS DOUBLE) / CAST(cum_n AS DOUBLE) AS precision,
+         CASE WHEN (SELECT sum(pos) FROM hist) > 0
+              THEN CAST(cum_pos AS DOUBLE) / CAST((SELECT sum(pos) FROM hist) AS DOUBLE) ELSE 0.0 END AS recall
+  FROM cum)"""
+
+SQL["pr_curve"] = PANEL_SPLIT + CURVE + "\nSELECT * FROM curve"
+
+SQL["recall_at_precision"] = PANEL_SPLIT + CURVE + f"""
+SELECT round(CASE WHEN sum(pos) > 0 THEN sum(CAST(pos AS DOUBLE) * precision) / CAST(sum(pos) AS DOUBLE)
+                  ELSE 0.0 END, 12) AS average_precision,
+       coalesce(max(recall) FILTER (WHERE precision >= {MIN_PRECISION}), 0.0) AS recall_at_precision,
+       CAST({MIN_PRECISION} AS DOUBLE) AS min_precision,
+       CAST(sum(pos) AS BIGINT) AS n_positive,
+       CAST(max(tp + fp) AS BIGINT) AS n_rows
+FROM curve"""
+
+_FEATS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in
+                   ["recency_days", "frequency", "monetary_total", "monetary_avg_order",
+                    "customer_tenure_days", "n_distinct_products", "return_rate"])
+_ON = ", ".join(["recency_days", "frequency", "monetary_total", "monetary_avg_order",
+                 "customer_tenure_days", "n_distinct_products", "return_rate"])
+
+LONG = f""",
+lf AS (UNPIVOT (SELECT split, {_FEATS} FROM sp) ON {_ON} INTO NAME feature VALUE value),
+base AS (SELECT feature, value FROM lf WHERE split = 'train' AND value IS NOT NULL),
+cur AS (SELECT feature, value FROM lf WHERE split = 'test' AND value IS NOT NULL)"""
+
+SQL["feature_drift_ks"] = PANEL_SPLIT + LONG + """,
+allv AS (SELECT feature, value, 1 AS nb, 0 AS nc FROM base UNION ALL SELECT feature, value, 0, 1 FROM cur),
+h AS (SELECT feature, value, sum(nb) AS nb, sum(nc) AS nc FROM allv GROUP BY feature, value),
+c AS (SELECT feature, sum(nb) OVER w AS cb, sum(nc) OVER w AS cc,
+             sum(nb) OVER (PARTITION BY feature) AS tb, sum(nc) OVER (PARTITION BY feature) AS tc
+      FROM h WINDOW w AS (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT feature, max(abs(CAST(cb AS DOUBLE) / CAST(tb AS DOUBLE) - CAST(cc AS DOUBLE) / CAST(tc AS DOUBLE))) AS ks_statistic,
+       CAST(max(tb) AS BIGINT) AS n_baseline, CAST(max(tc) AS BIGINT) AS n_current
+FROM c GROUP BY feature"""
+
+SQL["feature_drift_psi"] = PANEL_SPLIT + LONG + f""",
+bh AS (SELECT feature, value, count(*) AS n FROM base GROUP BY feature, value),
+ch AS (SELECT feature, value, count(*) AS n FROM cur GROUP BY feature, value),
+bc AS (SELECT feature, value,
+              sum(n) OVER (PARTITION BY feature ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_n,
+              sum(n) OVER (PARTITION BY feature) AS tot
+       FROM bh),
+qs AS (SELECT unnest(range(1, {BINS})) AS q),
+edges AS (SELECT DISTINCT feature, edge FROM (
+            SELECT bc.feature, q, min(bc.value) AS edge FROM bc, qs
+            WHERE bc.cum_n >= (q * bc.tot + {BINS} - 1) // {BINS} GROUP BY bc.feature, q)),
+bbin AS (SELECT h.feature, h.value, h.n, count(e.edge) AS bin FROM bh h
+         LEFT JOIN edges e ON e.feature = h.feature AND e.edge < h.value GROUP BY h.feature, h.value, h.n),
+cbin AS (SELECT h.feature, h.value, h.n, count(e.edge) AS bin FROM ch h
+         LEFT JOIN edges e ON e.feature = h.feature AND e.edge < h.value GROUP BY h.feature, h.value, h.n),
+bcount AS (SELECT feature, bin, sum(n) AS nb FROM bbin GROUP BY feature, bin),
+ccount AS (SELECT feature, bin, sum(n) AS nc FROM cbin GROUP BY feature, bin),
+counts AS (SELECT coalesce(b.feature, c.feature) AS feature, coalesce(b.bin, c.bin) AS bin,
+                  coalesce(b.nb, 0) AS nb, coalesce(c.nc, 0) AS nc
+           FROM bcount b FULL OUTER JOIN ccount c ON b.feature = c.feature AND b.bin = c.bin),
+tots AS (SELECT feature, sum(nb) AS tb, sum(nc) AS tc FROM counts GROUP BY feature),
+terms AS (
+  SELECT k.feature, t.tb, t.tc,
+         CASE WHEN nb = 0 THEN 1e-4 ELSE CAST(nb AS DOUBLE) / CAST(t.tb AS DOUBLE) END AS pb,
+         CASE WHEN nc = 0 THEN 1e-4 ELSE CAST(nc AS DOUBLE) / CAST(t.tc AS DOUBLE) END AS pc
+  FROM counts k JOIN tots t ON k.feature = t.feature)
+SELECT feature, round(sum((pc - pb) * ln(pc / pb)), 9) AS psi, count(*) AS n_bins_used,
+       CAST(max(tb) AS BIGINT) AS n_baseline, CAST(max(tc) AS BIGINT) AS n_current
+FROM terms GROUP BY feature"""

@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from churnlens.functions.columns import ntz
 from churnlens.operators import clean as C
 from churnlens.operators.features import customer_features, is_real, single_customer_features
+from churnlens.operators.drift import ks_statistic, psi
+from churnlens.operators.gaps import favourite_product, gap_histogram, gap_percentiles
 from churnlens.operators.labels import churn_labels
+from churnlens.operators.metrics import pr_curve, pr_summary, recency_baseline_score
+from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for, calendar_frame
@@ -170,6 +174,55 @@ def q_report_json_roundtrip(spark, sf):
             .select("threshold_days", "rows_total", "s.*"))
 
 
+def q_purchase_gap_percentile(spark, sf):
+    return gap_percentiles(gap_histogram(_clean(spark, sf)))
+
+
+def q_purchase_gap_histogram(spark, sf):
+    return gap_histogram(_clean(spark, sf))
+
+
+def q_favourite_product(spark, sf):
+    return favourite_product(_clean(spark, sf), P.as_of_date)
+
+
+def _split_panel(spark, sf):
+    _, panel, _ = _panel(spark, sf)
+    return temporal_split(panel, P.test_start_date, P.threshold_days)
+
+
+def q_temporal_split_counts(spark, sf):
+    return split_counts(_split_panel(spark, sf))
+
+
+def _baseline_curve(spark, sf):
+    test = _split_panel(spark, sf).filter(F.col("split") == "test")
+    return pr_curve(recency_baseline_score(test, P.threshold_days))
+
+
+def q_pr_curve(spark, sf):
+    return _baseline_curve(spark, sf)
+
+
+def q_recall_at_precision(spark, sf):
+    return pr_summary(_baseline_curve(spark, sf), P.min_precision)
+
+
+def _drift_sides(spark, sf):
+    sp = _split_panel(spark, sf)
+    return sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test")
+
+
+def q_feature_drift_psi(spark, sf):
+    base, cur = _drift_sides(spark, sf)
+    return psi(base, cur, P.drift_bins)
+
+
+def q_feature_drift_ks(spark, sf):
+    base, cur = _drift_sides(spark, sf)
+    return ks_statistic(base, cur)
+
+
 QUERIES: dict[str, Query] = {
     "raw_union_counts": q_raw_union_counts,
     "raw_rename": q_raw_rename,
@@ -190,4 +243,12 @@ QUERIES: dict[str, Query] = {
     "table_replace": q_table_replace,
     "table_append": q_table_append,
     "report_json_roundtrip": q_report_json_roundtrip,
+    "purchase_gap_percentile": q_purchase_gap_percentile,
+    "purchase_gap_histogram": q_purchase_gap_histogram,
+    "favourite_product": q_favourite_product,
+    "temporal_split_counts": q_temporal_split_counts,
+    "pr_curve": q_pr_curve,
+    "recall_at_precision": q_recall_at_precision,
+    "feature_drift_psi": q_feature_drift_psi,
+    "feature_drift_ks": q_feature_drift_ks,
 }
