@@ -17,6 +17,8 @@ from churnlens.operators.features import customer_features, is_real, single_cust
 from churnlens.operators.drift import ks_statistic, psi
 from churnlens.operators.gaps import favourite_product, gap_histogram, gap_percentiles
 from churnlens.operators.labels import churn_labels
+from churnlens.operators.model import batch_predictions, churn_probability, risk_level, train_churn_model
+from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
 from churnlens.operators.metrics import pr_curve, pr_summary, recency_baseline_score
 from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
@@ -114,6 +116,14 @@ def _panel(spark, sf):
     return clean, S.snapshot_panel(clean, cal), cal
 
 
+def _panel_persisted(spark, sf):
+    """The panel as downstream jobs see it: a written table, read back."""
+    clean, panel, cal = _panel(spark, sf)
+    path = scratch_path(spark, "customer_snapshots")
+    panel.write.mode("overwrite").parquet(path)
+    return clean, spark.read.parquet(path), cal
+
+
 def q_customer_snapshots(spark, sf):
     return _panel(spark, sf)[1]
 
@@ -187,7 +197,7 @@ def q_favourite_product(spark, sf):
 
 
 def _split_panel(spark, sf):
-    _, panel, _ = _panel(spark, sf)
+    _, panel, _ = _panel_persisted(spark, sf)
     return temporal_split(panel, P.test_start_date, P.threshold_days)
 
 
@@ -223,6 +233,48 @@ def q_feature_drift_ks(spark, sf):
     return ks_statistic(base, cur)
 
 
+# Size of the model trained by the registered checks; jobs default to the
+# configured n_estimators.
+CHECK_MODEL_ITERATIONS = 20
+
+
+def _trained(spark, sf):
+    sp = _split_panel(spark, sf)
+    train = sp.filter(F.col("split") == "train")
+    test = sp.filter(F.col("split") == "test")
+    model = train_churn_model(train, P.model_params, max_iter=CHECK_MODEL_ITERATIONS)
+    return model, train, test
+
+
+def q_train_and_score(spark, sf):
+    """D3 + D7: train on the train split, score every test row, band the risk."""
+    model, _, test = _trained(spark, sf)
+    scored = churn_probability(model, test)
+    return scored.select("customer_id", "snapshot_date", "churn_probability",
+                         risk_level(F.col("churn_probability"), P.risk_bands).alias("risk_level"),
+                         "is_churned")
+
+
+def q_shapley_contributions(spark, sf):
+    model, train, test = _trained(spark, sf)
+    return shapley_contributions(model, test, baseline_point(train))
+
+
+def q_global_importance(spark, sf):
+    model, train, test = _trained(spark, sf)
+    return global_importance(shapley_contributions(model, test, baseline_point(train)))
+
+
+def q_batch_predictions(spark, sf):
+    """Score the one-date features of every customer; append to the log."""
+    model, _, _ = _trained(spark, sf)
+    feats = customer_features(_clean_persisted(spark, sf), P.test_start_date)
+    preds = batch_predictions(model, feats, P.test_start_date, P.risk_bands)
+    target = TableTarget(scratch_path(spark, "predictions"), mode="append")
+    target.write(preds)
+    return target.read(spark)
+
+
 QUERIES: dict[str, Query] = {
     "raw_union_counts": q_raw_union_counts,
     "raw_rename": q_raw_rename,
@@ -251,4 +303,8 @@ QUERIES: dict[str, Query] = {
     "recall_at_precision": q_recall_at_precision,
     "feature_drift_psi": q_feature_drift_psi,
     "feature_drift_ks": q_feature_drift_ks,
+    "train_and_score": q_train_and_score,
+    "shapley_contributions": q_shapley_contributions,
+    "global_importance": q_global_importance,
+    "batch_predictions": q_batch_predictions,
 }
