@@ -33,7 +33,7 @@ def gbt_settings(model_params: dict, max_iter: int | None = None) -> dict:
         "maxIter": int(max_iter if max_iter is not None else model_params.get("n_estimators", 100)),
         "stepSize": float(model_params.get("learning_rate", 0.1)),
         "seed": int(model_params.get("random_state", 42)),
-        "maxDepth": max(1, math.ceil(math.log2(leaves + 1)) - 1) if leaves > 1 else 1,
+        "maxDepth": max(1, math.ceil(math.log2(leaves))) if leaves > 1 else 1,
         "lossType": "logistic",
     }
 
