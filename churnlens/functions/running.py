@@ -3,19 +3,36 @@
 A window ordered over a whole table with no partition key moves every row
 into one task. Here the ordered key is cut into value ranges (edges from
 ``percentile_approx``, a bounded sketch), each range is summed, the range
-offsets are accumulated over at most ``n_buckets`` rows per group, and
+offsets are accumulated over at most 2**levels rows per group, and
 each range is then accumulated in its own task. The result is exact
 whatever the edges are; the edges only balance the work.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def count_below(edges: Column, key: Column, levels: int) -> list[tuple[str, Column]]:
+    """Binary search: number of entries of the sorted ``edges`` (length
+    2**levels - 1) strictly below ``key``, as ``levels`` projection steps
+    of plain comparisons (whole-stage codegen, no lambda per element).
+    Returns (name, expression) steps; the last step's column is the answer.
+    """
+    steps = []
+    pos = F.lit(0)
+    for k in range(levels - 1, -1, -1):
+        step = 1 << k
+        name = f"_pos{k}"
+        probe = F.element_at(edges, pos + step)
+        steps.append((name, pos + F.when(probe < key, F.lit(step)).otherwise(F.lit(0))))
+        pos = F.col(name)
+    return steps
+
+
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], group_cols: list[str] | None = None,
-                   descending: bool = False, n_buckets: int = 64) -> DataFrame:
+                   descending: bool = False, levels: int = 6) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows at or before this one in order.
 
     ``df`` must hold one row per (group, order value): ties are summed
@@ -23,16 +40,20 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], group_col
     """
     group_cols = list(group_cols or [])
     key = F.col(order_col)
+    n_buckets = 1 << levels
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    # bounded: (n_buckets - 1) edges per group
+    # bounded: (n_buckets - 1) sorted edges per group
     edges = df.groupBy(*group_cols).agg(F.percentile_approx(key, probs, 10000).alias("_edges"))
     with_edges = df.join(F.broadcast(edges), group_cols, "inner") if group_cols else df.crossJoin(
         F.broadcast(edges))
     # ascending bucket = number of edges strictly below the value (monotone in value)
-    bucket = F.size(F.filter(F.col("_edges"), lambda e: e < key))
+    b = with_edges
+    for name, expr in count_below(F.col("_edges"), key, levels):
+        b = b.withColumn(name, expr)
+    bucket = F.col("_pos0")
     if descending:
         bucket = F.lit(n_buckets) - bucket
-    b = with_edges.withColumn("_bucket", bucket.cast("int")).drop("_edges")
+    b = b.withColumn("_bucket", bucket.cast("int")).drop("_edges", *[f"_pos{k}" for k in range(levels)])
 
     totals = b.groupBy(*group_cols, "_bucket").agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_off = Window.partitionBy(*group_cols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -40,7 +40,7 @@ def ks_statistic(baseline: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def baseline_bin_edges(baseline_long: DataFrame, n_bins: int) -> DataFrame:
-    """(feature, edges): distinct baseline quantile edges (inverted CDF).
+    """(feature, edges): the n_bins-1 baseline quantile edges (inverted CDF).
 
     Edge q is the smallest value whose cumulative count reaches
     ceil(q * n / n_bins), q = 1 .. n_bins-1.
@@ -51,7 +51,8 @@ def baseline_bin_edges(baseline_long: DataFrame, n_bins: int) -> DataFrame:
     run = running_totals(hist, "value", ["n"], group_cols=["feature"]).join(F.broadcast(totals), "feature")
     edges = [F.min(F.when(F.col("cum_n") >= F.expr(f"({q} * _N + {n_bins} - 1) div {n_bins}"),
                           F.col("value"))) for q in range(1, n_bins)]
-    return run.groupBy("feature").agg(F.array_sort(F.array_distinct(F.array(*edges))).alias("edges"))
+    # q-ordered edges are already ascending; duplicates are kept (fixed length)
+    return run.groupBy("feature").agg(F.array(*edges).alias("edges"))
 
 
 def psi(baseline: DataFrame, current: DataFrame, n_bins: int = 10, digits: int = 9) -> DataFrame:
@@ -60,7 +61,10 @@ def psi(baseline: DataFrame, current: DataFrame, n_bins: int = 10, digits: int =
     edges = F.broadcast(baseline_bin_edges(base_long, n_bins))  # <= n_bins-1 values per feature
 
     def binned(df: DataFrame, side: str) -> DataFrame:
-        b = F.size(F.filter(F.col("edges"), lambda e: e < F.col("value")))
+        # bin = number of edges below the value; equal edges leave a gap in
+        # the numbering but cut the values the same way
+        b = sum(F.when(F.element_at(F.col("edges"), i) < F.col("value"), F.lit(1)).otherwise(F.lit(0))
+                for i in range(1, n_bins))
         return df.join(edges, "feature").groupBy("feature", b.alias("bin")).agg(
             F.count(F.lit(1)).alias(side))
 

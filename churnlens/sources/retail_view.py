@@ -33,13 +33,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataF
 def _raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    # nation is the fixed 25-row dimension; broadcasting it is size-proven.
-    nation = F.broadcast(_read(spark, sf_dir, "nation", ["n_nationkey", "n_name"]))
+    # Join strategies are left to the planner: it broadcasts a side only when
+    # its measured size is under spark.sql.autoBroadcastJoinThreshold, and
+    # AQE re-decides from runtime sizes (and splits skewed partitions).
+    nation = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
     lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"])
     part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
 
     # Order-level attributes first (orders is ~1/4 of lineitem), then the
-    # line-level joins. Catalyst/AQE pick the physical strategies.
+    # line-level joins.
     order_side = (orders
                   .join(customer, orders.o_custkey == customer.c_custkey)
                   .join(nation, F.col("c_nationkey") == nation.n_nationkey)

@@ -49,7 +49,7 @@ def test_running_totals_exact(spark, descending):
     rnd = random.Random(7)
     data = [(g, float(v), rnd.randint(0, 5)) for g in ["x", "y"] for v in rnd.sample(range(10000), 700)]
     df = spark.createDataFrame(data, "g string, v double, w long")
-    out = running_totals(df, "v", ["w"], group_cols=["g"], descending=descending, n_buckets=16).toPandas()
+    out = running_totals(df, "v", ["w"], group_cols=["g"], descending=descending, levels=4).toPandas()
     pdf = pd.DataFrame(data, columns=["g", "v", "w"]).sort_values(["g", "v"], ascending=[True, not descending])
     pdf["want"] = pdf.groupby("g")["w"].cumsum()
     m = out.merge(pdf, on=["g", "v", "w"])
