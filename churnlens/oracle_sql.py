@@ -347,3 +347,14 @@ terms AS (
 SELECT feature, round(sum((pc - pb) * ln(pc / pb)), 9) AS psi, count(*) AS n_bins_used,
        CAST(max(tb) AS BIGINT) AS n_baseline, CAST(max(tc) AS BIGINT) AS n_current
 FROM terms GROUP BY feature"""
+
+SQL["confusion_counts"] = PANEL_SPLIT + f""",
+scored AS (SELECT is_churned, CAST(recency_days AS DOUBLE) / (CAST(recency_days AS DOUBLE) + {float(N)}) AS score
+           FROM sp WHERE split = 'test')
+SELECT count(*) FILTER (WHERE score >= 0.5 AND is_churned) AS tp,
+       count(*) FILTER (WHERE score >= 0.5 AND NOT is_churned) AS fp,
+       count(*) FILTER (WHERE score < 0.5 AND is_churned) AS fn,
+       count(*) FILTER (WHERE score < 0.5 AND NOT is_churned) AS tn
+FROM scored"""
+
+SQL["customer_snapshots_range"] = SQL["customer_snapshots"]

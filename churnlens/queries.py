@@ -19,7 +19,7 @@ from churnlens.operators.gaps import favourite_product, gap_histogram, gap_perce
 from churnlens.operators.labels import churn_labels
 from churnlens.operators.model import batch_predictions, churn_probability, risk_level, train_churn_model
 from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
-from churnlens.operators.metrics import pr_curve, pr_summary, recency_baseline_score
+from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary, recency_baseline_score
 from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
@@ -275,6 +275,36 @@ def q_batch_predictions(spark, sf):
     return target.read(spark)
 
 
+def q_streaming_predictions(spark, sf):
+    """D7 as a stream: feature batches for two dates arrive as files and are
+    scored micro-batch by micro-batch into the append-only log."""
+    from churnlens.streaming.scoring import read_prediction_log, start_prediction_stream
+
+    model, _, _ = _trained(spark, sf)
+    clean = _clean_persisted(spark, sf)
+    base = scratch_path(spark, "prediction_stream")
+    for i, day in enumerate([P.as_of_date, P.test_start_date]):
+        feats = customer_features(clean, day).withColumn("as_of_date", ntz(day))
+        feats.write.mode("overwrite").parquet(f"{base}/features/part_{i}")
+    q = start_prediction_stream(spark, model, f"{base}/features/*", f"{base}/log", f"{base}/checkpoint",
+                                P.risk_bands, max_files_per_trigger=1)
+    q.awaitTermination()
+    return read_prediction_log(spark, f"{base}/log").drop("batch_id", "scored_at")
+
+
+def q_confusion_counts(spark, sf):
+    """Confusion counts of the baseline score at 0.5 on the test split."""
+    test = _split_panel(spark, sf).filter(F.col("split") == "test")
+    return confusion_at(recency_baseline_score(test, P.threshold_days), 0.5)
+
+
+def q_customer_snapshots_range(spark, sf):
+    """U14 by the range-join plan (same rows as the bucketed plan)."""
+    clean = _clean_persisted(spark, sf)
+    cal = calendar_for(clean, P.snapshot_start_date, P.threshold_days)
+    return S.snapshot_panel_range(clean, cal)
+
+
 QUERIES: dict[str, Query] = {
     "raw_union_counts": q_raw_union_counts,
     "raw_rename": q_raw_rename,
@@ -307,4 +337,7 @@ QUERIES: dict[str, Query] = {
     "shapley_contributions": q_shapley_contributions,
     "global_importance": q_global_importance,
     "batch_predictions": q_batch_predictions,
+    "streaming_predictions": q_streaming_predictions,
+    "confusion_counts": q_confusion_counts,
+    "customer_snapshots_range": q_customer_snapshots_range,
 }

@@ -43,7 +43,7 @@ def test_every_registered_query_has_an_oracle_or_is_model_based():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     assert set(q) - set(s) == {"train_and_score", "shapley_contributions", "global_importance",
-                               "batch_predictions"}
+                               "batch_predictions", "streaming_predictions"}
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
