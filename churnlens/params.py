@@ -1,6 +1,6 @@
 """Job parameters.
 
-The defaults are the reference configuration's values; SYNTHETIC_PARAMS
+The defaults are the original job configuration's values; SYNTHETIC_PARAMS
 re-aims the dates at the generated test tables (orders 1995-2001).
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 
-# Fixed values that must equal the reference configuration.
+# Fixed values that must equal the original job configuration.
 DEFAULT_THRESHOLD_DAYS = 134
 DEFAULT_REFERENCE_DATE = "2011-12-10"
 DEFAULT_SNAPSHOT_START = "2010-01-01"
