@@ -41,13 +41,15 @@ def _raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
 
     # Order-level attributes first (orders is ~1/4 of lineitem), then the
-    # line-level joins.
+    # line-level joins. lineitem x orders is fact-to-fact: it is always a
+    # shuffle join, never a broadcast of either side; orders is the hash
+    # build side (unique keys, so every partition's table is the same size).
     order_side = (orders
                   .join(customer, orders.o_custkey == customer.c_custkey)
                   .join(nation, F.col("c_nationkey") == nation.n_nationkey)
                   .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
     lines = (lineitem
-             .join(order_side, lineitem.l_orderkey == order_side.o_orderkey)
+             .join(order_side.hint("shuffle_hash"), lineitem.l_orderkey == order_side.o_orderkey)
              .join(part, lineitem.l_partkey == part.p_partkey))
 
     k = F.col("o_orderkey")
