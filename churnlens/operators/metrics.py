@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.running import running_totals
+from churnlens.session import materialize
 
 
 def recency_baseline_score(panel: DataFrame, threshold_days: int) -> DataFrame:
@@ -22,9 +23,9 @@ def recency_baseline_score(panel: DataFrame, threshold_days: int) -> DataFrame:
 
 def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "is_churned") -> DataFrame:
     """(score, pos, tp, fp, precision, recall) per distinct score, highest first."""
-    hist = scored.groupBy(F.col(score_col).alias("score")).agg(
+    hist = materialize(scored.groupBy(F.col(score_col).alias("score")).agg(
         F.count_if(F.col(label_col)).cast("bigint").alias("pos"),
-        F.count(F.lit(1)).cast("bigint").alias("n"))
+        F.count(F.lit(1)).cast("bigint").alias("n")))
     run = running_totals(hist, "score", ["pos", "n"], descending=True)
     total = hist.agg(F.sum("pos").cast("double").alias("_P"))
     tp = F.col("cum_pos")

@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df):
+    """Cut lineage: a reliable checkpoint in the shared folder (eager).
+
+    Used where one intermediate feeds several branches of a plan, so it is
+    computed once instead of once per branch, and a lost executor replays
+    from the checkpoint files rather than from the sources.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
