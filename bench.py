@@ -42,6 +42,9 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", int(cpus) * 2, app_name="churnlens-bench", extra={
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
         "spark.ui.showConsoleProgress": "false",
+        # small-data local run: let AQE keep shuffles spread over all cores
+        # (on a cluster: parallelismFirst=false and a ~128 MB advisory size)
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="churnlens-bench-ckpt-"),
     })
     # warm the JVM (class loading, codegen caches) on the smallest tables
