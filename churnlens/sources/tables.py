@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,20 +42,54 @@ class TableTarget:
         return {"path": self.path, "mode": self.mode, "format": self.fmt}
 
     def write(self, df: DataFrame) -> None:
+        """Replace: the new table is written completely to a staging path next
+        to the target and only then swapped in, so readers never see a
+        half-written table and a frame read from the target itself can
+        replace it. Append: tasks add files to the table in parallel.
+        """
         if not isinstance(df, DataFrame):
             raise TypeError(f"TableTarget.write expects a pyspark DataFrame, got {type(df).__name__}")
+        if self.mode == "append":
+            self._writer(df).mode("append").save(self.path)
+            return
+        staging = f"{self.path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
+        self._writer(df).mode("errorifexists").save(staging)
+        fs, jpath = _hadoop_path(df.sparkSession, self.path)
+        _, jstaging = _hadoop_path(df.sparkSession, staging)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
+        if not fs.rename(jstaging, jpath):
+            raise OSError(f"could not move {staging} to {self.path}")
+
+    def _writer(self, df: DataFrame):
         writer = df.write.format(self.fmt)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.mode("overwrite" if self.mode == "replace" else "append").save(self.path)
+        return writer
+
+    def exists(self, spark: SparkSession) -> bool:
+        fs, jpath = _hadoop_path(spark, self.path)
+        return bool(fs.exists(jpath))
 
     def read(self, spark: SparkSession) -> DataFrame:
+        """Whole table. A table never written reads as empty when its schema
+        is declared (the schema is kept), else it is an error."""
+        if self.schema is not None and not self.exists(spark):
+            return spark.createDataFrame([], self.schema)
         reader = spark.read.format(self.fmt)
         if self.schema is not None:
             reader = reader.schema(self.schema)
         return reader.load(self.path)
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """(FileSystem, Path) for a table location, through the session's Hadoop
+    configuration, so the same code works on local disk, HDFS or object stores."""
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
 def write_report_json(report: DataFrame, path: str) -> None:
     """A report is a one-row frame (structs and arrays of structs)."""
     report.coalesce(1).write.mode("overwrite").json(path)

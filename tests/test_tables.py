@@ -111,3 +111,17 @@ def test_report_json_round_trip(spark):
                                            "has_future_invoice_date": 0}}], VALIDATION_REPORT_SCHEMA)
     write_report_json(df, p)
     assert read_report_json(spark, p, VALIDATION_REPORT_SCHEMA).collect() == df.collect()
+
+
+def test_replace_from_its_own_table(spark):
+    t = TableTarget(path())
+    t.write(frame(spark, 6))
+    t.write(t.read(spark).filter(F.col("customer_id") <= 2))
+    assert sorted(r["customer_id"] for r in t.read(spark).collect()) == [1, 2]
+
+
+def test_missing_table_with_schema_reads_empty(spark):
+    from churnlens.schemas import SNAPSHOT_SCHEMA
+    t = TableTarget(path() + "/never_written", schema=SNAPSHOT_SCHEMA)
+    back = t.read(spark)
+    assert back.count() == 0 and back.schema == SNAPSHOT_SCHEMA
