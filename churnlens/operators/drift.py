@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.functions.columns import round_significant
 from churnlens.functions.running import running_totals
 from churnlens.session import materialize
 from churnlens.schemas import FEATURE_COLUMNS
@@ -80,3 +81,39 @@ def psi(baseline: DataFrame, current: DataFrame, n_bins: int = 10, digits: int =
             .agg(F.round(F.sum(term), digits).alias("psi"), F.count(F.lit(1)).alias("n_bins_used"))
             .select("feature", "psi", F.col("n_bins_used").cast("bigint"),
                     F.col("n_baseline").cast("bigint"), F.col("n_current").cast("bigint")))
+
+
+def summary_drift(baseline: DataFrame, current: DataFrame, digits: int = 10) -> DataFrame:
+    """(feature, mean/stddev/null-rate of both batches and their deltas).
+
+    One grouped aggregate over the long form of both batches; a missing
+    value is NULL or NaN. Float moments are rounded to ``digits``
+    significant digits, as their last bits depend on summation order.
+    """
+    def long_all(df: DataFrame, side: str) -> DataFrame:
+        wide = df.select(*[F.col(c).cast("double").alias(c) for c in FEATURE_COLUMNS])
+        return wide.unpivot([], list(FEATURE_COLUMNS), "feature", "value").withColumn("side", F.lit(side))
+
+    both = long_all(baseline, "b").unionByName(long_all(current, "c"))
+    v = F.col("value")
+    missing = v.isNull() | F.isnan(v)
+    aggs = []
+    for side in ("b", "c"):
+        on = F.col("side") == side
+        x = F.when(on & ~missing, v)
+        aggs += [
+            F.avg(x).alias(f"mean_{side}"),
+            F.stddev_samp(x).alias(f"std_{side}"),
+            (F.count_if(on & missing).cast("double") / F.count_if(on).cast("double")).alias(f"null_rate_{side}"),
+        ]
+    out = both.groupBy("feature").agg(*aggs)
+    r = lambda c: round_significant(c, digits)
+    return out.select(
+        "feature",
+        r(F.col("mean_b")).alias("mean_baseline"), r(F.col("mean_c")).alias("mean_current"),
+        r(F.col("mean_c") - F.col("mean_b")).alias("mean_delta"),
+        r(F.col("std_b")).alias("std_baseline"), r(F.col("std_c")).alias("std_current"),
+        r(F.col("std_c") - F.col("std_b")).alias("std_delta"),
+        F.col("null_rate_b").alias("null_rate_baseline"), F.col("null_rate_c").alias("null_rate_current"),
+        (F.col("null_rate_c") - F.col("null_rate_b")).alias("null_rate_delta"),
+    )

@@ -358,3 +358,40 @@ SELECT count(*) FILTER (WHERE score >= 0.5 AND is_churned) AS tp,
 FROM scored"""
 
 SQL["customer_snapshots_range"] = SQL["customer_snapshots"]
+
+_UNION_LONG = " UNION ALL ".join(
+    f"SELECT split, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM sp" for c in
+    ["recency_days", "frequency", "monetary_total", "monetary_avg_order", "customer_tenure_days",
+     "n_distinct_products", "return_rate"])
+
+_ALL_LONG = f""",
+lfa AS ({_UNION_LONG}),
+bsa AS (SELECT feature, value, 'b' AS side FROM lfa WHERE split = 'train'
+        UNION ALL SELECT feature, value, 'c' AS side FROM lfa WHERE split = 'test'),
+mom AS (
+  SELECT feature,
+    avg(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND NOT isnan(value)) AS mb,
+    avg(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND NOT isnan(value)) AS mc,
+    stddev_samp(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND NOT isnan(value)) AS sb,
+    stddev_samp(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND NOT isnan(value)) AS sc,
+    CAST(count(*) FILTER (WHERE side = 'b' AND (value IS NULL OR isnan(value))) AS DOUBLE)
+      / CAST(count(*) FILTER (WHERE side = 'b') AS DOUBLE) AS nb,
+    CAST(count(*) FILTER (WHERE side = 'c' AND (value IS NULL OR isnan(value))) AS DOUBLE)
+      / CAST(count(*) FILTER (WHERE side = 'c') AS DOUBLE) AS nc
+  FROM bsa GROUP BY feature)"""
+
+
+
+def _sig(x: str, digits: int = 10) -> str:
+    """Same significant-digit rounding as functions.columns.round_significant."""
+    x = f"({x})"
+    p = f"pow(10.0, floor(log10(abs({x}))))"
+    return (f"CASE WHEN {x} IS NULL OR {x} = 0 OR isnan({x}) THEN {x} "
+            f"ELSE round({x} / {p}, {digits - 1}) * {p} END")
+
+
+SQL["feature_drift_summary"] = PANEL_SPLIT + _ALL_LONG + f"""
+SELECT feature, {_sig("mb")} AS mean_baseline, {_sig("mc")} AS mean_current, {_sig("mc - mb")} AS mean_delta,
+       {_sig("sb")} AS std_baseline, {_sig("sc")} AS std_current, {_sig("sc - sb")} AS std_delta,
+       nb AS null_rate_baseline, nc AS null_rate_current, nc - nb AS null_rate_delta
+FROM mom"""

@@ -24,9 +24,10 @@ log = logging.getLogger(__name__)
 
 
 def run_ingestion(spark: SparkSession, parts: Mapping[str, object], expected: tuple[str, ...],
-                  raw_target: TableTarget, fmt: str = "parquet") -> dict:
+                  raw_target: TableTarget, fmt: str = "parquet", schema=None,
+                  options: dict | None = None) -> dict:
     """U1 + U2: parts -> raw table; per-part counts observed during the write."""
-    tagged, names, used_fallback = load_parts(spark, parts, expected, fmt)
+    tagged, names, used_fallback = load_parts(spark, parts, expected, fmt, schema, options)
     obs = Observation("ingestion_counts")
     metrics = [F.count(F.lit(1)).alias("total")]
     metrics += [F.count_if(F.col(PART_COLUMN) == n).alias(f"part_{i}") for i, n in enumerate(names)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from churnlens.functions.columns import ntz
 from churnlens.operators import clean as C
 from churnlens.operators.features import customer_features, is_real, single_customer_features
-from churnlens.operators.drift import ks_statistic, psi
+from churnlens.operators.drift import ks_statistic, psi, summary_drift
 from churnlens.operators.gaps import favourite_product, gap_histogram, gap_percentiles
 from churnlens.operators.labels import churn_labels
 from churnlens.operators.model import batch_predictions, churn_probability, risk_level, train_churn_model
@@ -233,6 +233,11 @@ def q_feature_drift_ks(spark, sf):
     return ks_statistic(base, cur)
 
 
+def q_feature_drift_summary(spark, sf):
+    base, cur = _drift_sides(spark, sf)
+    return summary_drift(base, cur)
+
+
 # Size of the model trained by the registered checks; jobs default to the
 # configured n_estimators.
 CHECK_MODEL_ITERATIONS = 20
@@ -333,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "recall_at_precision": q_recall_at_precision,
     "feature_drift_psi": q_feature_drift_psi,
     "feature_drift_ks": q_feature_drift_ks,
+    "feature_drift_summary": q_feature_drift_summary,
     "train_and_score": q_train_and_score,
     "shapley_contributions": q_shapley_contributions,
     "global_importance": q_global_importance,

@@ -73,3 +73,17 @@ def test_ingestion_job_observes_counts_and_verifies(spark, part_dirs):
     assert out["row_counts"] == {NAMES[0]: 3, NAMES[1]: 2, "total": 5}
     assert out["check"]["matches"] and out["check"]["loaded_rows"] == 5
     assert "_source_part" not in target.read(spark).columns
+
+
+def test_csv_parts_with_declared_schema(spark):
+    base = tempfile.mkdtemp(prefix="csvparts-")
+    paths = {}
+    for name, n, start in [(NAMES[0], 3, 100), (NAMES[1], 2, 200)]:
+        p = os.path.join(base, name.replace(" ", "_"))
+        spark.createDataFrame(_rows(n, start), SCHEMA).write.option("header", True).csv(p)
+        paths[name] = p
+    tagged, _, _ = load_parts(spark, paths, NAMES, fmt="csv", schema=SCHEMA, options={"header": "true"})
+    counts = {r["part"]: r["rows"] for r in part_row_counts(tagged).collect()}
+    assert counts == {NAMES[0]: 3, NAMES[1]: 2, "total": 5}
+    row = tagged.filter("Invoice = '100'").first()
+    assert row["Customer ID"] == 17850.0 and row["InvoiceDate"] == datetime(2010, 1, 1)
