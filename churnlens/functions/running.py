@@ -37,15 +37,20 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], group_col
 
     ``df`` must hold one row per (group, order value): ties are summed
     together beforehand, so a tied block is one step of the running total.
+    ``group_cols`` must have few distinct values (edges and offsets are
+    broadcast: at most 2**levels rows per group).
     """
-    group_cols = list(group_cols or [])
+    ungrouped = not group_cols
+    if ungrouped:  # one constant group, so every join below is an equi-join
+        df = df.withColumn("_all", F.lit(0))
+        group_cols = ["_all"]
+    group_cols = list(group_cols)
     key = F.col(order_col)
     n_buckets = 1 << levels
     probs = [i / n_buckets for i in range(1, n_buckets)]
     # bounded: (n_buckets - 1) sorted edges per group
     edges = df.groupBy(*group_cols).agg(F.percentile_approx(key, probs, 10000).alias("_edges"))
-    with_edges = df.join(F.broadcast(edges), group_cols, "inner") if group_cols else df.crossJoin(
-        F.broadcast(edges))
+    with_edges = df.join(F.broadcast(edges), group_cols, "inner")
     # ascending bucket = number of edges strictly below the value (monotone in value)
     b = with_edges
     for name, expr in count_below(F.col("_edges"), key, levels):
@@ -65,5 +70,6 @@ def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], group_col
         Window.unboundedPreceding, Window.currentRow)
     # offsets: at most n_buckets rows per group, so broadcasting is bounded
     out = b.join(F.broadcast(offsets), [*group_cols, "_bucket"])
-    return out.select(*df.columns, *[
+    keep = [c for c in df.columns if not (ungrouped and c == "_all")]
+    return out.select(*keep, *[
         (F.sum(c).over(w_in) + F.col(f"_off_{c}")).alias(f"cum_{c}") for c in sum_cols])

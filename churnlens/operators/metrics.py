@@ -26,10 +26,10 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "is_c
     hist = materialize(scored.groupBy(F.col(score_col).alias("score")).agg(
         F.count_if(F.col(label_col)).cast("bigint").alias("pos"),
         F.count(F.lit(1)).cast("bigint").alias("n")))
-    run = running_totals(hist, "score", ["pos", "n"], descending=True)
-    total = hist.agg(F.sum("pos").cast("double").alias("_P"))
+    run = running_totals(hist, "score", ["pos", "n"], descending=True).withColumn("_k", F.lit(0))
+    total = hist.agg(F.sum("pos").cast("double").alias("_P")).withColumn("_k", F.lit(0))  # one row
     tp = F.col("cum_pos")
-    return run.crossJoin(F.broadcast(total)).select(
+    return run.join(F.broadcast(total), "_k").select(
         "score", "pos",
         tp.cast("bigint").alias("tp"),
         (F.col("cum_n") - tp).cast("bigint").alias("fp"),

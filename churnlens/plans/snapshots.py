@@ -192,8 +192,8 @@ def per_snapshot_counts(panel: DataFrame, cal: Calendar) -> DataFrame:
     counts = panel.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("n_customers"),
         F.count_if(F.col("is_churned")).alias("n_churned"))
-    # calendar side is one row per month: bounded, so broadcast is safe
-    joined = counts.join(F.broadcast(cal_df), "snapshot_date", "right")
+    # both sides hold at most one row per month: bounded broadcast
+    joined = cal_df.join(F.broadcast(counts), "snapshot_date", "left")
     n = F.coalesce(F.col("n_customers"), F.lit(0)).cast("bigint")
     c = F.coalesce(F.col("n_churned"), F.lit(0)).cast("bigint")
     return joined.select(
@@ -205,7 +205,12 @@ def overall_report(panel: DataFrame, cal: Calendar) -> DataFrame:
     """U16 (overall part): one flat row."""
     agg = panel.agg(F.count(F.lit(1)).alias("rows_total"),
                     F.count_if(F.col("is_churned")).alias("n_churned"))
+    return _overall_columns(agg, cal)
+
+
+def _overall_columns(agg: DataFrame, cal: Calendar) -> DataFrame:
     rows = F.col("rows_total").cast("bigint")
+    extra = [c for c in agg.columns if c not in ("rows_total", "n_churned")]
     return agg.select(
         F.lit(cal.threshold_days).cast("bigint").alias("threshold_days"),
         F.lit(cal.max_invoice_date.isoformat()).alias("max_invoice_date_observed"),
@@ -216,17 +221,24 @@ def overall_report(panel: DataFrame, cal: Calendar) -> DataFrame:
         rows.alias("rows_total"),
         F.when(rows > 0, F.col("n_churned").cast("double") / rows.cast("double"))
         .otherwise(F.lit(0.0)).alias("churn_rate_overall"),
+        *extra,
     )
 
 
 def panel_report(panel: DataFrame, cal: Calendar) -> DataFrame:
-    """The nested report row: overall fields + per_snapshot array by date."""
-    per = per_snapshot_counts(panel, cal).select(F.struct(
-        iso_format(F.col("snapshot_date")).alias("snapshot_date"),
-        "n_customers", "n_churned", "churn_rate").alias("s"))
-    # at most one entry per month: a bounded array
-    arr = per.agg(F.array_sort(F.collect_list("s")).alias("per_snapshot"))
-    return overall_report(panel, cal).crossJoin(arr)
+    """The nested report row: overall fields + per_snapshot array by date.
+
+    One aggregate over the per-snapshot rows (at most one per month, so the
+    array is bounded) gives both the array and the overall totals.
+    """
+    per = per_snapshot_counts(panel, cal)
+    agg = per.agg(
+        F.coalesce(F.sum("n_customers"), F.lit(0)).cast("bigint").alias("rows_total"),
+        F.coalesce(F.sum("n_churned"), F.lit(0)).cast("bigint").alias("n_churned"),
+        F.array_sort(F.collect_list(F.struct(
+            iso_format(F.col("snapshot_date")).alias("snapshot_date"),
+            "n_customers", "n_churned", "churn_rate"))).alias("per_snapshot"))
+    return _overall_columns(agg, cal).withColumn("per_snapshot", F.col("per_snapshot"))
 
 
 def population_parity(clean: DataFrame, panel: DataFrame, cal: Calendar) -> DataFrame:
@@ -249,8 +261,9 @@ def population_parity(clean: DataFrame, panel: DataFrame, cal: Calendar) -> Data
         F.count_if(F.col("_in_labels")).alias("n_label_rows"),
         F.count_if(F.col("_in_features") & F.col("_in_labels").isNull()).alias("n_only_features"),
         F.count_if(F.col("_in_labels") & F.col("_in_features").isNull()).alias("n_only_labels"))
-    cal_df = F.broadcast(calendar_frame(spark, cal, usable_only=True).select("snapshot_date"))
-    return counts.join(cal_df, "snapshot_date", "right").select(
+    cal_df = calendar_frame(spark, cal, usable_only=True).select("snapshot_date")
+    # both sides hold at most one row per month: bounded broadcast
+    return cal_df.join(F.broadcast(counts), "snapshot_date", "left").select(
         "snapshot_date",
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in
           ["n_feature_rows", "n_label_rows", "n_only_features", "n_only_labels"]])
