@@ -249,11 +249,18 @@ def population_parity(clean: DataFrame, panel: DataFrame, cal: Calendar) -> Data
     mismatch counts must be zero.
     """
     spark = clean.sparkSession
+    if cal.n_usable == 0:
+        return spark.createDataFrame([], "snapshot_date timestamp_ntz, n_feature_rows bigint, "
+                                         "n_label_rows bigint, n_only_features bigint, n_only_labels bigint")
     first = (clean.filter(is_real() & F.col("invoice_date").isNotNull())
-             .groupBy("customer_id").agg(F.min("invoice_date").alias("first_real")))
-    snaps = F.broadcast(calendar_frame(spark, cal, usable_only=True).select("snapshot_date"))
-    labelled = first.join(snaps, F.col("first_real") < F.col("snapshot_date")).select(
-        "customer_id", "snapshot_date", F.lit(True).alias("_in_labels"))
+             .groupBy("customer_id").agg(F.min("invoice_date").alias("invoice_date")))
+    # snapshots strictly after the first real purchase are j = g .. K-1 with
+    # g = #{T_i <= first}: generated per customer, no join with the calendar
+    g = _bucket_columns(cal)["g"]
+    labelled = (first.withColumn("_g", g).filter(F.col("_g") < cal.n_usable)
+                .select("customer_id", F.explode(F.sequence(F.col("_g"), F.lit(cal.n_usable - 1))).alias("j"))
+                .select("customer_id", _snapshot_date(cal, F.col("j")).alias("snapshot_date"),
+                        F.lit(True).alias("_in_labels")))
     featured = panel.select("customer_id", "snapshot_date", F.lit(True).alias("_in_features"))
     both = featured.join(labelled, ["customer_id", "snapshot_date"], "full_outer")
     counts = both.groupBy("snapshot_date").agg(

@@ -36,6 +36,12 @@ def test_bucketed_panel_has_no_range_or_cross_join_and_pushes_dates(clean):
     assert p.count("Exchange hashpartitioning(customer_id") >= 1
 
 
+def test_population_parity_needs_no_calendar_join(clean):
+    cal = calendar_for(clean, "1996-01-01", 134)
+    p = plan(S.population_parity(clean, S.snapshot_panel(clean, cal), cal))
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
 def test_range_panel_is_the_nested_loop_variant(clean):
     cal = calendar_for(clean, "1996-01-01", 134)
     assert "BroadcastNestedLoopJoin" in plan(S.snapshot_panel_range(clean, cal))
