@@ -30,7 +30,8 @@ def ks_statistic(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """(feature, ks_statistic, n_baseline, n_current)."""
     both = (long_features(baseline).withColumn("nb", F.lit(1)).withColumn("nc", F.lit(0))
             .unionByName(long_features(current).withColumn("nb", F.lit(0)).withColumn("nc", F.lit(1))))
-    hist = materialize(both.groupBy("feature", "value").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc")))
+    hist = materialize(both.groupBy("feature", "value").agg(F.sum("nb").alias("nb"), F.sum("nc").alias("nc")),
+                       "value_histogram")
     totals = hist.groupBy("feature").agg(F.sum("nb").alias("n_baseline"), F.sum("nc").alias("n_current"))
     run = running_totals(hist, "value", ["nb", "nc"], group_cols=["feature"])
     # one row per feature: bounded broadcast
@@ -47,7 +48,8 @@ def baseline_bin_edges(baseline_long: DataFrame, n_bins: int) -> DataFrame:
     Edge q is the smallest value whose cumulative count reaches
     ceil(q * n / n_bins), q = 1 .. n_bins-1.
     """
-    hist = materialize(baseline_long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    hist = materialize(baseline_long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")),
+                       "baseline_histogram")
     totals = hist.groupBy("feature").agg(F.sum("n").alias("_N"))
     # one row per feature: bounded broadcast
     run = running_totals(hist, "value", ["n"], group_cols=["feature"]).join(F.broadcast(totals), "feature")
@@ -60,7 +62,7 @@ def baseline_bin_edges(baseline_long: DataFrame, n_bins: int) -> DataFrame:
 def psi(baseline: DataFrame, current: DataFrame, n_bins: int = 10, digits: int = 9) -> DataFrame:
     """(feature, psi, n_bins_used, n_baseline, n_current)."""
     base_long, cur_long = long_features(baseline), long_features(current)
-    edges = F.broadcast(materialize(baseline_bin_edges(base_long, n_bins)))  # n_bins-1 values per feature
+    edges = F.broadcast(materialize(baseline_bin_edges(base_long, n_bins), "psi_edges"))  # n_bins-1 per feature
 
     def binned(df: DataFrame, side: str) -> DataFrame:
         # bin = number of edges below the value; equal edges leave a gap in

@@ -25,7 +25,7 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "is_c
     """(score, pos, tp, fp, precision, recall) per distinct score, highest first."""
     hist = materialize(scored.groupBy(F.col(score_col).alias("score")).agg(
         F.count_if(F.col(label_col)).cast("bigint").alias("pos"),
-        F.count(F.lit(1)).cast("bigint").alias("n")))
+        F.count(F.lit(1)).cast("bigint").alias("n")), "score_histogram")
     run = running_totals(hist, "score", ["pos", "n"], descending=True).withColumn("_k", F.lit(0))
     total = hist.agg(F.sum("pos").cast("double").alias("_P")).withColumn("_k", F.lit(0))  # one row
     tp = F.col("cum_pos")

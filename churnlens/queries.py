@@ -26,7 +26,7 @@ from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
 from churnlens.schemas import PANEL_REPORT_SCHEMA
-from churnlens.session import scratch_path
+from churnlens.session import materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import load_parts, part_row_counts
 from churnlens.sources.retail_view import raw_parts_from_tables, raw_transactions_from_tables
@@ -50,9 +50,7 @@ def _clean_persisted(spark, sf) -> DataFrame:
     not from the five-way join) and lets later scans prune columns and
     push date filters into Parquet.
     """
-    path = scratch_path(spark, "clean_transactions")
-    _clean(spark, sf).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return materialize(_clean(spark, sf), "clean_transactions")
 
 
 def q_raw_union_counts(spark, sf):
@@ -119,9 +117,7 @@ def _panel(spark, sf):
 def _panel_persisted(spark, sf):
     """The panel as downstream jobs see it: a written table, read back."""
     clean, panel, cal = _panel(spark, sf)
-    path = scratch_path(spark, "customer_snapshots")
-    panel.write.mode("overwrite").parquet(path)
-    return clean, spark.read.parquet(path), cal
+    return clean, materialize(panel, "customer_snapshots"), cal
 
 
 def q_customer_snapshots(spark, sf):

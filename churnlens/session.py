@@ -62,12 +62,16 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df):
-    """Cut lineage: a reliable checkpoint in the shared folder (eager).
+def materialize(df, name: str = "intermediate"):
+    """Cut lineage: write the frame as a Parquet table in the shared folder
+    and read it back (eager).
 
     Used where one intermediate feeds several branches of a plan, so it is
     computed once instead of once per branch, and a lost executor replays
-    from the checkpoint files rather than from the sources.
+    from the written files rather than from the sources. Parquet keeps it
+    columnar and gives the planner real file sizes.
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 _MODES = ("replace", "append")
+SYNTHETIC_KEY = "_id"
 
 
 class TableTarget:
@@ -79,7 +80,9 @@ class TableTarget:
         reader = spark.read.format(self.fmt)
         if self.schema is not None:
             reader = reader.schema(self.schema)
-        return reader.load(self.path)
+        df = reader.load(self.path)
+        # a store-assigned synthetic key is never part of the table
+        return df.drop(SYNTHETIC_KEY) if SYNTHETIC_KEY in df.columns else df
 
 
 def _hadoop_path(spark: SparkSession, path: str):

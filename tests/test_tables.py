@@ -125,3 +125,9 @@ def test_missing_table_with_schema_reads_empty(spark):
     t = TableTarget(path() + "/never_written", schema=SNAPSHOT_SCHEMA)
     back = t.read(spark)
     assert back.count() == 0 and back.schema == SNAPSHOT_SCHEMA
+
+
+def test_synthetic_key_is_dropped_on_read(spark):
+    p = path()
+    frame(spark, 3).withColumn("_id", F.col("customer_id") * 100).write.parquet(p)
+    assert TableTarget(p).read(spark).columns == ["customer_id", "amount", "label"]
