@@ -18,10 +18,12 @@ _LEADING_SPACE_THEN_C = r"(?U)^[\s\x{1C}-\x{1F}]*[cC]"
 
 
 def ntz(value) -> Column:
-    """A timezone-naive timestamp literal from a datetime or ISO string."""
-    if isinstance(value, str):
-        value = parse_timestamp(value)
-    return F.lit(value).cast("timestamp_ntz")
+    """A timezone-naive timestamp literal from a datetime or ISO string.
+
+    Built from ISO text, so no time zone (the Python process's or the
+    session's) takes part in the conversion.
+    """
+    return F.lit(parse_timestamp(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def parse_timestamp(value) -> datetime:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from churnlens.functions.columns import ntz
 from churnlens.operators.model import churn_probability, risk_level
 from churnlens.schemas import FEATURE_COLUMNS
 
@@ -39,7 +40,7 @@ def score_batch(model: PipelineModel, features: DataFrame, bands, scored_at: dat
     return scored.select(
         "customer_id", "as_of_date", "churn_probability",
         risk_level(F.col("churn_probability"), bands).alias("risk_level"),
-        F.lit(scored_at).cast("timestamp_ntz").alias("scored_at"))
+        ntz(scored_at).alias("scored_at"))
 
 
 def start_prediction_stream(spark: SparkSession, model: PipelineModel, source_dir: str, log_dir: str,
