@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnlens.functions.columns import guarded_ratio, ntz, whole_days_between
 from churnlens.schemas import FEATURE_COLUMNS, require_columns
@@ -23,16 +24,40 @@ def is_real() -> Column:
     return ~F.col("is_cancellation")
 
 
-def line_value() -> Column:
-    """quantity * price, exact when price is decimal."""
-    return F.col("quantity") * F.col("price")
+class Money:
+    """How line values (quantity * price) are summed.
+
+    A decimal price (scale s, unscaled value fitting a long) is summed as
+    integer minor units in bigint -- exact, order-independent and on the
+    fast long path instead of 38-digit decimal arithmetic (ANSI mode raises
+    on overflow rather than wrapping) -- and turned into a double once, at
+    the end: the same correctly rounded double as the exact decimal sum.
+    Any other price type is summed as its plain product.
+    """
+
+    def __init__(self, df: DataFrame):
+        t = df.schema["price"].dataType
+        self.scale = t.scale if isinstance(t, T.DecimalType) and t.precision <= 18 and t.scale <= 6 else None
+
+    def line_value(self) -> Column:
+        if self.scale is None:
+            return F.col("quantity") * F.col("price")
+        units = (F.col("price") * F.lit(10 ** self.scale)).cast("bigint")  # exact: scale digits only
+        return F.col("quantity").cast("bigint") * units
+
+    def to_double(self, total: Column) -> Column:
+        if self.scale is None:
+            return total.cast("double")
+        return total.cast("double") / F.lit(float(10 ** self.scale))
 
 
-def finish_features(df: DataFrame, as_of: Column) -> DataFrame:
+def finish_features(df: DataFrame, as_of: Column, money: Money | None = None) -> DataFrame:
     """Aggregates -> features. Expects the columns
     last_real_ts, first_real_ts, n_invoices, n_products, value_sum, n_lines, n_nonpos.
+    ``value_sum`` is in the units of ``money`` (plain value when None).
     """
-    total = F.coalesce(F.col("value_sum").cast("double"), F.lit(0.0))
+    total = F.col("value_sum")
+    total = F.coalesce(money.to_double(total) if money else total.cast("double"), F.lit(0.0))
     return df.withColumns({
         "recency_days": whole_days_between(F.col("last_real_ts"), as_of),
         "frequency": F.col("n_invoices").cast("bigint"),
@@ -54,6 +79,7 @@ def customer_features(clean: DataFrame, as_of_date) -> DataFrame:
     require_columns(clean, NEEDED, "clean transactions")
     as_of = ntz(as_of_date)
     real = is_real()
+    money = Money(clean)
     before = clean.filter(F.col("invoice_date") < as_of)
     agg = before.groupBy("customer_id").agg(
         F.count_if(real).alias("n_real"),
@@ -61,11 +87,11 @@ def customer_features(clean: DataFrame, as_of_date) -> DataFrame:
         F.min(F.when(real, F.col("invoice_date"))).alias("first_real_ts"),
         F.count_distinct(F.when(real, F.col("invoice"))).alias("n_invoices"),
         F.count_distinct(F.when(real, F.col("stock_code"))).alias("n_products"),
-        F.sum(line_value()).alias("value_sum"),
+        F.sum(money.line_value()).alias("value_sum"),
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"),
     ).filter(F.col("n_real") > 0)
-    return finish_features(agg, as_of).select("customer_id", *FEATURE_COLUMNS)
+    return finish_features(agg, as_of, money).select("customer_id", *FEATURE_COLUMNS)
 
 
 def single_customer_features(clean: DataFrame, customer_id: str | Column | DataFrame,

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnlens.functions.columns import iso_format, ntz
-from churnlens.operators.features import finish_features, is_real, line_value
+from churnlens.operators.features import Money, finish_features, is_real
 from churnlens.plans.calendar import Calendar, calendar_for, calendar_frame
 from churnlens.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
 
@@ -76,10 +76,11 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
     if k == 0:
         return _empty_panel(clean)
     real = is_real()
+    money = Money(clean)
     ts = F.col("invoice_date")
     lines = (_relevant_lines(clean, cal)
              .select("customer_id", "invoice", "stock_code", "invoice_date",
-                     line_value().alias("value"), "has_non_positive_quantity", real.alias("real"))
+                     money.line_value().alias("value"), "has_non_positive_quantity", real.alias("real"))
              .withColumns(_bucket_columns(cal)))
     real = F.col("real")
 
@@ -147,7 +148,7 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
     ).filter((F.col("j") < k) & (F.col("cum_real") > 0))
 
     t = _snapshot_date(cal, F.col("j"))
-    out = finish_features(running.withColumn("snapshot_date", t), F.col("snapshot_date"))
+    out = finish_features(running.withColumn("snapshot_date", t), F.col("snapshot_date"), money)
     churned = ~F.coalesce(F.col("next_real_ts") <= F.col("snapshot_date") + _days(cal.threshold_days),
                           F.lit(False))
     return out.withColumn("is_churned", churned).select(*SNAPSHOT_COLUMNS)
@@ -163,6 +164,7 @@ def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
     ts = F.col("invoice_date")
     t = F.col("T")
     lines = _relevant_lines(clean, cal)
+    money = Money(clean)
     joined = lines.join(snaps, ts <= t + _days(cal.threshold_days))
     before = ts < t
     real_before = before & is_real()
@@ -172,12 +174,12 @@ def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
         F.min(F.when(real_before, ts)).alias("first_real_ts"),
         F.count_distinct(F.when(real_before, F.col("invoice"))).alias("n_invoices"),
         F.count_distinct(F.when(real_before, F.col("stock_code"))).alias("n_products"),
-        F.sum(F.when(before, line_value())).alias("value_sum"),
+        F.sum(F.when(before, money.line_value())).alias("value_sum"),
         F.count_if(before).alias("n_lines"),
         F.count_if(before & F.col("has_non_positive_quantity")).alias("n_nonpos"),
         F.bool_or((ts > t) & is_real()).alias("_returned"),
     ).filter(F.col("n_real") > 0)
-    out = finish_features(agg.withColumnRenamed("T", "snapshot_date"), F.col("snapshot_date"))
+    out = finish_features(agg.withColumnRenamed("T", "snapshot_date"), F.col("snapshot_date"), money)
     return out.withColumn("is_churned", ~F.coalesce(F.col("_returned"), F.lit(False))).select(*SNAPSHOT_COLUMNS)
 
 
