@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -47,7 +46,6 @@ def main() -> None:
         # small-data local run: let AQE keep shuffles spread over all cores
         # (on a cluster: parallelismFirst=false and a ~128 MB advisory size)
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
-        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="churnlens-bench-ckpt-"),
     })
     # Warm the JVM (class loading, JIT, codegen cache) on the smallest tables,
     # untimed, so the timings measure the queries rather than compilation.
