@@ -27,14 +27,20 @@ def gap_histogram(clean: DataFrame) -> DataFrame:
             .groupBy("customer_id", F.to_date(ts).alias("d"))
             .agg(F.count_distinct(ts).alias("n_times"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")))
     w = Window.partitionBy("customer_id").orderBy("d")
-    across = (days.withColumn("_prev_last", F.lag("last_ts").over(w))
-              .filter(F.col("_prev_last").isNotNull())
-              .select(whole_days_between(F.col("_prev_last"), F.col("first_ts")).alias("gap_days"),
-                      F.lit(1).cast("bigint").alias("w")))
-    within = (days.filter(F.col("n_times") > 1)
-              .select(F.lit(0).cast("bigint").alias("gap_days"), (F.col("n_times") - 1).cast("bigint").alias("w")))
-    return (across.unionByName(within).groupBy("gap_days")
-            .agg(F.sum("w").cast("bigint").alias("n_gaps")))
+    days = days.withColumn("_prev_last", F.lag("last_ts").over(w))
+    prev_last = F.col("_prev_last")
+
+    def gap(days_col, weight):
+        return F.struct(days_col.cast("bigint").alias("gap_days"), weight.cast("bigint").alias("w"))
+
+    # one pass over the per-day rows: the gap from the previous purchase date
+    # (weight 1) and the same-date gaps of 0 days (weight n_times - 1)
+    gaps = days.select(F.explode(F.array_compact(F.array(
+        F.when(prev_last.isNotNull(), gap(whole_days_between(prev_last, F.col("first_ts")), F.lit(1))),
+        F.when(F.col("n_times") > 1, gap(F.lit(0), F.col("n_times") - 1)),
+    ))).alias("g"))
+    return (gaps.groupBy(F.col("g.gap_days").alias("gap_days"))
+            .agg(F.sum("g.w").cast("bigint").alias("n_gaps")))
 
 
 def gap_percentiles(hist: DataFrame, percentages=(0.5, 0.9)) -> DataFrame:

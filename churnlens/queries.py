@@ -28,8 +28,8 @@ from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_val
 from churnlens.schemas import PANEL_REPORT_SCHEMA
 from churnlens.session import materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
-from churnlens.sources.parts import load_parts, part_row_counts
-from churnlens.sources.retail_view import raw_parts_from_tables, raw_transactions_from_tables
+from churnlens.sources.parts import list_parts, load_parts, part_row_counts
+from churnlens.sources.retail_view import export_raw_parts, raw_transactions_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,9 +53,14 @@ def _clean_persisted(spark, sf) -> DataFrame:
     return materialize(_clean(spark, sf), "clean_transactions")
 
 
+def _exported_parts(spark, sf) -> dict[str, str]:
+    """The raw log written once as a folder of named parts, then listed."""
+    root = export_raw_parts(spark, sf, P.expected_parts, scratch_path(spark, "raw_export"))
+    return list_parts(spark, root)
+
+
 def q_raw_union_counts(spark, sf):
-    parts = raw_parts_from_tables(spark, sf, P.expected_parts)
-    tagged, _, _ = load_parts(spark, parts, P.expected_parts)
+    tagged, _, _ = load_parts(spark, _exported_parts(spark, sf), P.expected_parts)
     return part_row_counts(tagged)
 
 
@@ -145,7 +150,7 @@ def q_rowcount_check(spark, sf):
     raw_t = TableTarget(f"{base}/raw_transactions")
     clean_t = TableTarget(f"{base}/clean_transactions")
     panel_t = TableTarget(f"{base}/customer_snapshots")
-    a = run_ingestion(spark, raw_parts_from_tables(spark, sf, P.expected_parts), P.expected_parts, raw_t)
+    a = run_ingestion(spark, _exported_parts(spark, sf), P.expected_parts, raw_t)
     b = run_validation(spark, raw_t, clean_t, f"{base}/validation_report", P.reference_date)
     c = run_feature_engineering(spark, clean_t, panel_t, f"{base}/feature_engineering_report",
                                 P.snapshot_start_date, P.threshold_days)

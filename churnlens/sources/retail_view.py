@@ -93,12 +93,21 @@ def raw_transactions_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_planted_copies(_raw_base(spark, sf_dir)).drop("_order_key", "_order_date")
 
 
+def _part_name(names: tuple[str, str], split_year: int):
+    return F.when(F.year("_order_date") < split_year, F.lit(names[0])).otherwise(F.lit(names[1]))
+
+
 def raw_parts_from_tables(spark: SparkSession, sf_dir: str, names: tuple[str, str],
                           split_year: int = 1998) -> dict[str, DataFrame]:
-    """Two named export parts, split by order year like yearly sheets."""
-    allrows = _with_planted_copies(_raw_base(spark, sf_dir))
-    first = F.year("_order_date") < split_year
-    return {
-        names[0]: allrows.filter(first).drop("_order_key", "_order_date"),
-        names[1]: allrows.filter(~first).drop("_order_key", "_order_date"),
-    }
+    """Two named export parts, split by order year like yearly sheets (lazy)."""
+    allrows = _with_planted_copies(_raw_base(spark, sf_dir)).withColumn("_part", _part_name(names, split_year))
+    return {n: allrows.filter(F.col("_part") == n).drop("_order_key", "_order_date", "_part") for n in names}
+
+
+def export_raw_parts(spark: SparkSession, sf_dir: str, names: tuple[str, str], root: str,
+                     split_year: int = 1998) -> str:
+    """Write the raw log once as a folder of named parts (``part=<name>``
+    sub-folders), the layout a source export arrives in. Returns ``root``."""
+    allrows = _with_planted_copies(_raw_base(spark, sf_dir)).withColumn("part", _part_name(names, split_year))
+    allrows.drop("_order_key", "_order_date").write.mode("overwrite").partitionBy("part").parquet(root)
+    return root

@@ -7,13 +7,12 @@ import tempfile
 from churnlens.__main__ import main
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.sources.parts import list_parts
-from churnlens.sources.retail_view import raw_parts_from_tables
+from churnlens.sources.retail_view import export_raw_parts
 
 
 def test_all_stages_from_a_parts_folder(spark):
     base = tempfile.mkdtemp(prefix="cli-")
-    for name, df in raw_parts_from_tables(spark, "/root/testdata/sf0.001", P.expected_parts).items():
-        df.write.parquet(f"{base}/source/{name}")
+    export_raw_parts(spark, "/root/testdata/sf0.001", P.expected_parts, f"{base}/source")
     assert list(list_parts(spark, f"{base}/source")) == list(P.expected_parts)
     out = main(["all", "--warehouse", f"{base}/wh", "--source", f"{base}/source",
                 "--expected-parts", *P.expected_parts, "--reference-date", P.reference_date,
