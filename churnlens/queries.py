@@ -197,9 +197,10 @@ def q_favourite_product(spark, sf):
     return favourite_product(_clean(spark, sf), P.as_of_date)
 
 
-def _split_panel(spark, sf):
-    _, panel, _ = _panel_persisted(spark, sf)
-    return temporal_split(panel, P.test_start_date, P.threshold_days)
+def _split_panel(spark, sf, with_clean: bool = False):
+    clean, panel, _ = _panel_persisted(spark, sf)
+    split = temporal_split(panel, P.test_start_date, P.threshold_days)
+    return (split, clean) if with_clean else split
 
 
 def q_temporal_split_counts(spark, sf):
@@ -244,12 +245,12 @@ def q_feature_drift_summary(spark, sf):
 CHECK_MODEL_ITERATIONS = 20
 
 
-def _trained(spark, sf):
-    sp = _split_panel(spark, sf)
+def _trained(spark, sf, with_clean: bool = False):
+    sp, clean = _split_panel(spark, sf, with_clean=True)
     train = sp.filter(F.col("split") == "train")
     test = sp.filter(F.col("split") == "test")
     model = train_churn_model(train, P.model_params, max_iter=CHECK_MODEL_ITERATIONS)
-    return model, train, test
+    return (model, train, test, clean) if with_clean else (model, train, test)
 
 
 def q_train_and_score(spark, sf):
@@ -273,8 +274,8 @@ def q_global_importance(spark, sf):
 
 def q_batch_predictions(spark, sf):
     """Score the one-date features of every customer; append to the log."""
-    model, _, _ = _trained(spark, sf)
-    feats = customer_features(_clean_persisted(spark, sf), P.test_start_date)
+    model, _, _, clean = _trained(spark, sf, with_clean=True)
+    feats = customer_features(clean, P.test_start_date)
     preds = batch_predictions(model, feats, P.test_start_date, P.risk_bands)
     target = TableTarget(scratch_path(spark, "predictions"), mode="append")
     target.write(preds)
@@ -286,8 +287,7 @@ def q_streaming_predictions(spark, sf):
     scored micro-batch by micro-batch into the append-only log."""
     from churnlens.streaming.scoring import read_prediction_log, start_prediction_stream
 
-    model, _, _ = _trained(spark, sf)
-    clean = _clean_persisted(spark, sf)
+    model, _, _, clean = _trained(spark, sf, with_clean=True)
     base = scratch_path(spark, "prediction_stream")
     for i, day in enumerate([P.as_of_date, P.test_start_date]):
         feats = customer_features(clean, day).withColumn("as_of_date", ntz(day))
