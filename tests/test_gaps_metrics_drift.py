@@ -8,7 +8,6 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from churnlens.functions.running import running_totals
 from churnlens.operators.drift import ks_statistic, psi
