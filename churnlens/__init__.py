@@ -1,4 +1,4 @@
-"""churnlens: customer transaction analytics and churn signals on Spark.
+"""churnlens: customer transaction analytics and churn prediction on Spark.
 
 Every step is a lazy DataFrame plan: load named source parts, clean them
 under fixed counted rules, build point-in-time customer features and
