@@ -16,6 +16,7 @@ import logging
 
 from churnlens.params import Params
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation
+from churnlens.schemas import SNAPSHOT_SCHEMA
 from churnlens.session import get_session
 from churnlens.sources.parts import list_parts
 from churnlens.sources.tables import TableTarget
@@ -33,6 +34,8 @@ def main(argv=None) -> dict:
     ap.add_argument("--snapshot-start", default=Params().snapshot_start_date)
     ap.add_argument("--threshold-days", type=int, default=Params().threshold_days)
     ap.add_argument("--expected-parts", nargs="*", default=list(Params().expected_parts))
+    ap.add_argument("--files-per-snapshot", type=int, default=4,
+                    help="files written per snapshot month of the panel")
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
@@ -41,7 +44,9 @@ def main(argv=None) -> dict:
     wh = args.warehouse.rstrip("/")
     raw_t = TableTarget(f"{wh}/raw_transactions")
     clean_t = TableTarget(f"{wh}/clean_transactions")
-    panel_t = TableTarget(f"{wh}/customer_snapshots")
+    # the panel is laid out by snapshot month, so per-snapshot reads prune folders
+    panel_t = TableTarget(f"{wh}/customer_snapshots", schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"],
+                          files_per_partition=args.files_per_snapshot)
     out = {}
     if args.stage in ("ingestion", "all"):
         if not args.source:

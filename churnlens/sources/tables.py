@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MODES = ("replace", "append")
@@ -22,7 +23,14 @@ class TableTarget:
     """
 
     def __init__(self, path: str, mode: str = "replace", fmt: str = "parquet",
-                 schema: T.StructType | None = None, partition_by: list[str] | None = None):
+                 schema: T.StructType | None = None, partition_by: list[str] | None = None,
+                 files_per_partition: int | None = None):
+        """``partition_by`` lays the table out in folders by those columns;
+        declare ``schema`` with it, so partition values are typed from the
+        schema (an inferred timestamp would be read as a zone-aware one).
+        ``files_per_partition`` spreads each partition value over that many
+        hash buckets before writing: a bounded number of files per folder,
+        without sending a whole partition value through one task."""
         if mode not in _MODES:
             raise ValueError(f"mode must be 'replace' or 'append', got {mode!r}")
         self.path = path
@@ -30,6 +38,7 @@ class TableTarget:
         self.fmt = fmt
         self.schema = schema
         self.partition_by = partition_by or []
+        self.files_per_partition = files_per_partition
 
     @classmethod
     def from_config(cls, config: Mapping) -> "TableTarget":
@@ -63,6 +72,10 @@ class TableTarget:
             raise OSError(f"could not move {staging} to {self.path}")
 
     def _writer(self, df: DataFrame):
+        if self.partition_by and self.files_per_partition:
+            others = [F.col(f"`{c}`") for c in df.columns if c not in self.partition_by]
+            bucket = F.pmod(F.xxhash64(*others), F.lit(int(self.files_per_partition)))
+            df = df.repartition(*[F.col(c) for c in self.partition_by], bucket)
         writer = df.write.format(self.fmt)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -81,6 +94,8 @@ class TableTarget:
         if self.schema is not None:
             reader = reader.schema(self.schema)
         df = reader.load(self.path)
+        if self.schema is not None:  # partition columns come last from the reader
+            return df.select(*[F.col(f"`{c}`") for c in self.schema.names])
         # a store-assigned synthetic key is never part of the table
         return df.drop(SYNTHETIC_KEY) if SYNTHETIC_KEY in df.columns else df
 

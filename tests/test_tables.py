@@ -131,3 +131,24 @@ def test_synthetic_key_is_dropped_on_read(spark):
     p = path()
     frame(spark, 3).withColumn("_id", F.col("customer_id") * 100).write.parquet(p)
     assert TableTarget(p).read(spark).columns == ["customer_id", "amount", "label"]
+
+
+def test_partitioned_panel_keeps_naive_snapshot_dates_and_prunes(spark, make_clean):
+    from churnlens.functions.columns import ntz
+    from churnlens.plans import snapshots as S
+    from churnlens.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
+    from tests.test_snapshots import ROWS
+    panel, _, _ = S.build_customer_snapshots(make_clean(ROWS), "2010-01-01", 30)
+    t = TableTarget(path(), schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"], files_per_partition=2)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        t.write(panel)
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        back = t.read(spark)
+        assert back.columns == SNAPSHOT_COLUMNS
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, panel.collect()))
+        march = back.filter(F.col("snapshot_date") == ntz("2010-03-01"))
+        assert "PartitionFilters: [isnotnull(snapshot_date" in march._jdf.queryExecution().executedPlan().toString()
+        assert march.count() == 3
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
