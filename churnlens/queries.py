@@ -39,8 +39,7 @@ def _raw(spark, sf):
 
 
 def _clean(spark, sf) -> DataFrame:
-    clean, _ = C.validate_and_clean(_raw(spark, sf), P.reference_date)
-    return clean
+    return C.clean_transactions(_raw(spark, sf), P.reference_date)
 
 
 def _clean_persisted(spark, sf) -> DataFrame:

@@ -26,19 +26,30 @@ DUPLICATE_EVERY = 50     # o_orderkey % 50 == 0 -> row exported twice
 MINUTES_PER_DAY = 1440   # time of day = o_orderkey % 1440 minutes
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name)).select(*cols)
+# The columns of each source table this view reads (declared: no schema
+# inference pass, and only these columns are read).
+SOURCE_COLUMNS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_returnflag string",
+    "part": "p_partkey bigint, p_name string, p_retailprice double",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SOURCE_COLUMNS[name]).parquet(table_path(sf_dir, name))
 
 
 def _raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
-    customer = _read(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    orders = _read(spark, sf_dir, "orders")
+    customer = _read(spark, sf_dir, "customer")
     # Join strategies are left to the planner: it broadcasts a side only when
     # its measured size is under spark.sql.autoBroadcastJoinThreshold, and
     # AQE re-decides from runtime sizes (and splits skewed partitions).
-    nation = _read(spark, sf_dir, "nation", ["n_nationkey", "n_name"])
-    lineitem = _read(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"])
-    part = _read(spark, sf_dir, "part", ["p_partkey", "p_name", "p_retailprice"])
+    nation = _read(spark, sf_dir, "nation")
+    lineitem = _read(spark, sf_dir, "lineitem")
+    part = _read(spark, sf_dir, "part")
 
     # Order-level attributes first (orders is ~1/4 of lineitem), then the
     # line-level joins. lineitem x orders is fact-to-fact: it is always a
