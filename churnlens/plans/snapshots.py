@@ -240,7 +240,7 @@ def panel_report(panel: DataFrame, cal: Calendar) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(
             iso_format(F.col("snapshot_date")).alias("snapshot_date"),
             "n_customers", "n_churned", "churn_rate"))).alias("per_snapshot"))
-    return _overall_columns(agg, cal).withColumn("per_snapshot", F.col("per_snapshot"))
+    return _overall_columns(agg, cal)  # carries per_snapshot through
 
 
 def population_parity(clean: DataFrame, panel: DataFrame, cal: Calendar) -> DataFrame:
