@@ -172,13 +172,23 @@ def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
         F.count_if(real_before).alias("n_real"),
         F.max(F.when(real_before, ts)).alias("last_real_ts"),
         F.min(F.when(real_before, ts)).alias("first_real_ts"),
-        F.count_distinct(F.when(real_before, F.col("invoice"))).alias("n_invoices"),
-        F.count_distinct(F.when(real_before, F.col("stock_code"))).alias("n_products"),
         F.sum(F.when(before, money.line_value())).alias("value_sum"),
         F.count_if(before).alias("n_lines"),
         F.count_if(before & F.col("has_non_positive_quantity")).alias("n_nonpos"),
         F.bool_or((ts > t) & is_real()).alias("_returned"),
     ).filter(F.col("n_real") > 0)
+
+    # distinct counts as plain counts: a key counts at T iff its first real
+    # line is before T (no distinct aggregation over the joined rows)
+    def distinct_before(key: str, out: str) -> DataFrame:
+        firsts = (lines.filter(is_real() & F.col(key).isNotNull())
+                  .groupBy("customer_id", key).agg(F.min("invoice_date").alias("_first")))
+        return (firsts.join(snaps, F.col("_first") < t)
+                .groupBy("customer_id", "T").agg(F.count(F.lit(1)).alias(out)))
+
+    agg = (agg.join(distinct_before("invoice", "n_invoices"), ["customer_id", "T"], "left")
+           .join(distinct_before("stock_code", "n_products"), ["customer_id", "T"], "left")
+           .fillna(0, ["n_invoices", "n_products"]))
     out = finish_features(agg.withColumnRenamed("T", "snapshot_date"), F.col("snapshot_date"), money)
     return out.withColumn("is_churned", ~F.coalesce(F.col("_returned"), F.lit(False))).select(*SNAPSHOT_COLUMNS)
 
