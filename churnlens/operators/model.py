@@ -91,9 +91,12 @@ def risk_level(p: Column, bands) -> Column:
 
 
 def batch_predictions(model: PipelineModel, features: DataFrame, as_of_date, bands,
-                      scored_at: datetime | None = None) -> DataFrame:
-    """One prediction row per customer of a feature batch."""
+                      scored_at: datetime | None = None, customers: DataFrame | None = None) -> DataFrame:
+    """One prediction row per customer of a feature batch, or only for
+    the ``customers`` given as a frame of ids (kept with a semi join)."""
     scored_at = scored_at or datetime.now()
+    if customers is not None:
+        features = features.join(customers.select("customer_id"), "customer_id", "left_semi")
     scored = churn_probability(model, features)
     return scored.select(
         "customer_id",

@@ -78,3 +78,10 @@ def test_predictions_are_appended(spark, panel, model):
     assert set(back.columns) == {"customer_id", "as_of_date", "churn_probability", "risk_level", "scored_at"}
     with pytest.raises(ValueError):
         append_predictions(preds, TableTarget("/tmp/x", mode="replace"))
+
+
+def test_predictions_for_selected_customers(spark, panel, model):
+    feats = panel.select("customer_id", *FEATURE_COLUMNS)
+    chosen = spark.createDataFrame([("3",), ("7",), ("no-such-id",)], "customer_id string")
+    preds = batch_predictions(model, feats, "2011-01-01", (("high", 0.7), ("low", 0.0)), customers=chosen)
+    assert sorted(r["customer_id"] for r in preds.collect()) == ["3", "7"]
