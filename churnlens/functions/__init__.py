@@ -5,8 +5,10 @@ from churnlens.functions.columns import (
     iso_format,
     nan_to_null,
     ntz,
+    round_significant,
     whole_days_between,
 )
+from churnlens.functions.running import running_totals
 
 __all__ = [
     "canonical_key",
@@ -15,5 +17,7 @@ __all__ = [
     "iso_format",
     "nan_to_null",
     "ntz",
+    "round_significant",
+    "running_totals",
     "whole_days_between",
 ]
