@@ -8,6 +8,7 @@ from churnlens.operators.clean import (
     exclude_without_customer,
     rename_to_contract,
     validate_and_clean,
+    validation_report,
 )
 from churnlens.operators.drift import ks_statistic, psi, summary_drift
 from churnlens.operators.features import customer_features, finish_features, single_customer_features
@@ -25,4 +26,5 @@ __all__ = [
     "gap_histogram", "gap_percentiles", "global_importance", "ks_statistic", "pr_curve", "pr_summary", "psi",
     "recency_baseline_score", "rename_to_contract", "shapley_contributions", "single_customer_features",
     "split_counts", "summary_drift", "temporal_split", "train_churn_model", "validate_and_clean",
+    "validation_report",
 ]

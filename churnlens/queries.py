@@ -85,8 +85,7 @@ def q_clean_transactions(spark, sf):
 
 
 def q_validation_report(spark, sf):
-    _, report = C.validate_and_clean(_raw(spark, sf), P.reference_date)
-    return report
+    return C.validation_report(_raw(spark, sf), P.reference_date)
 
 
 def q_customer_features_asof(spark, sf):
