@@ -87,3 +87,15 @@ def test_csv_parts_with_declared_schema(spark):
     assert counts == {NAMES[0]: 3, NAMES[1]: 2, "total": 5}
     row = tagged.filter("Invoice = '100'").first()
     assert row["Customer ID"] == 17850.0 and row["InvoiceDate"] == datetime(2010, 1, 1)
+
+
+def test_list_parts_skips_markers_and_reads_partition_folders(spark):
+    from churnlens.sources.parts import list_parts
+    base = tempfile.mkdtemp(prefix="listparts-")
+    spark.createDataFrame(_rows(2, 1), SCHEMA).write.parquet(os.path.join(base, "b_part"))
+    spark.createDataFrame(_rows(1, 5), SCHEMA).write.parquet(os.path.join(base, "part=a_part"))
+    open(os.path.join(base, "_SUCCESS"), "w").close()
+    open(os.path.join(base, ".hidden"), "w").close()
+    found = list_parts(spark, base)
+    assert list(found) == ["a_part", "b_part"]
+    assert found["a_part"].endswith("part=a_part")
