@@ -14,6 +14,7 @@ from .license_scan import scan_licenses
 from .line_dedup import drop_boilerplate
 from .mixing import mix_sources
 from .packing import pack_documents
+from .partenum import similar_components
 from .quality import fit_quality, score_quality
 from .topk import topk_inner_product
 from .warc import archive_round_trip
@@ -50,6 +51,10 @@ def topk_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_inner_product(read_table(spark, sf_dir, "embeddings"))
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(read_table(spark, sf_dir, "documents"))
+
+
 def mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_license_scan": license_scan,
     "op6_line_dedup": line_dedup,
     "op7_topk_threshold": topk_threshold,
+    "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op9_mix_systematic": mix_systematic,
     "op10_pack_best_fit": pack_best_fit,
 }
