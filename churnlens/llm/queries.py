@@ -16,6 +16,7 @@ from .mixing import mix_sources
 from .packing import pack_documents
 from .partenum import similar_components
 from .quality import fit_quality, score_quality
+from .suffix_dedup import remove_repeats
 from .topk import topk_inner_product
 from .warc import archive_round_trip
 
@@ -40,6 +41,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(read_table(spark, sf_dir, "documents").withColumn("path", path))
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as pages of their source."""
     out = drop_boilerplate(read_table(spark, sf_dir, "documents"))
@@ -68,6 +74,7 @@ QUERIES = {
     "op2_quality_classifier": quality_classifier,
     "op3_warc_salvage": warc_salvage,
     "op4_license_scan": license_scan,
+    "op5_suffix_dedup": suffix_dedup,
     "op6_line_dedup": line_dedup,
     "op7_topk_threshold": topk_threshold,
     "op8_ngram_jaccard_join": ngram_jaccard_join,
