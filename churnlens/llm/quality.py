@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.session import materialize
+
 from .common import _BYTE_VALUES, binary_values, blocks_of, hashed_words, map_arrow, mix64, ship, text_of
 
 BITS = 18
@@ -78,10 +80,11 @@ def _blocks(column, bits: int):
         yield features(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i], bits)
 
 
-def train_ftrl(texts: list[bytes], labels: np.ndarray, bits: int = BITS, epochs: int = 4, alpha: float = 0.5,
-               beta: float = 1.0, l1: float = 0.0, l2: float = 0.05) -> np.ndarray:
-    """Weights after ``epochs`` passes in the given order."""
+def train_ftrl(texts: list[bytes], labels: np.ndarray, bits: int = BITS, min_updates: int = 20_000,
+               alpha: float = 1.0, beta: float = 1.0, l1: float = 0.0, l2: float = 0.01) -> np.ndarray:
+    """Weights after 4 to 20 passes in the given order, enough for ``min_updates`` updates if 20 do."""
     z, n = np.zeros(1 << bits), np.zeros(1 << bits)
+    epochs = min(20, max(4, -(-min_updates // max(1, len(texts)))))
     rows = []
     for starts, place, values in _blocks(pa.array(texts, pa.binary()), bits):
         rows += [(place[a:b].astype(np.int32), values[a:b].astype(np.float32)) for a, b in zip(starts[:-1], starts[1:])]
@@ -102,13 +105,13 @@ def train_ftrl(texts: list[bytes], labels: np.ndarray, bits: int = BITS, epochs:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                label_col: str = "quality", max_fit_rows: int = 20_000, shards: int = 8, bits: int = BITS,
+                label_col: str = "quality", max_fit_rows: int = 20_000, shard_rows: int = 2_500, bits: int = BITS,
                 **params) -> np.ndarray:
     """Weights learnt from labelled rows outside the held-out fold.
 
     At most ``max_fit_rows`` labelled ids are used, those of smallest hash, which
-    bounds what is broadcast and what a shard holds; scoring and all else cover every
-    row. Null labels are ignored, an id labelled twice takes its larger label, an id
+    bounds what is broadcast; they are trained in shards of some ``shard_rows``, so that no task
+    holds more, and averaged. Scoring and all else cover every row. Null labels are ignored, an id labelled twice takes its larger label, an id
     repeated in ``docs`` its smallest text. Without labelled rows all weights are 0.
     """
     ids = F.col(id_col).cast("long")
@@ -116,11 +119,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
               .filter(F.col("_id").isNotNull() & F.col("_y").isNotNull() & ~held_out(F.col("_id")))
               .groupBy("_id").agg(F.max("_y").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(max_fit_rows))
+    sample = materialize(sample, "labelled")
+    shards = max(1, sample.count() // shard_rows)
     rows = (docs.select(ids.alias("_id"), text_of(text_col).cast("binary").alias("_text"))
             .join(F.broadcast(sample), "_id")  # max_fit_rows pairs of numbers
             .groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
-            # shards of one size at every size of the table, of at least 2,000 rows each
-            .withColumn("_shard", F.pmod(F.xxhash64("_id"), F.lit(max(1, min(shards, max_fit_rows // 2000))))))
+            .withColumn("_shard", F.pmod(F.xxhash64("_id"), F.lit(shards))))
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.iloc[np.argsort(mix64(pdf["_id"].to_numpy().astype(np.uint64)))]
@@ -162,3 +166,21 @@ def score_quality(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), text_of(text_col).cast("binary").alias("_text"),
                        held_out(F.col(id_col).cast("long")).alias("held_out"))
     return map_arrow(rows, run, "_id long, held_out boolean, score double, predicted int").withColumnRenamed("_id", id_col)
+
+
+def keep_quality(docs: DataFrame, weights: np.ndarray, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns; they are
+    filtered where they lie. Null texts score as empty."""
+    model = docs.sparkSession.sparkContext.broadcast(weights)
+    bits = int(len(weights)).bit_length() - 1
+    at = docs.columns.index(text_col)
+    floor = float(np.log(least / (1 - least)))
+
+    def run(batches):
+        w = model.value
+        for batch in batches:
+            totals = [np.add.reduceat(w[place] * values, starts[:-1])
+                      for starts, place, values in _blocks(batch.column(at).cast(pa.large_binary()), bits)]
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0), *totals]) >= floor))
+
+    return map_arrow(docs, run, docs.schema)
