@@ -1,0 +1,62 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from churnlens.llm.topk import threshold_topk, topk_inner_product
+
+
+def brute(rows, every=50, k=5):
+    good = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    out = set()
+    for q, a in good.items():
+        if q % every == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good.items() if i != q and len(b) == len(a))
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])}
+    return out
+
+
+@pytest.mark.parametrize("blocks", [(8192, 2048), (40, 2)])
+def test_matches_brute_force(spark, blocks):
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(300)]
+    rows += [(i, rows[i - 300][1]) for i in range(300, 360)]  # ties
+    rows += [(1000, None), (1050, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (1100, [float("nan")] * 6), (1150, [float("inf")] * 6),
+             (1200, [0.0] * 6), (None, [1.0] * 6), (-50, [3.0] * 6)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = topk_inner_product(vectors, block_rows=blocks[0], query_rows=blocks[1])
+    assert {tuple(r) for r in out.select("query_id", "rank", "vec_id", "score").collect()} == brute(rows)
+
+
+def test_few_rows_large_values_repeats_and_empty(spark):
+    schema = "vec_id long, embedding array<float>, score long"
+    rows = [(0, [1.0, 2.0], 1), (0, [1.0, 2.0], 1), (1, [3e15, 1.0], 2), (2, [1.0], 3)]
+    out = [tuple(r) for r in topk_inner_product(spark.createDataFrame(rows, schema)).collect()]
+    big = 256 * math.floor(256 * float(np.float32(3e15))) + 512 * 256
+    assert out == [(0, 1, 1, min(big, (1 << 63) - 1))]
+    assert topk_inner_product(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_threshold_stops_early_and_keeps_ties():
+    rng = np.random.default_rng(0)
+    values = rng.integers(0, 20, (5000, 4)).astype(float)
+    ids = rng.permutation(5000)
+    order = np.argsort(values, axis=0, kind="stable")
+    for query in (np.array([9.0, 0.0, 0.0, 0.0]), np.array([1.0, -2.0, 0.0, 3.0]), np.zeros(4)):
+        rows, scores = threshold_topk(query, values, order, ids, 7)
+        want = np.lexsort((ids, -(values @ query)))[:7]
+        assert (rows == want).all() and (scores == values[want] @ query).all()
+    values[0] = 1000.0
+    order = np.argsort(values, axis=0, kind="stable")
+
+    class Counting(np.ndarray):
+        touched = 0
+
+        def __getitem__(self, key):
+            if isinstance(key, np.ndarray):
+                Counting.touched += key.size
+            return super().__getitem__(key)
+    rows, _ = threshold_topk(np.ones(4), values.view(Counting), order, ids, 1)
+    assert rows[0] == 0 and Counting.touched < 1000
