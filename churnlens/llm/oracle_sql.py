@@ -20,6 +20,22 @@ SELECT page_id, strlen(x)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM f""",
+    "op5_suffix_dedup": """
+WITH t AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+n AS (SELECT doc_id, octet_length(b) AS n_bytes, h FROM t),
+w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS x
+      FROM (SELECT doc_id, h, unnest(range(n_bytes - 99)) AS i FROM n WHERE n_bytes >= 100)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k FROM w) WHERE k > 1),
+e AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS edge FROM r),
+g AS (SELECT *, sum(edge) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM e),
+s AS (SELECT doc_id, run, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, run),
+ends AS (SELECT doc_id, a, z FROM s UNION ALL SELECT doc_id, n_bytes, n_bytes FROM n),
+k AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a, z), 0) AS last FROM ends),
+kept AS (SELECT k.doc_id, string_agg(substr(n.h, 2 * last + 1, 2 * (a - last)), '' ORDER BY a, z) AS h
+         FROM k JOIN n USING (doc_id) GROUP BY k.doc_id)
+SELECT n.doc_id, n.n_bytes, coalesce(sum(z - a), 0)::BIGINT AS n_removed, count(s.doc_id) AS n_spans,
+       sha256(unhex(any_value(kept.h))) AS kept_sha256
+FROM n JOIN kept USING (doc_id) LEFT JOIN s USING (doc_id) GROUP BY n.doc_id, n.n_bytes""",
     "op6_line_dedup": f"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, source, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
 l AS (SELECT r, doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM t),
@@ -41,6 +57,18 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sum(q.x * c.x)::BIGINT AS
       FROM d q JOIN d c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 5""",
+    "op8_ngram_jaccard_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS x
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON e.a = reach.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id""",
     "op9_mix_systematic": f"""
 WITH t AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2))::BIGINT AS salt FROM documents),

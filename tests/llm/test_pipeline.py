@@ -1,0 +1,88 @@
+"""The pipeline's stages against plain Python forms, on documents of sf0.001."""
+
+import pytest
+
+import corpus_pipeline
+from churnlens.llm.common import read_table
+from churnlens.llm.mixing import mix_sources
+from churnlens.llm.quality import fit_quality, score_quality
+from churnlens.session import materialize
+
+from .brute import exact_groups, jaccard_components
+
+SF = "/root/testdata/sf0.001"
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = read_table(spark, SF, "documents")
+    found = {"documents": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = found[name] = materialize(stage(spark, docs, SF))
+    return found
+
+
+def ids(df):
+    return sorted(r["doc_id"] for r in df.select("doc_id").collect())
+
+
+def test_quality_drops_what_the_classifier_rejects(spark, stages):
+    docs = stages["documents"]
+    scored = score_quality(docs, fit_quality(docs, read_table(spark, SF, "labels")))
+    assert ids(stages["quality"]) == ids(scored.filter("predicted = 1"))
+    wrong = scored.join(read_table(spark, SF, "labels"), "doc_id").filter("quality != predicted").count()
+    assert wrong <= 2
+
+
+def test_exact_and_near_keep_the_smallest_id(stages):
+    rows = [tuple(r) for r in stages["quality"].collect()]
+    assert ids(stages["exact"]) == sorted(d for d, g in exact_groups(rows).items() if g[2])
+    rows = [tuple(r) for r in stages["exact"].collect()]
+    assert ids(stages["near"]) == sorted(d for d, g in jaccard_components(rows).items() if g[1] == d)
+
+
+def test_mix_repeats_rows_as_decided(stages):
+    want = sorted(r["doc_id"] for r in mix_sources(stages["near"]).collect() for _ in range(r["copies"]))
+    assert ids(stages["mix"]) == want
+
+
+def test_pack_holds_every_copy(stages):
+    mixed = {r["doc_id"]: r for r in stages["mix"].collect()}
+    copies = {r["doc_id"]: r["count"] for r in stages["mix"].groupBy("doc_id").count().collect()}
+    out = stages["pack"].collect()
+    pieces = {}
+    for r in out:
+        pieces.setdefault((r["doc_id"], r["piece"]), []).append(r)
+    assert all(len(found) == copies[d] for (d, _), found in pieces.items())
+    once = [found[0] for found in pieces.values()]
+    assert {r["doc_id"] for r in once} == set(mixed)
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for spans in sequences.values():
+        spans.sort()
+        assert spans[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:]))
+        assert sum(n for _, n in spans) <= 1024
+    least = -(-sum(r["length"] for r in out) // 1024)
+    assert len(sequences) <= 1.02 * least + 1
+
+
+def test_columns_and_run(spark, stages):
+    columns = stages["documents"].columns
+    assert all(stages[name].columns == columns for name, _ in corpus_pipeline.STAGES[:-1])
+    assert sorted(map(str, corpus_pipeline.run(spark, SF).select("doc_id", "piece", "length", "ids_crc32").collect())) == \
+        sorted(map(str, stages["pack"].select("doc_id", "piece", "length", "ids_crc32").collect()))
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_every_stage_takes_awkward_and_empty_tables(spark, name):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, copies string, _key int"
+    rows = [(None, None, None, None, None, "a", 1), (4, "same text", "en", "s", 9, "b", 2), (4, "same text", "en", "s", 9, "b", 2),
+            (5, "", None, None, 0, "c", 3), (6, "w " * 30_000, "en", "t", 60_000, "d", 4)]
+    docs = spark.createDataFrame(rows, schema)
+    for df in (docs, docs.limit(0)):
+        out = STAGES[name](spark, df, SF)
+        rows = out.collect()
+        assert out.columns == docs.columns or name == "pack"
+        assert len(rows) > 0 or df is not docs
