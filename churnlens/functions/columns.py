@@ -39,7 +39,7 @@ def cancellation_flag(invoice: Column) -> Column:
 
 def nan_to_null(c: Column) -> Column:
     """NaN and NULL are one missing value (pandas isna); keep only NULL."""
-    return F.nanvl(c, F.lit(None).cast("double"))
+    return F.when(~F.isnan(c), c)
 
 
 def canonical_key(c: Column) -> Column:

@@ -9,6 +9,7 @@ and the snapshot panel (plans.snapshots) both end in ``finish_features``.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql.window import WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +30,10 @@ class Money:
 
     A decimal price (scale s, unscaled value fitting a long) is summed as
     integer minor units in bigint -- exact, order-independent and on the
-    fast long path instead of 38-digit decimal arithmetic (ANSI mode raises
-    on overflow rather than wrapping) -- and turned into a double once, at
-    the end: the same correctly rounded double as the exact decimal sum.
-    Any other price type is summed as its plain product.
+    fast long path instead of 38-digit decimal arithmetic -- and turned into
+    a double once, at the end: the same correctly rounded double as the
+    exact decimal sum. A product or total beyond a long raises, whatever the
+    session's ANSI setting. Any other price type is summed as its plain product.
     """
 
     def __init__(self, df: DataFrame):
@@ -40,10 +41,22 @@ class Money:
         self.scale = t.scale if isinstance(t, T.DecimalType) and t.precision <= 18 and t.scale <= 6 else None
 
     def line_value(self) -> Column:
+        quantity, price = F.col("quantity"), F.col("price")
         if self.scale is None:
-            return F.col("quantity") * F.col("price")
-        units = (F.col("price") * F.lit(10 ** self.scale)).cast("bigint")  # exact: scale digits only
-        return F.col("quantity").cast("bigint") * units
+            return quantity * price
+        units = (price * F.lit(10 ** self.scale)).cast("bigint")  # exact: scale digits only
+        product = F.try_multiply(quantity.cast("bigint"), units)
+        return F.when(quantity.isNull() | price.isNull(), F.lit(None)).otherwise(
+            F.coalesce(product, F.raise_error(F.lit("line value beyond a long")).cast("bigint")))
+
+    def total(self, value: Column, over: WindowSpec | None = None) -> Column:
+        """Sum of line values or of partial sums, as an aggregate or over a window."""
+        total, n = (F.sum(value), None) if self.scale is None else (F.try_sum(value), F.count(value))
+        if over is not None:
+            total, n = total.over(over), None if n is None else n.over(over)
+        if n is None:
+            return total
+        return F.when(n > 0, F.coalesce(total, F.raise_error(F.lit("sum of line values beyond a long")).cast("bigint")))
 
     def to_double(self, total: Column) -> Column:
         if self.scale is None:
@@ -87,7 +100,7 @@ def customer_features(clean: DataFrame, as_of_date) -> DataFrame:
         F.min(F.when(real, F.col("invoice_date"))).alias("first_real_ts"),
         F.count_distinct(F.when(real, F.col("invoice"))).alias("n_invoices"),
         F.count_distinct(F.when(real, F.col("stock_code"))).alias("n_products"),
-        F.sum(money.line_value()).alias("value_sum"),
+        money.total(money.line_value()).alias("value_sum"),
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"),
     ).filter(F.col("n_real") > 0)

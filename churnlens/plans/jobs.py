@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from churnlens.operators import clean as C
 from churnlens.plans import snapshots as S
-from churnlens.schemas import FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA
+from churnlens.plans.calendar import calendar_for
+from churnlens.schemas import FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA, require_columns
 from churnlens.sources.parts import PART_COLUMN, load_parts, verify_row_count
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 
@@ -45,6 +46,7 @@ def run_validation(spark: SparkSession, raw_target: TableTarget, clean_target: T
     raw = raw_target.read(spark)
     ref = C.resolve_reference_date(reference_date)
     renamed = C.rename_to_contract(raw)
+    require_columns(renamed, C.REQUIRED, "raw transactions")
     distinct = C.distinct_with_copies(renamed)
     obs = Observation("validation_counts")
     clean = C.clean_from_distinct(distinct.observe(obs, *C.report_aggregates(ref)), ref)
@@ -66,13 +68,22 @@ def run_validation(spark: SparkSession, raw_target: TableTarget, clean_target: T
 
 
 def run_feature_engineering(spark: SparkSession, clean_target: TableTarget, panel_target: TableTarget,
-                            report_path: str, snapshot_start_date, threshold_days: int,
-                            method: str = "bucketed") -> dict:
-    """U14 + U16 + U18: clean -> panel table + JSON report, then the count check."""
+                            report_path: str, snapshot_start_date, threshold_days: int) -> dict:
+    """U14 + U16 + U17 + U18: clean -> panel table + JSON report, then the checks.
+
+    The population of each snapshot is derived again from the clean table; a
+    panel that holds other customers raises and names the snapshots.
+    """
     clean = clean_target.read(spark)
-    panel, _, cal = S.build_customer_snapshots(clean, snapshot_start_date, threshold_days, method)
-    panel_target.write(panel)
+    cal = calendar_for(clean, snapshot_start_date, threshold_days)
+    panel_target.write(S.snapshot_panel(clean, cal))
     written = panel_target.read(spark)
+    # one row per month reaches the driver
+    odd = S.population_parity(clean, written, cal).filter("n_only_features > 0 OR n_only_labels > 0").collect()
+    if odd:
+        raise ValueError("the panel's population is not that of the labels at "
+                         + ", ".join(f"{r['snapshot_date']:%Y-%m-%d} ({r['n_only_features']} only in the panel, "
+                                     f"{r['n_only_labels']} missing)" for r in odd))
     # the report reads two narrow columns of the written panel
     write_report_json(S.panel_report(written, cal), report_path)
     stored = read_report_json(spark, report_path, PANEL_REPORT_SCHEMA).first()

@@ -17,10 +17,10 @@ computed by column arithmetic (no join with the calendar):
    sums/min/max give the features, a reverse running min of real purchase
    times gives the label.
 
-The "range" plan joins every line to every later snapshot (broadcast
-calendar, non-equi join) and aggregates per (customer, T). Its cost grows
-with lines x snapshots; it is kept for small inputs and as the
-cross-check of the bucketed plan.
+The "range" plan gives every line to every later snapshot (the snapshots of
+a line are a run of months, so they are generated, not joined) and aggregates
+per (customer, T). Its cost grows with lines x snapshots; it is the
+cross-check of the bucketed plan and no job runs it.
 """
 
 from __future__ import annotations
@@ -55,10 +55,10 @@ def _relevant_lines(clean: DataFrame, cal: Calendar) -> DataFrame:
     return clean.filter(ts.isNotNull() & (ts <= ntz(horizon)))
 
 
-def _bucket_columns(cal: Calendar) -> dict[str, Column]:
+def _bucket_columns(cal: Calendar, ts: Column | None = None) -> dict[str, Column]:
     """g = #{usable T_i <= ts} (capped at K) and whether ts == T_{g-1} exactly."""
     k = cal.n_usable
-    ts = F.col("invoice_date")
+    ts = F.col("invoice_date") if ts is None else ts
     idx = (F.year(ts) - cal.first.year) * 12 + (F.month(ts) - cal.first.month)
     month_start = _snapshot_date(cal, idx)  # T_idx, extended past the calendar
     g = (F.when(ts < ntz(cal.first), F.lit(0))
@@ -87,7 +87,7 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
     # 1. partials per (customer, bucket)
     per_bucket = lines.groupBy("customer_id", "g").agg(
         F.count_if(real).alias("n_real"),
-        F.sum("value").alias("value_sum"),
+        money.total(F.col("value")).alias("value_sum"),
         F.count(F.lit(1)).alias("n_lines"),
         F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"),
         F.max(F.when(real, ts)).alias("max_real"),
@@ -106,7 +106,7 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
                 .unionByName(first_seen("stock_code", "n_new_products"), allowMissingColumns=True)
                 .groupBy("customer_id", "g").agg(
                     F.sum("n_real").alias("n_real"),
-                    F.sum("value_sum").alias("value_sum"),
+                    money.total(F.col("value_sum")).alias("value_sum"),
                     F.sum("n_lines").alias("n_lines"),
                     F.sum("n_nonpos").alias("n_nonpos"),
                     F.max("max_real").alias("max_real"),
@@ -134,7 +134,7 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
     running = spine.select(
         "customer_id", "j",
         F.sum("n_real").over(upto).alias("cum_real"),
-        F.sum("value_sum").over(upto).alias("value_sum"),
+        money.total(F.col("value_sum"), upto).alias("value_sum"),
         F.sum("n_lines").over(upto).alias("n_lines"),
         F.sum("n_nonpos").over(upto).alias("n_nonpos"),
         F.max("max_real").over(upto).alias("last_real_ts"),
@@ -154,25 +154,32 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
     return out.withColumn("is_churned", churned).select(*SNAPSHOT_COLUMNS)
 
 
+def _at_snapshots(df: DataFrame, cal: Calendar, first: Column) -> DataFrame:
+    """Each row once per snapshot from the ``first``-th on, as ``T``."""
+    last = F.lit(cal.n_usable - 1)
+    return (df.withColumn("_first", first).filter(F.col("_first") <= last)
+            .withColumn("_j", F.explode(F.sequence(F.col("_first"), last)))
+            .withColumn("T", _snapshot_date(cal, F.col("_j"))).drop("_first", "_j"))
+
+
 def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
-    """U14, range-join plan: every line x every snapshot it can affect."""
+    """U14, range plan: every line at every snapshot it can affect."""
     if cal.n_usable == 0:
         return _empty_panel(clean)
-    # The calendar has one row per month: broadcasting it is size-bounded.
-    snaps = F.broadcast(calendar_frame(clean.sparkSession, cal, usable_only=True)
-                        .select(F.col("snapshot_date").alias("T")))
     ts = F.col("invoice_date")
     t = F.col("T")
     lines = _relevant_lines(clean, cal)
     money = Money(clean)
-    joined = lines.join(snaps, ts <= t + _days(cal.threshold_days))
+    # the first snapshot with ts <= T + N: snapshots strictly before ts - N come earlier
+    back = _bucket_columns(cal, ts - _days(cal.threshold_days))
+    joined = _at_snapshots(lines, cal, back["g"] - back["on_boundary"].cast("int"))
     before = ts < t
     real_before = before & is_real()
     agg = joined.groupBy("customer_id", "T").agg(
         F.count_if(real_before).alias("n_real"),
         F.max(F.when(real_before, ts)).alias("last_real_ts"),
         F.min(F.when(real_before, ts)).alias("first_real_ts"),
-        F.sum(F.when(before, money.line_value())).alias("value_sum"),
+        money.total(F.when(before, money.line_value())).alias("value_sum"),
         F.count_if(before).alias("n_lines"),
         F.count_if(before & F.col("has_non_positive_quantity")).alias("n_nonpos"),
         F.bool_or((ts > t) & is_real()).alias("_returned"),
@@ -182,8 +189,8 @@ def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
     # line is before T (no distinct aggregation over the joined rows)
     def distinct_before(key: str, out: str) -> DataFrame:
         firsts = (lines.filter(is_real() & F.col(key).isNotNull())
-                  .groupBy("customer_id", key).agg(F.min("invoice_date").alias("_first")))
-        return (firsts.join(snaps, F.col("_first") < t)
+                  .groupBy("customer_id", key).agg(F.min("invoice_date").alias("_seen")))
+        return (_at_snapshots(firsts, cal, _bucket_columns(cal, F.col("_seen"))["g"])
                 .groupBy("customer_id", "T").agg(F.count(F.lit(1)).alias(out)))
 
     agg = (agg.join(distinct_before("invoice", "n_invoices"), ["customer_id", "T"], "left")
@@ -288,16 +295,11 @@ def population_parity(clean: DataFrame, panel: DataFrame, cal: Calendar) -> Data
           ["n_feature_rows", "n_label_rows", "n_only_features", "n_only_labels"]])
 
 
-def build_customer_snapshots(clean: DataFrame, snapshot_start_date, threshold_days: int,
-                             method: str = "bucketed") -> tuple[DataFrame, DataFrame, Calendar]:
+def build_customer_snapshots(clean: DataFrame, snapshot_start_date,
+                             threshold_days: int) -> tuple[DataFrame, DataFrame, Calendar]:
     """(panel, nested report row, calendar)."""
     cal = calendar_for(clean, snapshot_start_date, threshold_days)
-    if method == "bucketed":
-        panel = snapshot_panel(clean, cal)
-    elif method == "range":
-        panel = snapshot_panel_range(clean, cal)
-    else:
-        raise ValueError(f"method must be 'bucketed' or 'range', got {method!r}")
+    panel = snapshot_panel(clean, cal)
     return panel, panel_report(panel, cal), cal
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column, flag and report field names below are the output contract.
 RAW_COLUMNS = ["Invoice", "StockCode", "Description", "Quantity", "InvoiceDate", "Price",
                "Customer ID", "Country"]
 
@@ -13,7 +14,7 @@ RAW_SCHEMA = T.StructType([
     T.StructField("Description", T.StringType()),
     T.StructField("Quantity", T.LongType()),
     T.StructField("InvoiceDate", T.TimestampNTZType()),
-    T.StructField("Price", T.DecimalType(12, 2)),
+    T.StructField("Price", T.DoubleType()),  # as in the source: any number of digits
     T.StructField("Customer ID", T.DoubleType()),
     T.StructField("Country", T.StringType()),
 ])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping
 
@@ -10,16 +11,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MODES = ("replace", "append")
+_VERSION = "v-"
+_POINTER = "_CURRENT"
 SYNTHETIC_KEY = "_id"
 
 
 class TableTarget:
     """A persisted table at a path: read whole, write replace or append.
 
-    ``replace`` rewrites the table (an empty input leaves an empty table
-    that keeps its schema); ``append`` adds rows and keeps history. Spark
-    tasks write their partitions in parallel; there is no driver-side
-    batching.
+    ``replace`` writes a version folder beside the versions before it and then
+    switches a small pointer file to it, so a reader sees one whole table or
+    the other, also when a writer dies half-way; nothing is copied. The
+    version before is kept for frames that still read it, older ones are
+    deleted. An empty input leaves an empty table that keeps its schema.
+    ``append`` adds rows and keeps history. Spark tasks write their
+    partitions in parallel; there is no driver-side batching.
     """
 
     def __init__(self, path: str, mode: str = "replace", fmt: str = "parquet",
@@ -32,7 +38,7 @@ class TableTarget:
         hash buckets before writing: a bounded number of files per folder,
         without sending a whole partition value through one task."""
         if mode not in _MODES:
-            raise ValueError(f"mode must be 'replace' or 'append', got {mode!r}")
+            raise ValueError(f"a table is written with mode {' or '.join(map(repr, _MODES))}; {mode!r} is neither")
         self.path = path
         self.mode = mode
         self.fmt = fmt
@@ -45,31 +51,55 @@ class TableTarget:
         try:
             path = config["path"]
         except KeyError as exc:
-            raise KeyError(f"table config requires a 'path' key; got keys={sorted(config)}") from exc
+            raise KeyError(f"no 'path' among the table's settings {sorted(config)}") from exc
         return cls(path, mode=config.get("mode", "replace"), fmt=config.get("format", "parquet"))
 
     def describe(self) -> dict:
         return {"path": self.path, "mode": self.mode, "format": self.fmt}
 
     def write(self, df: DataFrame) -> None:
-        """Replace: the new table is written completely to a staging path next
-        to the target and only then swapped in, so readers never see a
-        half-written table and a frame read from the target itself can
-        replace it. Append: tasks add files to the table in parallel.
-        """
         if not isinstance(df, DataFrame):
-            raise TypeError(f"TableTarget.write expects a pyspark DataFrame, got {type(df).__name__}")
+            raise TypeError(f"only a pyspark DataFrame can be written as a table, this is a {type(df).__name__}")
+        spark = df.sparkSession
         if self.mode == "append":
-            self._writer(df).mode("append").save(self.path)
+            self._writer(df).mode("append").save(self._location(spark))
             return
-        staging = f"{self.path.rstrip('/')}.staging-{uuid.uuid4().hex[:12]}"
-        self._writer(df).mode("errorifexists").save(staging)
-        fs, jpath = _hadoop_path(df.sparkSession, self.path)
-        _, jstaging = _hadoop_path(df.sparkSession, staging)
-        if fs.exists(jpath):
-            fs.delete(jpath, True)
-        if not fs.rename(jstaging, jpath):
-            raise OSError(f"could not move {staging} to {self.path}")
+        version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        self._writer(df).mode("errorifexists").save(f"{self.path.rstrip('/')}/{version}")
+        self._publish(spark, version)
+
+    def _publish(self, spark: SparkSession, version: str) -> None:
+        """Make ``version`` the table: the pointer is replaced in one rename."""
+        fs, root = _hadoop_path(spark, self.path)
+        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        before = self._current(spark)
+        draft, pointer = jvm.Path(root, f".{_POINTER}-{version}"), jvm.Path(root, _POINTER)
+        stream = fs.create(draft)
+        stream.write(bytearray(version.encode()))
+        stream.close()
+        jvm.FileContext.getFileContext(root.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+            draft, pointer, _overwrite(spark, jvm))
+        for status in fs.listStatus(root):
+            name = status.getPath().getName()
+            if name.startswith(_VERSION) and name not in (version, before):
+                fs.delete(status.getPath(), True)
+
+    def _current(self, spark: SparkSession) -> str | None:
+        """Name of the version that the pointer shows, if there is one."""
+        fs, root = _hadoop_path(spark, self.path)
+        pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, _POINTER)
+        if not fs.exists(pointer):
+            return None
+        stream = fs.open(pointer)
+        try:
+            return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def _location(self, spark: SparkSession) -> str:
+        """The folder of the data files: the current version, or the path itself."""
+        version = self._current(spark)
+        return f"{self.path.rstrip('/')}/{version}" if version else self.path
 
     def _writer(self, df: DataFrame):
         if self.partition_by and self.files_per_partition:
@@ -93,7 +123,7 @@ class TableTarget:
         reader = spark.read.format(self.fmt)
         if self.schema is not None:
             reader = reader.schema(self.schema)
-        df = reader.load(self.path)
+        df = reader.load(self._location(spark))
         if self.schema is not None:  # partition columns come last from the reader
             return df.select(*[F.col(f"`{c}`") for c in self.schema.names])
         # a store-assigned synthetic key is never part of the table
@@ -108,6 +138,13 @@ def _hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def _overwrite(spark: SparkSession, jvm):
+    """The one-element array of rename options that replaces a file."""
+    options = spark.sparkContext._gateway.new_array(getattr(jvm, "Options$Rename"), 1)
+    options[0] = getattr(jvm, "Options$Rename").OVERWRITE
+    return options
+
+
 def write_report_json(report: DataFrame, path: str) -> None:
     """A report is a one-row frame (structs and arrays of structs)."""
     report.coalesce(1).write.mode("overwrite").json(path)

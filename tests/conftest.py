@@ -3,31 +3,16 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
-from datetime import datetime
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-CLEAN_SCHEMA = T.StructType([
-    T.StructField("invoice", T.StringType()),
-    T.StructField("stock_code", T.StringType()),
-    T.StructField("description", T.StringType()),
-    T.StructField("quantity", T.LongType()),
-    T.StructField("invoice_date", T.TimestampNTZType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("customer_id", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("is_cancellation", T.BooleanType(), False),
-    T.StructField("has_non_positive_quantity", T.BooleanType(), False),
-    T.StructField("has_non_positive_price", T.BooleanType(), False),
-    T.StructField("has_null_invoice_date", T.BooleanType(), False),
-    T.StructField("has_future_invoice_date", T.BooleanType(), False),
-])
-
+from churnlens.schemas import CLEAN_COLUMNS  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
@@ -44,25 +29,20 @@ def spark():
     yield s
 
 
-def ts(value):
-    if value is None:
-        return None
-    return datetime.fromisoformat(value)
-
-
-def row(invoice, stock_code, quantity, invoice_date, price, customer_id):
-    """A clean-transaction row with flags computed like the cleaning step."""
-    return (invoice, stock_code, f"item {stock_code}", quantity, ts(invoice_date), price, customer_id,
-            "United Kingdom",
-            invoice is not None and invoice.upper().strip().startswith("C"),
-            quantity is not None and quantity <= 0,
-            price is not None and price <= 0,
-            invoice_date is None,
-            False)
-
-
 @pytest.fixture
 def make_clean(spark):
-    def _make(rows):
-        return spark.createDataFrame([row(*r) for r in rows], CLEAN_SCHEMA)
-    return _make
+    """Lines (invoice, stock code, quantity, date text, price, customer) through the cleaning
+    steps that add columns; no line is dropped."""
+    from churnlens.operators import clean as C
+
+    raw = T.StructType([T.StructField("Invoice", T.StringType()), T.StructField("StockCode", T.StringType()),
+                        T.StructField("Quantity", T.LongType()), T.StructField("When", T.StringType()),
+                        T.StructField("Price", T.DoubleType()), T.StructField("Customer ID", T.DoubleType())])
+
+    def build(lines):
+        df = spark.createDataFrame([(*line[:5], float(line[5])) for line in lines], raw)
+        df = (df.withColumn("InvoiceDate", F.col("When").cast("timestamp_ntz")).drop("When")
+              .withColumn("Description", F.lit("thing")).withColumn("Country", F.lit("Somewhere")))
+        clean = C.cast_customer_key(C.add_quality_flags(C.rename_to_contract(df), "2999-01-01"))
+        return clean.select(CLEAN_COLUMNS)
+    return build

@@ -1,4 +1,4 @@
-"""Cleaning rules and validation report (fixture of 12 raw rows)."""
+"""Cleaning rules and validation report."""
 
 from __future__ import annotations
 
@@ -11,86 +11,68 @@ from churnlens.operators import clean as C
 from churnlens.schemas import CLEAN_COLUMNS, FLAG_COLUMNS, RAW_SCHEMA
 from pyspark.sql import types as T
 
-RAW_DOUBLE_PRICE = T.StructType([
-    f if f.name != "Price" else T.StructField("Price", T.DoubleType()) for f in RAW_SCHEMA.fields])
-
 D = datetime.fromisoformat
+REF = "2012-12-31"
 
 
 def raw_rows():
-    u = "United Kingdom"
+    """Own export: (invoice, code, text, quantity, date, price, customer, country)."""
+    tea = ("g1", "TEA", "Tea", 3, D("2012-03-03"), 1.25, 61.0, "Chile")
     return [
-        ("536365", "85123A", "WHITE HANGING HEART", 6, D("2011-01-01"), 2.55, 17850.0, u),
-        ("536365", "85123A", "WHITE HANGING HEART", 6, D("2011-01-01"), 2.55, 17850.0, u),
-        ("536366", "71053", "WHITE METAL LANTERN", 6, D("2011-01-02"), 3.39, 13047.0, u),
-        ("c536367", "84406B", "CREAM CUPID HEARTS", 8, D("2011-01-03"), 2.75, 13047.0, u),
-        ("536368", "84029G", "KNITTED UNION FLAG", -1, D("2011-01-04"), 3.39, 13047.0, u),
-        ("536369", "84029E", "RED WOOLLY HOTTIE", 1, D("2011-01-05"), 0.0, 13047.0, u),
-        ("536370", "84029G", "KNITTED UNION FLAG", 1, None, 5.95, 13047.0, u),
-        ("536371", "84029E", "RED WOOLLY HOTTIE", 1, D("2011-02-01"), 5.95, 13047.0, u),
-        ("C536372", "85123A", "WHITE HANGING HEART", 0, D("2011-03-01"), 0.0, None, u),
-        (None, "71053", "WHITE METAL LANTERN", 3, D("2011-01-07"), 1.50, 13047.0, u),
-        ("536374", "84406B", "CREAM CUPID HEARTS", 5, None, 2.00, 13047.0, u),
-        ("536375", "85123A", "WHITE HANGING HEART", 6, D("2011-01-01"), 2.55, 17850.0, u),
+        tea, tea, tea,                                                              # two copies go
+        tea[:3] + (4,) + tea[4:],                                                   # differs in one column: stays
+        ("g2", "CUP", "Cup", 1, D("2012-03-04"), 6.0, 62.0, "Peru"),
+        (" C3", "CUP", "Cup", -1, D("2012-03-05"), 6.0, 62.0, "Peru"),              # cancelled, quantity below 0
+        ("g4", "CUP", "Cup", 0, D("2012-03-06"), 6.0, 62.0, "Peru"),                # quantity 0
+        ("g5", "JAR", "Jar", 2, D("2012-03-07"), 0.0, 63.0, "Peru"),                # price 0
+        ("g6", "JAR", "Jar", 2, D("2012-03-08"), -0.5, 63.0, "Peru"),               # price below 0
+        ("g7", "JAR", None, 2, None, 0.001, 63.0, "Peru"),                          # no date
+        ("g8", "JAR", "Jar", 2, D("2013-01-01"), 1.0, 63.0, None),                  # after the reference date
+        ("g9", "JAR", "Jar", 2, D("2012-12-31"), 1.0, 63.0, "Peru"),                # on it
+        (None, "JAR", "Jar", 2, D("2012-03-09"), 1.0, 63.0, "Peru"),                # no invoice: kept, not cancelled
+        ("C10", "JAR", "Jar", -2, None, 0.0, None, "Peru"),                         # no customer: out, in no flag
+        ("g11", "JAR", "Jar", 2, D("2012-03-09"), 1.0, float("nan"), "Peru"),       # no customer either
     ]
 
 
 @pytest.fixture
 def raw(spark):
-    return spark.createDataFrame(raw_rows(), RAW_DOUBLE_PRICE)
+    return spark.createDataFrame(raw_rows(), RAW_SCHEMA)
 
 
 def test_report_counts_and_invariant(raw):
-    clean, report = C.validate_and_clean(raw, "2011-01-15")
+    clean, report = C.validate_and_clean(raw, REF)
     r = report.first().asDict()
-    assert r["source_rows"] == 12
-    assert r["duplicate_rows_dropped"] == 1
-    assert r["rows_without_customer_id_excluded"] == 1
-    assert r["clean_transactions_rows"] == 10
-    assert r["reference_date_used"] == "2011-01-15T00:00:00"
-    assert {f: r[f] for f in FLAG_COLUMNS} == {
-        "is_cancellation": 1, "has_non_positive_quantity": 1, "has_non_positive_price": 1,
-        "has_null_invoice_date": 2, "has_future_invoice_date": 1}
-    assert (r["source_rows"] - r["duplicate_rows_dropped"] - r["rows_without_customer_id_excluded"]
-            == r["clean_transactions_rows"] == clean.count())
-
-
-def test_columns_in_contract_order(raw):
-    clean, _ = C.validate_and_clean(raw, "2011-01-15")
-    assert clean.columns == CLEAN_COLUMNS
-
-
-def test_near_duplicate_kept_exact_dropped(raw):
-    clean, _ = C.validate_and_clean(raw, "2011-01-15")
-    invoices = [r["invoice"] for r in clean.filter(F.col("customer_id") == "17850").collect()]
-    assert sorted(invoices) == ["536365", "536375"]
-
-
-def test_customer_key_is_integral_string(raw):
-    clean, _ = C.validate_and_clean(raw, "2011-01-15")
-    ids = {r["customer_id"] for r in clean.select("customer_id").distinct().collect()}
-    assert ids == {"17850", "13047"}
-    assert dict(clean.dtypes)["customer_id"] == "string"
+    assert (r["source_rows"], r["duplicate_rows_dropped"], r["rows_without_customer_id_excluded"],
+            r["clean_transactions_rows"]) == (15, 2, 2, 11)
+    assert [r[f] for f in ("is_cancellation", "has_non_positive_quantity", "has_non_positive_price", "has_null_invoice_date",
+                           "has_future_invoice_date")] == [1, 2, 2, 1, 1]
+    assert r["reference_date_used"] == "2012-12-31T00:00:00"
+    assert clean.count() == r["clean_transactions_rows"]
 
 
-def test_flags_are_non_null_booleans(raw):
-    clean, _ = C.validate_and_clean(raw, "2011-01-15")
-    dtypes = dict(clean.dtypes)
-    for f in FLAG_COLUMNS:
-        assert dtypes[f] == "boolean"
-        assert clean.filter(F.col(f).isNull()).count() == 0
+def test_contract_columns_types_and_keys(raw):
+    clean, _ = C.validate_and_clean(raw, REF)
+    kinds = dict(clean.dtypes)
+    assert clean.columns == CLEAN_COLUMNS and kinds["customer_id"] == "string"
+    assert all(kinds[f] == "boolean" for f in FLAG_COLUMNS)
+    rows = clean.collect()
+    assert {r["customer_id"] for r in rows} == {"61", "62", "63"}
+    assert all(r[f] is not None for r in rows for f in FLAG_COLUMNS)
+    assert sorted(r["quantity"] for r in rows if r["invoice"] == "g1") == [3, 4]
+    assert [r["price"] for r in rows if r["invoice"] == "g7"] == [0.001]
 
 
-def test_excluded_row_reaches_no_flag(raw):
-    # the only price <= 0 rows: row 5 (kept) and row 8 (no customer)
-    _, report = C.validate_and_clean(raw, "2011-01-15")
-    assert report.first()["has_non_positive_price"] == 1
+def test_a_float_column_keeps_its_type(spark):
+    raw = spark.createDataFrame(raw_rows(), RAW_SCHEMA).withColumn("Price", F.col("Price").cast("float"))
+    clean, _ = C.validate_and_clean(raw, REF)
+    assert dict(clean.dtypes)["price"] == "float"
 
 
 def test_clock_fallback(spark):
     future = datetime.now() + timedelta(days=3650)
     rows = [("1", "A", 1, future, 1.0, 1.0, "X"), ("2", "A", 1, D("2000-01-01"), 1.0, 1.0, "X")]
-    raw = spark.createDataFrame([(r[0], r[1], "d", r[2], r[3], r[4], r[5], r[6]) for r in rows], RAW_DOUBLE_PRICE)
+    raw = spark.createDataFrame([(r[0], r[1], "d", r[2], r[3], r[4], r[5], r[6]) for r in rows], RAW_SCHEMA)
     _, report = C.validate_and_clean(raw, None)
     r = report.first()
     assert r["has_future_invoice_date"] == 1
@@ -103,14 +85,14 @@ def test_padded_lowercase_cancellation(spark):
             (" C2", "A", "d", 1, D("2000-01-01"), 1.0, 1.0, "X"),
             ("3C", "A", "d", 1, D("2000-01-01"), 1.0, 1.0, "X"),
             (None, "A", "d", 1, D("2000-01-01"), 1.0, 1.0, "X")]
-    clean, _ = C.validate_and_clean(spark.createDataFrame(rows, RAW_DOUBLE_PRICE), "2001-01-01")
+    clean, _ = C.validate_and_clean(spark.createDataFrame(rows, RAW_SCHEMA), "2001-01-01")
     got = {r["invoice"]: r["is_cancellation"] for r in clean.collect()}
     assert got == {"\tc1": True, " C2": True, "3C": False, None: False}
 
 
 def test_fractional_customer_id_raises(spark):
     rows = [("1", "A", "d", 1, D("2000-01-01"), 1.0, 17850.5, "X")]
-    clean, _ = C.validate_and_clean(spark.createDataFrame(rows, RAW_DOUBLE_PRICE), "2001-01-01")
+    clean, _ = C.validate_and_clean(spark.createDataFrame(rows, RAW_SCHEMA), "2001-01-01")
     with pytest.raises(Exception, match="not integral"):
         clean.collect()
 
@@ -119,7 +101,7 @@ def test_nan_and_null_customer_are_one_missing_value(spark):
     rows = [("1", "A", "d", 1, D("2000-01-01"), 1.0, float("nan"), "X"),
             ("1", "A", "d", 1, D("2000-01-01"), 1.0, None, "X"),
             ("2", "A", "d", 1, D("2000-01-01"), 1.0, 5.0, "X")]
-    _, report = C.validate_and_clean(spark.createDataFrame(rows, RAW_DOUBLE_PRICE), "2001-01-01")
+    _, report = C.validate_and_clean(spark.createDataFrame(rows, RAW_SCHEMA), "2001-01-01")
     r = report.first()
     assert (r["source_rows"], r["duplicate_rows_dropped"], r["rows_without_customer_id_excluded"],
             r["clean_transactions_rows"]) == (3, 1, 1, 1)
@@ -127,7 +109,7 @@ def test_nan_and_null_customer_are_one_missing_value(spark):
 
 def test_unknown_columns_kept_and_missing_contract_column_fails(spark):
     rows = [("1", "A", "d", 1, D("2000-01-01"), 1.0, 5.0, "X", "extra")]
-    schema = T.StructType(RAW_DOUBLE_PRICE.fields + [T.StructField("Extra", T.StringType())])
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("Extra", T.StringType())])
     clean, _ = C.validate_and_clean(spark.createDataFrame(rows, schema), "2001-01-01")
     assert "Extra" in clean.columns
     with pytest.raises(KeyError):

@@ -23,13 +23,13 @@ def _rows():
     for i in range(2700):  # the hot customer: 90% of all lines
         ts = start + timedelta(minutes=rnd.randint(0, 60 * 24 * 300))
         inv = f"{'C' if rnd.random() < 0.05 else ''}{1000 + i // 3}"
-        rows.append((inv, f"P{rnd.randint(1, 60)}", rnd.randint(-2, 6), ts.isoformat(sep=" "), 1.25, "HOT"))
+        rows.append((inv, f"P{rnd.randint(1, 60)}", rnd.randint(-2, 6), ts.isoformat(sep=" "), 1.25, "77"))
         if rnd.random() < 0.1:  # same instant again (same purchase time)
-            rows.append((inv, f"P{rnd.randint(1, 60)}", 1, ts.isoformat(sep=" "), 2.5, "HOT"))
+            rows.append((inv, f"P{rnd.randint(1, 60)}", 1, ts.isoformat(sep=" "), 2.5, "77"))
     for c in range(30):
         for k in range(10):
             ts = start + timedelta(days=rnd.randint(0, 300), hours=rnd.randint(0, 23))
-            rows.append((f"{9000 + c * 10 + k}", f"P{k}", 1, ts.isoformat(sep=" "), 3.0, f"C{c}"))
+            rows.append((f"{9000 + c * 10 + k}", f"P{k}", 1, ts.isoformat(sep=" "), 3.0, f"{500 + c}"))
     return rows
 
 

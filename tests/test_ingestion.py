@@ -1,4 +1,4 @@
-"""Named source parts -> raw table (FIXTURES 1.1) and the ingestion job."""
+"""Named source parts -> raw table and the ingestion job."""
 
 from __future__ import annotations
 
@@ -13,10 +13,8 @@ from churnlens.plans.jobs import run_ingestion
 from churnlens.schemas import RAW_SCHEMA
 from churnlens.sources.parts import load_parts, part_row_counts
 from churnlens.sources.tables import TableTarget
-from pyspark.sql import types as T
 
-SCHEMA = T.StructType([f if f.name != "Price" else T.StructField("Price", T.DoubleType())
-                       for f in RAW_SCHEMA.fields])
+SCHEMA = RAW_SCHEMA
 NAMES = ("Year 2009-2010", "Year 2010-2011")
 
 
@@ -43,15 +41,21 @@ def test_expected_parts_union_and_counts(spark, part_dirs):
     assert [c for c in tagged.columns if not c.startswith("_")] == SCHEMA.names
 
 
-def test_positional_fallback_warns(spark, caplog):
-    parts = {"first": spark.createDataFrame([(1,), (2,)], "col long"),
-             "second": spark.createDataFrame([(3,)], "col long"),
-             "third": spark.createDataFrame([(9,)], "col long")}
+def test_no_part_is_dropped_when_names_do_not_match(spark, caplog):
+    parts = {str(y): spark.createDataFrame([(y,)], "col long") for y in (2009, 2010, 2011, 2012)}
     with caplog.at_level(logging.WARNING):
         tagged, names, fallback = load_parts(spark, parts, NAMES)
-    assert fallback and names == ["first", "second"]
-    assert sorted(r["col"] for r in tagged.collect()) == [1, 2, 3]
-    assert any("positional" in r.message or "Falling back" in r.message for r in caplog.records)
+    assert fallback and names == list(parts)
+    assert sorted(r["col"] for r in tagged.collect()) == [2009, 2010, 2011, 2012]
+    assert any("all parts are read" in r.getMessage() for r in caplog.records)
+
+
+def test_parts_left_out_are_named(spark, caplog):
+    parts = {n: spark.createDataFrame([(1,)], "col long") for n in (*NAMES, "notes")}
+    with caplog.at_level(logging.WARNING):
+        _, names, fallback = load_parts(spark, parts, NAMES)
+    assert names == list(NAMES) and not fallback
+    assert any("left out" in r.getMessage() and "notes" in r.getMessage() for r in caplog.records)
 
 
 def test_fewer_than_two_parts_raises(spark):

@@ -1,4 +1,4 @@
-"""Table targets and JSON reports (FIXTURES 1.6)."""
+"""Table targets and JSON reports."""
 
 from __future__ import annotations
 
@@ -13,48 +13,56 @@ from churnlens.sources.parts import verify_row_count
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 
 
-def frame(spark, n):
-    return (spark.range(1, n + 1).select(
-        F.col("id").alias("customer_id"),
-        F.round(F.lit(0.99) + F.col("id") * 0.01, 2).alias("amount"),
-        F.when(F.col("id") % 2 == 1, "a").otherwise("b").alias("label")))
+def parcels(spark, n):
+    """n rows of mixed types, one of them null."""
+    return spark.range(n).select(F.col("id").alias("parcel"), F.sqrt("id").alias("weight"),
+                                 F.when(F.col("id") % 3 != 0, F.concat(F.lit("to "), F.col("id"))).alias("address"))
 
 
 def path():
     return tempfile.mkdtemp(prefix="tbl-") + "/t"
 
 
-def test_round_trip(spark):
+def test_what_is_written_is_read(spark):
     t = TableTarget(path())
-    t.write(frame(spark, 7))
-    got = sorted(tuple(r) for r in t.read(spark).collect())
-    assert got == sorted(tuple(r) for r in frame(spark, 7).collect())
+    t.write(parcels(spark, 25))
+    assert sorted(map(str, t.read(spark).collect())) == sorted(map(str, parcels(spark, 25).collect()))
 
 
-def test_empty_replace_keeps_schema(spark):
-    t = TableTarget(path())
-    t.write(frame(spark, 5))
-    t.write(frame(spark, 5).limit(0))
-    back = t.read(spark)
-    assert back.count() == 0 and back.columns == ["customer_id", "amount", "label"]
+def test_replace_leaves_the_last_frame_and_append_all(spark):
+    replaced, appended = TableTarget(path(), mode="replace"), TableTarget(path(), mode="append")
+    for n in (8, 0, 2):
+        replaced.write(parcels(spark, n))
+        appended.write(parcels(spark, n))
+    assert replaced.read(spark).count() == 2 and appended.read(spark).count() == 10
+    replaced.write(parcels(spark, 4).limit(0))
+    assert replaced.read(spark).collect() == [] and replaced.read(spark).columns == ["parcel", "weight", "address"]
 
 
-def test_replace_and_append(spark):
-    r = TableTarget(path(), mode="replace")
-    r.write(frame(spark, 5))
-    r.write(frame(spark, 3))
-    assert r.read(spark).count() == 3
-    a = TableTarget(path(), mode="append")
-    a.write(frame(spark, 4))
-    a.write(frame(spark, 6))
-    assert a.read(spark).count() == 10
+def test_a_table_of_many_partitions(spark):
+    t = TableTarget(path())
+    t.write(parcels(spark, 50_000).repartition(9))
+    assert tuple(t.read(spark).agg(F.count("*"), F.sum("parcel"), F.count("address")).first()) == (50_000, 1_249_975_000, 33_333)
 
 
-def test_many_rows(spark):
+def test_readers_see_a_whole_table_while_it_is_replaced(spark):
+    """A frame read before a replace, and reads after every step of one, hold one version."""
     t = TableTarget(path())
-    t.write(frame(spark, 12000))
-    r = t.read(spark).agg(F.min("customer_id"), F.max("customer_id"), F.count("*")).first()
-    assert tuple(r) == (1, 12000, 12000)
+    t.write(parcels(spark, 30))
+    before = t.read(spark)
+    seen = []
+    publish = t._publish
+
+    def watched(session, version):
+        seen.append(TableTarget(t.path).read(session).count())  # the new version is written, not yet shown
+        publish(session, version)
+        seen.append(TableTarget(t.path).read(session).count())
+    t._publish = watched
+    t.write(parcels(spark, 12))
+    assert seen == [30, 12] and before.count() == 30
+    with pytest.raises(Exception):
+        t.write(parcels(spark, 5).select(F.raise_error(F.lit("broken")).alias("parcel")))
+    assert t.read(spark).count() == 12
 
 
 def test_errors(spark):
@@ -75,27 +83,40 @@ def test_verify_never_raises(caplog):
 
 
 def test_jobs_write_reports_and_verify(spark, make_clean):
-    from tests.test_snapshots import ROWS
+    from tests.test_snapshots import LINES, N, START, usable_months
     base = tempfile.mkdtemp(prefix="jobs-")
     clean_t = TableTarget(f"{base}/clean")
-    clean_t.write(make_clean(ROWS))
+    clean_t.write(make_clean(LINES))
     panel_t = TableTarget(f"{base}/panel")
-    out = run_feature_engineering(spark, clean_t, panel_t, f"{base}/fe.json", "2010-01-01", 30)
-    assert out["check"]["matches"] and out["report"]["rows_total"] == 12
+    out = run_feature_engineering(spark, clean_t, panel_t, f"{base}/fe.json", START, N)
+    assert out["check"]["matches"] and out["report"]["rows_total"] == panel_t.read(spark).count() > 0
     back = read_report_json(spark, f"{base}/fe.json", PANEL_REPORT_SCHEMA).first()
-    assert [p["n_churned"] for p in back["per_snapshot"]] == [0, 2, 2, 2, 3]
+    assert [p["snapshot_date"][:10] for p in back["per_snapshot"]] == [str(t.date()) for t in usable_months(LINES, START, N)]
+
+
+def test_feature_job_raises_when_a_customer_is_missing_from_the_panel(spark, make_clean, monkeypatch):
+    from churnlens.plans import jobs
+    from tests.test_snapshots import LINES, N, START
+    base = tempfile.mkdtemp(prefix="jobs-")
+    clean_t = TableTarget(f"{base}/clean")
+    clean_t.write(make_clean(LINES))
+    whole = jobs.S.snapshot_panel
+    monkeypatch.setattr(jobs.S, "snapshot_panel", lambda *a: whole(*a).filter("customer_id != '61'"))
+    with pytest.raises(ValueError, match="population"):
+        run_feature_engineering(spark, clean_t, TableTarget(f"{base}/panel"), f"{base}/fe.json", START, N)
 
 
 def test_validation_job_counts(spark):
-    from tests.test_clean import RAW_DOUBLE_PRICE, raw_rows
+    from churnlens.schemas import RAW_SCHEMA
+    from tests.test_clean import REF, raw_rows
     base = tempfile.mkdtemp(prefix="val-")
     raw_t = TableTarget(f"{base}/raw")
-    raw_t.write(spark.createDataFrame(raw_rows(), RAW_DOUBLE_PRICE))
-    out = run_validation(spark, raw_t, TableTarget(f"{base}/clean"), f"{base}/vr.json", "2011-01-15")
+    raw_t.write(spark.createDataFrame(raw_rows(), RAW_SCHEMA))
+    out = run_validation(spark, raw_t, TableTarget(f"{base}/clean"), f"{base}/vr.json", REF)
     rep = out["report"]
     assert (rep["source_rows"], rep["duplicate_rows_dropped"], rep["rows_without_customer_id_excluded"],
-            rep["clean_transactions_rows"]) == (12, 1, 1, 10)
-    assert rep["flags"]["has_null_invoice_date"] == 2
+            rep["clean_transactions_rows"]) == (15, 2, 2, 11)
+    assert rep["flags"]["has_null_invoice_date"] == 1
     assert out["check"]["matches"]
     stored = read_report_json(spark, f"{base}/vr.json", VALIDATION_REPORT_SCHEMA).first()
     assert stored["flags"]["is_cancellation"] == 1
@@ -115,9 +136,9 @@ def test_report_json_round_trip(spark):
 
 def test_replace_from_its_own_table(spark):
     t = TableTarget(path())
-    t.write(frame(spark, 6))
-    t.write(t.read(spark).filter(F.col("customer_id") <= 2))
-    assert sorted(r["customer_id"] for r in t.read(spark).collect()) == [1, 2]
+    t.write(parcels(spark, 9))
+    t.write(t.read(spark).filter("address IS NULL"))
+    assert sorted(r["parcel"] for r in t.read(spark).collect()) == [0, 3, 6]
 
 
 def test_missing_table_with_schema_reads_empty(spark):
@@ -127,18 +148,18 @@ def test_missing_table_with_schema_reads_empty(spark):
     assert back.count() == 0 and back.schema == SNAPSHOT_SCHEMA
 
 
-def test_synthetic_key_is_dropped_on_read(spark):
+def test_a_store_assigned_key_is_left_out_on_read(spark):
     p = path()
-    frame(spark, 3).withColumn("_id", F.col("customer_id") * 100).write.parquet(p)
-    assert TableTarget(p).read(spark).columns == ["customer_id", "amount", "label"]
+    parcels(spark, 3).withColumn("_id", F.uuid()).write.parquet(p)
+    assert TableTarget(p).read(spark).columns == ["parcel", "weight", "address"]
 
 
 def test_partitioned_panel_keeps_naive_snapshot_dates_and_prunes(spark, make_clean):
     from churnlens.functions.columns import ntz
     from churnlens.plans import snapshots as S
     from churnlens.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
-    from tests.test_snapshots import ROWS
-    panel, _, _ = S.build_customer_snapshots(make_clean(ROWS), "2010-01-01", 30)
+    from tests.test_snapshots import LINES, N, START
+    panel, _, _ = S.build_customer_snapshots(make_clean(LINES), START, N)
     t = TableTarget(path(), schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"], files_per_partition=2)
     before = spark.conf.get("spark.sql.session.timeZone")
     try:
@@ -146,9 +167,9 @@ def test_partitioned_panel_keeps_naive_snapshot_dates_and_prunes(spark, make_cle
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
         back = t.read(spark)
         assert back.columns == SNAPSHOT_COLUMNS
-        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, panel.collect()))
-        march = back.filter(F.col("snapshot_date") == ntz("2010-03-01"))
+        assert sorted(map(str, back.collect())) == sorted(map(str, panel.collect()))
+        march = back.filter(F.col("snapshot_date") == ntz("2012-03-01"))
         assert "PartitionFilters: [isnotnull(snapshot_date" in march._jdf.queryExecution().executedPlan().toString()
-        assert march.count() == 3
+        assert march.count() == panel.filter(F.col("snapshot_date") == ntz("2012-03-01")).count() > 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
