@@ -4,7 +4,11 @@ Stages read and write tables under one warehouse folder:
   ingestion            <source folder of named parts> -> raw_transactions
   validation           raw_transactions -> clean_transactions + validation_report.json
   feature_engineering  clean_transactions -> customer_snapshots + feature_engineering_report.json
-  all                  the three in order
+  training             customer_snapshots -> churn_model + training_metrics (appended)
+  explanation          customer_snapshots, churn_model -> shapley_contributions, feature_importance
+  scoring              clean_transactions, churn_model -> predictions (appended)
+  drift                customer_snapshots -> drift_report
+  all                  all of them in order
 Each stage ends with its row-count check (logged, never fatal).
 """
 
@@ -13,15 +17,19 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+from dataclasses import replace
 
 from churnlens.params import Params
-from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation
-from churnlens.schemas import SNAPSHOT_SCHEMA
-from churnlens.session import get_session
+from churnlens.functions.columns import MONTH_COLUMN
+from churnlens.plans.jobs import (run_drift, run_explanation, run_feature_engineering, run_ingestion, run_scoring,
+                                  run_training, run_validation)
+from churnlens.schemas import CLEAN_SCHEMA, RAW_SCHEMA, SNAPSHOT_SCHEMA
+from churnlens.session import get_session, release_scratch
 from churnlens.sources.parts import list_parts
 from churnlens.sources.tables import TableTarget
 
-STAGES = ("ingestion", "validation", "feature_engineering", "all")
+STAGES = ("ingestion", "validation", "feature_engineering", "training", "explanation", "scoring", "drift", "all")
+TEXT_FORMATS = ("csv", "json")
 
 
 def main(argv=None) -> dict:
@@ -36,14 +44,22 @@ def main(argv=None) -> dict:
     ap.add_argument("--expected-parts", nargs="*", default=list(Params().expected_parts))
     ap.add_argument("--files-per-snapshot", type=int, default=4,
                     help="files written per snapshot month of the panel")
+    ap.add_argument("--files-per-month", type=int, default=4, help="files written per invoice month of the clean table")
+    ap.add_argument("--test-start", default=Params().test_start_date, help="first snapshot of the test split")
+    ap.add_argument("--as-of", default=None, help="date to score at (default: the first test snapshot)")
+    ap.add_argument("--trees", type=int, default=Params().model_params["n_estimators"])
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(levelname)s %(name)s: %(message)s")
 
     spark = get_session(args.master)
     wh = args.warehouse.rstrip("/")
-    raw_t = TableTarget(f"{wh}/raw_transactions")
-    clean_t = TableTarget(f"{wh}/clean_transactions")
+    params = replace(Params(), test_start_date=args.test_start, threshold_days=args.threshold_days,
+                     model_params={**Params().model_params, "n_estimators": args.trees})
+    raw_t = TableTarget(f"{wh}/raw_transactions", empty_schema=RAW_SCHEMA)
+    # lines lie in folders by invoice month, so date-bounded reads skip later months
+    clean_t = TableTarget(f"{wh}/clean_transactions", partition_by=[MONTH_COLUMN],
+                          files_per_partition=args.files_per_month, empty_schema=CLEAN_SCHEMA)
     # the panel is laid out by snapshot month, so per-snapshot reads prune folders
     panel_t = TableTarget(f"{wh}/customer_snapshots", schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"],
                           files_per_partition=args.files_per_snapshot)
@@ -52,8 +68,10 @@ def main(argv=None) -> dict:
         if not args.source:
             ap.error("ingestion needs --source")
         opts = {"header": "true"} if args.format == "csv" else None
+        # text carries no types: the source's are declared
+        schema = RAW_SCHEMA if args.format in TEXT_FORMATS else None
         res = run_ingestion(spark, list_parts(spark, args.source), tuple(args.expected_parts), raw_t,
-                            fmt=args.format, options=opts)
+                            fmt=args.format, schema=schema, options=opts)
         out["ingestion"] = {"row_counts": res["row_counts"], "used_fallback": res["used_fallback"],
                             "check": res["check"]}
     if args.stage in ("validation", "all"):
@@ -64,6 +82,18 @@ def main(argv=None) -> dict:
                                       args.snapshot_start, args.threshold_days)
         out["feature_engineering"] = {"report": {k: v for k, v in res["report"].items() if k != "per_snapshot"},
                                       "check": res["check"]}
+    model = f"{wh}/churn_model"
+    if args.stage in ("training", "all"):
+        out["training"] = run_training(spark, panel_t, model, TableTarget(f"{wh}/training_metrics", mode="append"), params)
+    if args.stage in ("explanation", "all"):
+        out["explanation"] = run_explanation(spark, panel_t, model, TableTarget(f"{wh}/shapley_contributions"),
+                                             TableTarget(f"{wh}/feature_importance"), params)
+    if args.stage in ("scoring", "all"):
+        out["scoring"] = run_scoring(spark, clean_t, model, TableTarget(f"{wh}/predictions", mode="append"),
+                                     args.as_of or params.test_start_date, params)
+    if args.stage in ("drift", "all"):
+        out["drift"] = run_drift(spark, panel_t, TableTarget(f"{wh}/drift_report"), params)
+    release_scratch(spark)
     print(json.dumps(out, default=str))
     return out
 

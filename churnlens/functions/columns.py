@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: Python's str.strip() whitespace set beyond Unicode White_Space
@@ -54,6 +54,23 @@ def canonical_key(c: Column) -> Column:
             .otherwise(c.cast("long").cast("string")))
 
 
+MONTH_COLUMN = "invoice_month"
+
+
+def with_month(df: DataFrame) -> DataFrame:
+    """Adds the month of ``invoice_date`` as text ("2010-03"), the folder a line is kept in;
+    undated lines have none."""
+    return df.withColumn(MONTH_COLUMN, F.date_format("invoice_date", "yyyy-MM"))
+
+
+def up_to_month(df: DataFrame, last: datetime) -> DataFrame:
+    """Only folders of months up to that of ``last``, where the table is laid out by month.
+    Undated lines are left out: every caller compares dates."""
+    if MONTH_COLUMN not in df.columns:
+        return df
+    return df.filter(F.col(MONTH_COLUMN) <= f"{last:%Y-%m}")
+
+
 def whole_days_between(start: Column, end: Column) -> Column:
     """Whole elapsed days from ``start`` to ``end`` (floor of the interval).
 

@@ -10,6 +10,8 @@ whatever the edges are; the edges only balance the work.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,14 +34,18 @@ def count_below(edges: Column, key: Column, levels: int) -> list[tuple[str, Colu
 
 
 def running_totals(df: DataFrame, order_col: str, sum_cols: list[str], group_cols: list[str] | None = None,
-                   descending: bool = False, levels: int = 6) -> DataFrame:
+                   descending: bool = False, levels: int | None = None) -> DataFrame:
     """Add ``cum_<c>`` = sum of ``c`` over rows at or before this one in order.
 
     ``df`` must hold one row per (group, order value): ties are summed
     together beforehand, so a tied block is one step of the running total.
     ``group_cols`` must have few distinct values (edges and offsets are
-    broadcast: at most 2**levels rows per group).
+    broadcast: at most 2**levels rows per group). Without ``levels`` the
+    number of ranges follows the rows of ``df``, which is then counted: some
+    20,000 rows per range, 64 to 4,096 ranges. The answer does not depend on it.
     """
+    if levels is None:
+        levels = min(12, max(6, math.ceil(math.log2(max(1, df.count()) / 20_000))))
     ungrouped = not group_cols
     if ungrouped:  # one constant group, so every join below is an equi-join
         df = df.withColumn("_all", F.lit(0))

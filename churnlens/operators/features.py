@@ -13,7 +13,7 @@ from pyspark.sql.window import WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnlens.functions.columns import guarded_ratio, ntz, whole_days_between
+from churnlens.functions.columns import guarded_ratio, ntz, parse_timestamp, up_to_month, whole_days_between
 from churnlens.schemas import FEATURE_COLUMNS, require_columns
 
 NEEDED = ["customer_id", "invoice", "stock_code", "quantity", "invoice_date", "price",
@@ -86,24 +86,34 @@ def customer_features(clean: DataFrame, as_of_date) -> DataFrame:
     """Features for every customer with a real purchase before the date.
 
     Lines strictly before ``as_of_date`` only (the filter reaches the
-    Parquet scan). One ``groupBy(customer_id)`` with filtered aggregates;
-    the population rule is the HAVING clause, so no join and no reindex.
+    Parquet scan, and skips later months of a table laid out by month).
+    Distinct invoices and products are counted in two steps, on (customer,
+    key) pairs, so no line is expanded and a hot customer spreads; the
+    joins are of one row per customer.
     """
     require_columns(clean, NEEDED, "clean transactions")
     as_of = ntz(as_of_date)
     real = is_real()
     money = Money(clean)
-    before = clean.filter(F.col("invoice_date") < as_of)
-    agg = before.groupBy("customer_id").agg(
+    before = up_to_month(clean, parse_timestamp(as_of_date)).filter(F.col("invoice_date") < as_of)
+    lines = before.select("customer_id", "invoice", "stock_code", "invoice_date", real.alias("real"),
+                          money.line_value().alias("value"), "has_non_positive_quantity")
+    real = F.col("real")
+    sums = lines.groupBy("customer_id").agg(
         F.count_if(real).alias("n_real"),
         F.max(F.when(real, F.col("invoice_date"))).alias("last_real_ts"),
         F.min(F.when(real, F.col("invoice_date"))).alias("first_real_ts"),
-        F.count_distinct(F.when(real, F.col("invoice"))).alias("n_invoices"),
-        F.count_distinct(F.when(real, F.col("stock_code"))).alias("n_products"),
-        money.total(money.line_value()).alias("value_sum"),
+        money.total(F.col("value")).alias("value_sum"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"),
-    ).filter(F.col("n_real") > 0)
+        F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"))
+
+    def distinct(key: str, out: str) -> DataFrame:
+        pairs = lines.filter(real & F.col(key).isNotNull()).groupBy("customer_id", key).agg(F.lit(1).alias("_one"))
+        return pairs.groupBy("customer_id").agg(F.count("_one").alias(out))
+
+    agg = (sums.filter(F.col("n_real") > 0).join(distinct("invoice", "n_invoices"), "customer_id", "left")
+           .join(distinct("stock_code", "n_products"), "customer_id", "left")
+           .fillna(0, ["n_invoices", "n_products"]))
     return finish_features(agg, as_of, money).select("customer_id", *FEATURE_COLUMNS)
 
 

@@ -7,10 +7,12 @@ apart from feature code: scoring never calls it.
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from churnlens.functions.columns import ntz
+from churnlens.functions.columns import ntz, parse_timestamp, up_to_month
 from churnlens.operators.features import is_real
 
 
@@ -20,7 +22,8 @@ def churn_labels(clean: DataFrame, as_of_date, threshold_days: int) -> DataFrame
     end = t + F.make_dt_interval(F.lit(int(threshold_days)))
     ts = F.col("invoice_date")
     real = is_real()
-    lines = clean.filter(ts <= end)  # reaches the scan; later lines never matter
+    last = parse_timestamp(as_of_date) + timedelta(days=int(threshold_days))
+    lines = up_to_month(clean, last).filter(ts <= end)  # reaches the scan; later lines never matter
     return (lines.groupBy("customer_id")
             .agg(F.count_if((ts < t) & real).alias("_before"),
                  F.bool_or((ts > t) & real).alias("_returned"))

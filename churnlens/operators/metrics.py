@@ -22,7 +22,8 @@ def recency_baseline_score(panel: DataFrame, threshold_days: int) -> DataFrame:
 
 
 def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "is_churned") -> DataFrame:
-    """(score, pos, tp, fp, precision, recall) per distinct score, highest first."""
+    """(score, pos, tp, fp, precision, recall) per distinct score, highest first. Eager: the
+    score histogram is written to the scratch folder when this is called."""
     hist = materialize(scored.groupBy(F.col(score_col).alias("score")).agg(
         F.count_if(F.col(label_col)).cast("bigint").alias("pos"),
         F.count(F.lit(1)).cast("bigint").alias("n")), "score_histogram")
@@ -38,13 +39,13 @@ def pr_curve(scored: DataFrame, score_col: str = "score", label_col: str = "is_c
     )
 
 
-def pr_summary(curve: DataFrame, min_precision: float, digits: int = 12) -> DataFrame:
+def pr_summary(curve: DataFrame, min_precision: float) -> DataFrame:
     """Average precision (sum of recall steps x precision) and the best
     recall among thresholds with precision >= ``min_precision``."""
     total = F.sum("pos")
     ap = F.sum(F.col("pos").cast("double") * F.col("precision")) / total.cast("double")
     return curve.agg(
-        F.round(F.when(total > 0, ap).otherwise(F.lit(0.0)), digits).alias("average_precision"),
+        F.when(total > 0, ap).otherwise(F.lit(0.0)).alias("average_precision"),
         F.coalesce(F.max(F.when(F.col("precision") >= min_precision, F.col("recall"))),
                    F.lit(0.0)).alias("recall_at_precision"),
         F.lit(float(min_precision)).alias("min_precision"),

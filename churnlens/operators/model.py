@@ -21,7 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnlens.functions.columns import ntz
+from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary
+from churnlens.params import Params
 from churnlens.schemas import FEATURE_COLUMNS
+from churnlens.session import materialize
 from churnlens.sources.tables import TableTarget
 
 NON_FINITE_FILL = -1.0  # monetary_avg_order is +-inf/NaN when frequency is 0
@@ -54,10 +57,17 @@ def _assembler() -> VectorAssembler:
     return VectorAssembler(inputCols=list(FEATURE_COLUMNS), outputCol="features")
 
 
+def fit_sample(train: DataFrame, max_fit_rows: int, key_cols=("customer_id", "snapshot_date")) -> DataFrame:
+    """At most ``max_fit_rows`` labelled rows, those of smallest key hash: the same at every run."""
+    return train.orderBy(F.xxhash64(*key_cols), *key_cols).limit(int(max_fit_rows))
+
+
 def train_churn_model(train: DataFrame, model_params: dict, max_iter: int | None = None,
-                      balance_classes: bool = True) -> PipelineModel:
-    """D3: fit assembler + GBT on the train split (balanced class weights)."""
-    data = model_input(train)
+                      balance_classes: bool = True, max_fit_rows: int = Params.max_fit_rows) -> PipelineModel:
+    """D3: fit assembler + GBT (balanced class weights) on the train split, or on
+    ``max_fit_rows`` of its rows where it holds more. The rows are written once, so
+    weighting and fitting read the same small table."""
+    data = materialize(model_input(fit_sample(train, max_fit_rows)).select(*FEATURE_COLUMNS, "label"), "fit_rows")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", **gbt_settings(model_params, max_iter))
     if balance_classes:
         counts = data.agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).first()
@@ -67,11 +77,30 @@ def train_churn_model(train: DataFrame, model_params: dict, max_iter: int | None
             w_pos, w_neg = n / (2.0 * pos), n / (2.0 * neg)
             data = data.withColumn("weight", F.when(F.col("label") == 1.0, w_pos).otherwise(w_neg))
             gbt.setWeightCol("weight")
-    data = data.persist()
-    try:
-        return Pipeline(stages=[_assembler(), gbt]).fit(data)
-    finally:
-        data.unpersist()
+    return Pipeline(stages=[_assembler(), gbt]).fit(data)
+
+
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def evaluate_model(model: PipelineModel, test: DataFrame, model_params: dict, min_precision: float,
+                   threshold: float = 0.5) -> DataFrame:
+    """The model's ranking and confusion figures on a labelled split, with its parameters:
+    one row of the training metrics table. The split is scored once and written."""
+    scored = materialize(churn_probability(model, test).select("churn_probability", "is_churned"), "scored")
+    curve = pr_summary(pr_curve(scored, "churn_probability"), min_precision)
+    counts = confusion_at(scored, threshold, "churn_probability")
+    settings = gbt_settings(model_params)
+    # both are single rows; the key makes it an equi-join
+    return (curve.withColumn("_k", F.lit(0)).join(counts.withColumn("_k", F.lit(0)), "_k").drop("_k")
+            .withColumns({"threshold": F.lit(float(threshold)), "max_iter": F.lit(settings["maxIter"]),
+                          "step_size": F.lit(settings["stepSize"]), "max_depth": F.lit(settings["maxDepth"]),
+                          "seed": F.lit(settings["seed"])}))
 
 
 def churn_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -110,5 +139,5 @@ def batch_predictions(model: PipelineModel, features: DataFrame, as_of_date, ban
 def append_predictions(predictions: DataFrame, target: TableTarget) -> None:
     """Predictions are a history: the target must be append-only."""
     if target.mode != "append":
-        raise ValueError("predictions must be written with mode='append'")
+        raise ValueError("a prediction log keeps its history: its table needs mode 'append'")
     target.write(predictions)

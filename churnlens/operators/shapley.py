@@ -13,6 +13,7 @@ and sum_i phi_i = f(x) - f(baseline).
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import factorial
 
 from pyspark.ml import PipelineModel
@@ -29,9 +30,10 @@ def baseline_point(reference: DataFrame) -> dict[str, float]:
     return {c: float(row[c]) for c in FEATURE_COLUMNS}
 
 
-def shapley_contributions(model: PipelineModel, rows: DataFrame, baseline: dict[str, float],
-                          key_cols=("customer_id", "snapshot_date")) -> DataFrame:
-    """(keys..., base_value, prediction, phi_<feature> x 7)."""
+def shapley_contributions(model: PipelineModel | Callable[[DataFrame], DataFrame], rows: DataFrame,
+                          baseline: dict[str, float], key_cols=("customer_id", "snapshot_date")) -> DataFrame:
+    """(keys..., base_value, prediction, phi_<feature> x 7) of a model, or of any scoring that
+    adds ``churn_probability`` to feature rows."""
     m = len(FEATURE_COLUMNS)
     full = (1 << m) - 1
     weights = [factorial(s) * factorial(m - s - 1) / factorial(m) for s in range(m)]
@@ -45,7 +47,7 @@ def shapley_contributions(model: PipelineModel, rows: DataFrame, baseline: dict[
         F.when(F.shiftright(mask, i).bitwiseAND(1) == 1, F.col(c)).otherwise(F.lit(baseline[c])).alias(c)
         for i, c in enumerate(FEATURE_COLUMNS)])
     f = F.col("churn_probability")
-    scored = churn_probability(model, mixed)
+    scored = model(mixed) if callable(model) else churn_probability(model, mixed)
 
     aggs = [F.sum(F.when(mask == 0, f)).alias("base_value"),
             F.sum(F.when(mask == full, f)).alias("prediction")]

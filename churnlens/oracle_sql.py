@@ -8,6 +8,8 @@ the pieces below; parameters are formatted in from ``SYNTHETIC_PARAMS``.
 
 from __future__ import annotations
 
+import math
+
 from churnlens.params import SYNTHETIC_PARAMS as P
 
 REF = P.reference_date
@@ -305,8 +307,8 @@ _ON = ", ".join(["recency_days", "frequency", "monetary_total", "monetary_avg_or
 
 LONG = f""",
 lf AS (UNPIVOT (SELECT split, {_FEATS} FROM sp) ON {_ON} INTO NAME feature VALUE value),
-base AS (SELECT feature, value FROM lf WHERE split = 'train' AND value IS NOT NULL),
-cur AS (SELECT feature, value FROM lf WHERE split = 'test' AND value IS NOT NULL)"""
+base AS (SELECT feature, value FROM lf WHERE split = 'train' AND value IS NOT NULL AND isfinite(value)),
+cur AS (SELECT feature, value FROM lf WHERE split = 'test' AND value IS NOT NULL AND isfinite(value))"""
 
 SQL["feature_drift_ks"] = PANEL_SPLIT + LONG + """,
 allv AS (SELECT feature, value, 1 AS nb, 0 AS nc FROM base UNION ALL SELECT feature, value, 0, 1 FROM cur),
@@ -370,10 +372,11 @@ bsa AS (SELECT feature, value, 'b' AS side FROM lfa WHERE split = 'train'
         UNION ALL SELECT feature, value, 'c' AS side FROM lfa WHERE split = 'test'),
 mom AS (
   SELECT feature,
-    avg(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND NOT isnan(value)) AS mb,
-    avg(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND NOT isnan(value)) AS mc,
-    stddev_samp(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND NOT isnan(value)) AS sb,
-    stddev_samp(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND NOT isnan(value)) AS sc,
+    avg(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND isfinite(value)) AS mb,
+    avg(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND isfinite(value)) AS mc,
+    stddev_samp(value) FILTER (WHERE side = 'b' AND value IS NOT NULL AND isfinite(value)) AS sb,
+    stddev_samp(value) FILTER (WHERE side = 'c' AND value IS NOT NULL AND isfinite(value)) AS sc,
+    count(*) FILTER (WHERE side = 'b' AND isinf(value)) AS ib, count(*) FILTER (WHERE side = 'c' AND isinf(value)) AS ic,
     CAST(count(*) FILTER (WHERE side = 'b' AND (value IS NULL OR isnan(value))) AS DOUBLE)
       / CAST(count(*) FILTER (WHERE side = 'b') AS DOUBLE) AS nb,
     CAST(count(*) FILTER (WHERE side = 'c' AND (value IS NULL OR isnan(value))) AS DOUBLE)
@@ -393,5 +396,72 @@ def _sig(x: str, digits: int = 10) -> str:
 SQL["feature_drift_summary"] = PANEL_SPLIT + _ALL_LONG + f"""
 SELECT feature, {_sig("mb")} AS mean_baseline, {_sig("mc")} AS mean_current, {_sig("mc - mb")} AS mean_delta,
        {_sig("sb")} AS std_baseline, {_sig("sc")} AS std_current, {_sig("sc - sb")} AS std_delta,
-       nb AS null_rate_baseline, nc AS null_rate_current, nc - nb AS null_rate_delta
+       nb AS null_rate_baseline, nc AS null_rate_current, nc - nb AS null_rate_delta,
+       ib AS n_non_finite_baseline, ic AS n_non_finite_current
 FROM mom"""
+
+SQL["drift_report"] = f"""
+WITH m AS ({SQL['feature_drift_summary']}), k AS ({SQL['feature_drift_ks']}), p AS ({SQL['feature_drift_psi']})
+SELECT m.*, k.ks_statistic, k.n_baseline, k.n_current, p.psi, p.n_bins_used
+FROM m LEFT JOIN k USING (feature) LEFT JOIN p USING (feature)"""
+
+_FIT = ["true AS probability_in_range", "true AS band_fits"]
+
+SQL["train_and_score"] = PANEL_SPLIT + f"""
+SELECT customer_id, snapshot_date, is_churned, {", ".join(_FIT)} FROM sp WHERE split = 'test'"""
+
+SQL["model_evaluation"] = PANEL_SPLIT + f"""
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE is_churned) AS n_positive, count(*) AS n_judged,
+       count(*) FILTER (WHERE is_churned) AS n_churned, {int(P.model_params["n_estimators"])} AS max_iter,
+       CAST({MIN_PRECISION} AS DOUBLE) AS min_precision, true AS average_precision_in_range,
+       true AS recall_at_precision_in_range, true AS better_than_chance
+FROM sp WHERE split = 'test'"""
+
+SQL["shapley_contributions"] = PANEL_SPLIT + """
+SELECT customer_id, snapshot_date, true AS adds_up FROM sp WHERE split = 'test'"""
+
+SQL["global_importance"] = PANEL_SPLIT + LONG + """
+SELECT DISTINCT feature, true AS not_below_its_mean, true AS ranked FROM lf"""
+
+
+def _predicted(day: str) -> str:
+    """(customer_id, as_of_date, checks) of the population at a date."""
+    return f"""SELECT customer_id, TIMESTAMP '{day}' AS as_of_date, {", ".join(_FIT)} FROM clean
+WHERE invoice_date < TIMESTAMP '{day}' AND NOT is_cancellation GROUP BY customer_id"""
+
+
+SQL["batch_predictions"] = BASE + "\n" + _predicted(TEST_START)
+SQL["streaming_predictions"] = BASE + "\n" + _predicted(AS_OF) + "\nUNION ALL\n" + _predicted(TEST_START)
+
+# Shapley values of the fixed score: 128 coalitions of each test row, weighted by size.
+_NAMES = ["recency_days", "frequency", "monetary_total", "monetary_avg_order", "customer_tenure_days",
+          "n_distinct_products", "return_rate"]
+_FINITE = ", ".join(f"CASE WHEN {c} IS NULL OR NOT isfinite(CAST({c} AS DOUBLE)) THEN -1.0 ELSE CAST({c} AS DOUBLE) END AS {c}"
+                    for c in _NAMES)
+_WEIGHTS = [math.factorial(s) * math.factorial(6 - s) / math.factorial(7) for s in range(7)]
+_PHI = ",\n".join(
+    f"sum(f * CASE WHEN (mask >> {i}) & 1 = 1 THEN list_extract(w, k) ELSE -list_extract(w, k + 1) END) AS phi_{c}"
+    for i, c in enumerate(_NAMES))
+
+_SHAPLEY = f""",
+finite AS (SELECT split, customer_id, snapshot_date, {_FINITE} FROM sp),
+mid AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _NAMES)} FROM finite WHERE split = 'train'),
+mixed AS (SELECT x.customer_id, x.snapshot_date, mask, bit_count(mask) AS k, {[float(w) for w in _WEIGHTS]}::DOUBLE[] AS w,
+          {", ".join(f"CASE WHEN (mask >> {i}) & 1 = 1 THEN x.{c} ELSE mid.{c} END AS {c}" for i, c in enumerate(_NAMES))}
+          FROM finite x, mid, (SELECT unnest(range(128)) AS mask) WHERE x.split = 'test'),
+valued AS (SELECT *, recency_days / (recency_days + 134.0::DOUBLE) * (1.0::DOUBLE - return_rate) * 0.5::DOUBLE
+             + 0.3::DOUBLE / (2.0::DOUBLE + frequency) * customer_tenure_days / (customer_tenure_days + 365.0::DOUBLE)
+             + 0.1::DOUBLE / (2.0::DOUBLE + n_distinct_products)
+             + 0.1::DOUBLE * monetary_avg_order / (abs(monetary_total) + 1000.0::DOUBLE) AS f FROM mixed),
+shap AS (SELECT customer_id, snapshot_date, sum(f) FILTER (WHERE mask = 0) AS base_value,
+                sum(f) FILTER (WHERE mask = 127) AS prediction, {_PHI}
+         FROM valued GROUP BY customer_id, snapshot_date)"""
+
+SQL["shapley_formula"] = PANEL_SPLIT + _SHAPLEY + f"""
+SELECT customer_id, snapshot_date, round(base_value, 6) AS base_value, round(prediction, 6) AS prediction,
+       {", ".join(f"round(phi_{c}, 6) AS phi_{c}" for c in _NAMES)} FROM shap"""
+
+SQL["importance_formula"] = PANEL_SPLIT + _SHAPLEY + f""",
+means AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, avg(abs(phi_{c})) AS a, avg(phi_{c}) AS m FROM shap" for c in _NAMES)})
+SELECT feature, round(a, 6) AS mean_abs_contribution, round(m, 6) AS mean_contribution,
+       row_number() OVER (ORDER BY a DESC, feature) AS rank FROM means"""

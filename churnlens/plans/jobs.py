@@ -1,4 +1,4 @@
-"""End-to-end jobs with persisted tables and count checks.
+"""End-to-end jobs with persisted tables and count checks.
 
 Each job reads its input table, writes its outputs once, and re-reads the
 written table to check its row count against the recorded one. Counts
@@ -14,10 +14,19 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.functions.columns import MONTH_COLUMN, with_month
 from churnlens.operators import clean as C
+from churnlens.operators.drift import drift_report
+from churnlens.operators.features import customer_features
+from churnlens.operators.model import (append_predictions, batch_predictions, evaluate_model, load_model, save_model,
+                                       train_churn_model)
+from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
+from churnlens.operators.split import temporal_split
+from churnlens.params import Params
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for
-from churnlens.schemas import FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA, require_columns
+from churnlens.schemas import FEATURE_COLUMNS, FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA, require_columns
+from churnlens.session import materialize
 from churnlens.sources.parts import PART_COLUMN, load_parts, verify_row_count
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 
@@ -50,7 +59,8 @@ def run_validation(spark: SparkSession, raw_target: TableTarget, clean_target: T
     distinct = C.distinct_with_copies(renamed)
     obs = Observation("validation_counts")
     clean = C.clean_from_distinct(distinct.observe(obs, *C.report_aggregates(ref)), ref)
-    clean_target.write(clean)
+    # a target laid out by month keeps the month as its folder
+    clean_target.write(with_month(clean) if MONTH_COLUMN in clean_target.partition_by else clean)
     got = {k: int(v or 0) for k, v in obs.get.items()}
     report = {
         "source_rows": got["source_rows"],
@@ -91,10 +101,56 @@ def run_feature_engineering(spark: SparkSession, clean_target: TableTarget, pane
     return {"calendar": cal, "report": stored.asDict(recursive=True), "check": check}
 
 
+def run_training(spark: SparkSession, panel_target: TableTarget, model_path: str, metrics_target: TableTarget,
+                 params: Params) -> dict:
+    """D2 + D3 + D4: panel -> saved model, and its row appended to the metrics table."""
+    if metrics_target.mode != "append":
+        raise ValueError("training metrics are a history: their table needs mode 'append'")
+    split = temporal_split(panel_target.read(spark), params.test_start_date, params.threshold_days)
+    save_model(train_churn_model(split.filter("split = 'train'"), params.model_params,
+                                 max_fit_rows=params.max_fit_rows), model_path)
+    before = metrics_target.read(spark).count() if metrics_target.exists(spark) else 0
+    metrics_target.write(evaluate_model(load_model(model_path), split.filter("split = 'test'"), params.model_params,
+                                        params.min_precision))
+    check = verify_row_count("training_metrics", metrics_target.read(spark).count(), before + 1)
+    return {"model": model_path, "check": check}
+
+
+def run_explanation(spark: SparkSession, panel_target: TableTarget, model_path: str, contributions_target: TableTarget,
+                    importance_target: TableTarget, params: Params) -> dict:
+    """D5 + D6: contributions of the saved model on every test row, and their global ranking."""
+    split = temporal_split(panel_target.read(spark), params.test_start_date, params.threshold_days)
+    test = split.filter("split = 'test'")
+    contributions_target.write(shapley_contributions(load_model(model_path), test, baseline_point(split.filter("split = 'train'"))))
+    written = contributions_target.read(spark)
+    importance_target.write(global_importance(written))
+    check = verify_row_count("shapley_contributions", written.count(), test.count())
+    return {"importance": [r.asDict() for r in importance_target.read(spark).orderBy("rank").collect()], "check": check}
+
+
+def run_scoring(spark: SparkSession, clean_target: TableTarget, model_path: str, log_target: TableTarget,
+                as_of_date, params: Params) -> dict:
+    """Features at a date, scored by the saved model and appended to the prediction log."""
+    features = materialize(customer_features(clean_target.read(spark), as_of_date), "features")
+    before = log_target.read(spark).count() if log_target.exists(spark) else 0
+    append_predictions(batch_predictions(load_model(model_path), features, as_of_date, params.risk_bands), log_target)
+    return {"check": verify_row_count("predictions", log_target.read(spark).count(), before + features.count())}
+
+
+def run_drift(spark: SparkSession, panel_target: TableTarget, report_target: TableTarget, params: Params) -> dict:
+    """The test split's features against the train split's, as one saved report."""
+    split = temporal_split(panel_target.read(spark), params.test_start_date, params.threshold_days)
+    report_target.write(drift_report(split.filter("split = 'train'"), split.filter("split = 'test'"), params.drift_bins))
+    written = report_target.read(spark)
+    return {"report": [r.asDict() for r in written.orderBy("feature").collect()],  # one row per feature
+            "check": verify_row_count("drift_report", written.count(), len(FEATURE_COLUMNS))}
+
+
 def verification_frame(spark: SparkSession, checks: list[dict]) -> DataFrame:
     return spark.createDataFrame(
         [(c["table"], c["loaded_rows"], c["expected_rows"], c["matches"]) for c in checks],
         "table string, loaded_rows bigint, expected_rows bigint, matches boolean")
 
 
-__all__ = ["run_ingestion", "run_validation", "run_feature_engineering", "verification_frame"]
+__all__ = ["run_drift", "run_explanation", "run_feature_engineering", "run_ingestion", "run_scoring", "run_training",
+           "run_validation", "verification_frame"]

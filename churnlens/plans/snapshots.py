@@ -30,7 +30,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnlens.functions.columns import iso_format, ntz
+from churnlens.functions.columns import iso_format, ntz, up_to_month
 from churnlens.operators.features import Money, finish_features, is_real
 from churnlens.plans.calendar import Calendar, calendar_for, calendar_frame
 from churnlens.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
@@ -52,7 +52,7 @@ def _relevant_lines(clean: DataFrame, cal: Calendar) -> DataFrame:
     """Lines that can affect some snapshot: dated and not after T_last + N."""
     horizon = cal.last_usable + timedelta(days=cal.threshold_days)
     ts = F.col("invoice_date")
-    return clean.filter(ts.isNotNull() & (ts <= ntz(horizon)))
+    return up_to_month(clean, horizon).filter(ts.isNotNull() & (ts <= ntz(horizon)))
 
 
 def _bucket_columns(cal: Calendar, ts: Column | None = None) -> dict[str, Column]:

@@ -1,7 +1,9 @@
 """Registered queries: one Spark job per operator, each over whole tables.
 
-Every callable takes (spark, sf_dir) and returns a lazy DataFrame whose
-columns match the DuckDB oracle in ``churnlens.oracle_sql``.
+Every callable takes (spark, sf_dir) and returns a DataFrame whose columns
+match the DuckDB oracle in ``churnlens.oracle_sql``. Intermediate tables that a
+query needs (clean table, panel, histograms, model) are written when it is
+called; its result is lazy.
 """
 
 from __future__ import annotations
@@ -11,13 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.functions.columns import ntz
+from churnlens.functions.columns import MONTH_COLUMN, ntz, parse_timestamp, round_significant, up_to_month, with_month
 from churnlens.operators import clean as C
 from churnlens.operators.features import customer_features, is_real, single_customer_features
-from churnlens.operators.drift import ks_statistic, psi, summary_drift
+from churnlens.operators.drift import drift_report, ks_statistic, psi, summary_drift
 from churnlens.operators.gaps import favourite_product, gap_histogram, gap_percentiles
 from churnlens.operators.labels import churn_labels
-from churnlens.operators.model import batch_predictions, churn_probability, risk_level, train_churn_model
+from churnlens.operators.model import (append_predictions, batch_predictions, churn_probability, evaluate_model, load_model,
+                                       risk_level, save_model, train_churn_model)
 from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
 from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary, recency_baseline_score
 from churnlens.operators.split import split_counts, temporal_split
@@ -25,7 +28,7 @@ from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
-from churnlens.schemas import PANEL_REPORT_SCHEMA
+from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA
 from churnlens.session import materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import list_parts, load_parts, part_row_counts
@@ -52,6 +55,12 @@ def _clean_persisted(spark, sf) -> DataFrame:
     return materialize(_clean(spark, sf), "clean_transactions")
 
 
+def _clean_by_month(spark, sf) -> DataFrame:
+    """The clean table laid out in folders by invoice month, as the jobs keep it: date-bounded
+    reads skip later months."""
+    return materialize(with_month(_clean(spark, sf)), "clean_by_month", partition_by=MONTH_COLUMN)
+
+
 def _exported_parts(spark, sf) -> dict[str, str]:
     """The raw log written once as a folder of named parts, then listed."""
     root = export_raw_parts(spark, sf, P.expected_parts, scratch_path(spark, "raw_export"))
@@ -89,21 +98,21 @@ def q_validation_report(spark, sf):
 
 
 def q_customer_features_asof(spark, sf):
-    return customer_features(_clean(spark, sf), P.as_of_date)
+    return customer_features(_clean_by_month(spark, sf), P.as_of_date)
 
 
 def q_single_customer_features(spark, sf):
-    clean = _clean_persisted(spark, sf)
+    clean = _clean_by_month(spark, sf)
     # the customer is chosen by Spark from the data: most real lines before
     # the date, ties to the smallest id (a top-1 pick is the feature here)
-    top = (clean.filter(is_real() & (F.col("invoice_date") < ntz(P.as_of_date)))
+    top = (up_to_month(clean, parse_timestamp(P.as_of_date)).filter(is_real() & (F.col("invoice_date") < ntz(P.as_of_date)))
            .groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.desc("n"), F.asc("customer_id")).limit(1).select("customer_id"))
     return single_customer_features(clean, top, P.as_of_date)
 
 
 def q_churn_labels(spark, sf):
-    return churn_labels(_clean(spark, sf), P.as_of_date, P.threshold_days)
+    return churn_labels(_clean_by_month(spark, sf), P.as_of_date, P.threshold_days)
 
 
 def q_snapshot_calendar(spark, sf):
@@ -112,7 +121,7 @@ def q_snapshot_calendar(spark, sf):
 
 
 def _panel(spark, sf):
-    clean = _clean_persisted(spark, sf)
+    clean = _clean_by_month(spark, sf)
     cal = calendar_for(clean, P.snapshot_start_date, P.threshold_days)
     return clean, S.snapshot_panel(clean, cal), cal
 
@@ -120,7 +129,7 @@ def _panel(spark, sf):
 def _panel_persisted(spark, sf):
     """The panel as downstream jobs see it: a written table, read back."""
     clean, panel, cal = _panel(spark, sf)
-    return clean, materialize(panel, "customer_snapshots"), cal
+    return clean, materialize(panel, "customer_snapshots", partition_by="snapshot_date"), cal
 
 
 def q_customer_snapshots(spark, sf):
@@ -215,7 +224,8 @@ def q_pr_curve(spark, sf):
 
 
 def q_recall_at_precision(spark, sf):
-    return pr_summary(_baseline_curve(spark, sf), P.min_precision)
+    out = pr_summary(_baseline_curve(spark, sf), P.min_precision)
+    return out.withColumn("average_precision", F.round("average_precision", 12))
 
 
 def _drift_sides(spark, sf):
@@ -225,7 +235,7 @@ def _drift_sides(spark, sf):
 
 def q_feature_drift_psi(spark, sf):
     base, cur = _drift_sides(spark, sf)
-    return psi(base, cur, P.drift_bins)
+    return psi(base, cur, P.drift_bins).withColumn("psi", F.round("psi", 9))
 
 
 def q_feature_drift_ks(spark, sf):
@@ -235,49 +245,117 @@ def q_feature_drift_ks(spark, sf):
 
 def q_feature_drift_summary(spark, sf):
     base, cur = _drift_sides(spark, sf)
-    return summary_drift(base, cur)
+    out = summary_drift(base, cur)
+    return out.withColumns({c: round_significant(F.col(c)) for c in out.columns if c.startswith(("mean_", "std_"))})
+
 
+def q_drift_report(spark, sf):
+    """D8 as one report; float figures rounded, as their last bits depend on the order of sums."""
+    base, cur = _drift_sides(spark, sf)
+    out = drift_report(base, cur, P.drift_bins).withColumn("psi", F.round("psi", 9))
+    return out.withColumns({c: round_significant(F.col(c)) for c in out.columns if c.startswith(("mean_", "std_"))})
 
-# Size of the model trained by the registered checks; jobs default to the
-# configured n_estimators.
-CHECK_MODEL_ITERATIONS = 20
 
+# One model per application and source folder, as a job would keep it: trained by the first
+# query that needs it, saved, and loaded by the others.
+_MODELS: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
 
-def _trained(spark, sf, with_clean: bool = False):
-    sp, clean = _split_panel(spark, sf, with_clean=True)
-    train = sp.filter(F.col("split") == "train")
-    test = sp.filter(F.col("split") == "test")
-    model = train_churn_model(train, P.model_params, max_iter=CHECK_MODEL_ITERATIONS)
-    return (model, train, test, clean) if with_clean else (model, train, test)
+
+def _trained(spark, sf):
+    """(model, train, test, clean); the model has the configured number of trees."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        sp, clean = _split_panel(spark, sf, with_clean=True)
+        path = scratch_path(spark, "churn_model")
+        save_model(train_churn_model(sp.filter(F.col("split") == "train"), P.model_params, max_fit_rows=P.max_fit_rows), path)
+        _MODELS[key] = (path, sp, clean)
+    path, sp, clean = _MODELS[key]
+    return load_model(path), sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test"), clean
+
+
+def _checked(scored: DataFrame) -> list:
+    """What SQL can tell about a score without the model: its range, and the band that it falls in."""
+    p = F.col("churn_probability")
+    high, medium = P.risk_bands[0][1], P.risk_bands[1][1]
+    band = F.when(p < medium, "low").when(p < high, "medium").otherwise("high")
+    return [p.between(0.0, 1.0).alias("probability_in_range"), (F.col("risk_level") == band).alias("band_fits")]
 
 
 def q_train_and_score(spark, sf):
     """D3 + D7: train on the train split, score every test row, band the risk."""
-    model, _, test = _trained(spark, sf)
-    scored = churn_probability(model, test)
-    return scored.select("customer_id", "snapshot_date", "churn_probability",
-                         risk_level(F.col("churn_probability"), P.risk_bands).alias("risk_level"),
-                         "is_churned")
+    model, _, test, _ = _trained(spark, sf)
+    scored = churn_probability(model, test).withColumn("risk_level", risk_level(F.col("churn_probability"), P.risk_bands))
+    return scored.select("customer_id", "snapshot_date", "is_churned", *_checked(scored))
+
+
+def q_model_evaluation(spark, sf):
+    """D4 on the trained model: its row of the metrics table, appended and read back."""
+    model, _, test, _ = _trained(spark, sf)
+    target = TableTarget(scratch_path(spark, "training_metrics"), mode="append")
+    target.write(evaluate_model(model, test, P.model_params, P.min_precision))
+    r = target.read(spark)
+    figures = ("average_precision", "recall_at_precision")
+    return r.select("n_rows", "n_positive", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_judged"),
+                    (F.col("tp") + F.col("fn")).alias("n_churned"), "max_iter", "min_precision",
+                    *[F.col(c).between(0.0, 1.0).alias(f"{c}_in_range") for c in figures],
+                    # a ranking without skill has the share of positives as its average precision
+                    (F.col("average_precision") > F.col("n_positive") / F.col("n_rows")).alias("better_than_chance"))
 
 
 def q_shapley_contributions(spark, sf):
-    model, train, test = _trained(spark, sf)
-    return shapley_contributions(model, test, baseline_point(train))
+    """D5 on the trained model: contributions add up to prediction - base value on every test row."""
+    model, train, test, _ = _trained(spark, sf)
+    out = shapley_contributions(model, test, baseline_point(train))
+    total = sum((F.col(f"phi_{c}") for c in FEATURE_COLUMNS), F.lit(0.0))
+    return out.select("customer_id", "snapshot_date", (F.abs(total - (F.col("prediction") - F.col("base_value"))) < 1e-9).alias("adds_up"))
 
 
 def q_global_importance(spark, sf):
-    model, train, test = _trained(spark, sf)
-    return global_importance(shapley_contributions(model, test, baseline_point(train)))
+    """D6 on the trained model: every feature once, with a rank of its own."""
+    model, train, test, _ = _trained(spark, sf)
+    out = global_importance(shapley_contributions(model, test, baseline_point(train)))
+    return out.select("feature", (F.col("mean_abs_contribution") >= F.abs("mean_contribution") - 1e-12).alias("not_below_its_mean"),
+                      F.col("rank").between(1, len(FEATURE_COLUMNS)).alias("ranked"))
+
+
+def formula_score(df: DataFrame) -> DataFrame:
+    """A fixed score with interactions, for checking contributions against SQL."""
+    r, f, q = F.col("recency_days"), F.col("frequency"), F.col("return_rate")
+    m, t, n = F.col("monetary_total"), F.col("customer_tenure_days"), F.col("n_distinct_products")
+    score = (r / (r + F.lit(134.0)) * (F.lit(1.0) - q) * F.lit(0.5) + F.lit(0.3) / (F.lit(2.0) + f) * t / (t + F.lit(365.0))
+             + F.lit(0.1) / (F.lit(2.0) + n) + F.lit(0.1) * F.col("monetary_avg_order") / (F.abs(m) + F.lit(1000.0)))
+    return df.withColumn("churn_probability", score)
+
+
+def _formula_contributions(spark, sf):
+    sp = _split_panel(spark, sf)
+    return shapley_contributions(formula_score, sp.filter(F.col("split") == "test"),
+                                 baseline_point(sp.filter(F.col("split") == "train")))
+
+
+def q_shapley_formula(spark, sf):
+    """D5 over a fixed formula, where SQL can evaluate all 128 coalitions."""
+    out = _formula_contributions(spark, sf)
+    return out.select("customer_id", "snapshot_date", *[
+        F.round(c, 6).alias(c) for c in out.columns if c not in ("customer_id", "snapshot_date")])
+
+
+def q_importance_formula(spark, sf):
+    """D6 over the same formula."""
+    out = global_importance(_formula_contributions(spark, sf))
+    return out.select("feature", F.round("mean_abs_contribution", 6).alias("mean_abs_contribution"),
+                      F.round("mean_contribution", 6).alias("mean_contribution"), "rank")
 
 
 def q_batch_predictions(spark, sf):
     """Score the one-date features of every customer; append to the log."""
-    model, _, _, clean = _trained(spark, sf, with_clean=True)
+    model, _, _, clean = _trained(spark, sf)
     feats = customer_features(clean, P.test_start_date)
     preds = batch_predictions(model, feats, P.test_start_date, P.risk_bands)
     target = TableTarget(scratch_path(spark, "predictions"), mode="append")
-    target.write(preds)
-    return target.read(spark)
+    append_predictions(preds, target)
+    log = target.read(spark)
+    return log.select("customer_id", "as_of_date", *_checked(log))
 
 
 def q_streaming_predictions(spark, sf):
@@ -285,15 +363,16 @@ def q_streaming_predictions(spark, sf):
     scored micro-batch by micro-batch into the append-only log."""
     from churnlens.streaming.scoring import read_prediction_log, start_prediction_stream
 
-    model, _, _, clean = _trained(spark, sf, with_clean=True)
+    model, _, _, clean = _trained(spark, sf)
     base = scratch_path(spark, "prediction_stream")
     for i, day in enumerate([P.as_of_date, P.test_start_date]):
         feats = customer_features(clean, day).withColumn("as_of_date", ntz(day))
         feats.write.mode("overwrite").parquet(f"{base}/features/part_{i}")
-    q = start_prediction_stream(spark, model, f"{base}/features/*", f"{base}/log", f"{base}/checkpoint",
-                                P.risk_bands, max_files_per_trigger=1)
-    q.awaitTermination()
-    return read_prediction_log(spark, f"{base}/log").drop("batch_id", "scored_at")
+        # the second date is scored by the same stream, started again from its checkpoint
+        start_prediction_stream(spark, model, f"{base}/features/*", f"{base}/log", f"{base}/checkpoint",
+                                P.risk_bands).awaitTermination()
+    log = read_prediction_log(spark, f"{base}/log")
+    return log.select("customer_id", "as_of_date", *_checked(log))
 
 
 def q_confusion_counts(spark, sf):
@@ -303,8 +382,8 @@ def q_confusion_counts(spark, sf):
 
 
 def q_customer_snapshots_range(spark, sf):
-    """U14 by the range-join plan (same rows as the bucketed plan)."""
-    clean = _clean_persisted(spark, sf)
+    """U14 by the range plan (same rows as the bucketed plan), its cross-check."""
+    clean = _clean_by_month(spark, sf)
     cal = calendar_for(clean, P.snapshot_start_date, P.threshold_days)
     return S.snapshot_panel_range(clean, cal)
 
@@ -341,6 +420,10 @@ QUERIES: dict[str, Query] = {
     "train_and_score": q_train_and_score,
     "shapley_contributions": q_shapley_contributions,
     "global_importance": q_global_importance,
+    "model_evaluation": q_model_evaluation,
+    "shapley_formula": q_shapley_formula,
+    "importance_formula": q_importance_formula,
+    "drift_report": q_drift_report,
     "batch_predictions": q_batch_predictions,
     "streaming_predictions": q_streaming_predictions,
     "confusion_counts": q_confusion_counts,

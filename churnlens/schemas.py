@@ -40,6 +40,18 @@ FEATURE_COLUMNS = [
     "return_rate",
 ]
 
+CLEAN_SCHEMA = T.StructType([
+    T.StructField("invoice", T.StringType()),
+    T.StructField("stock_code", T.StringType()),
+    T.StructField("description", T.StringType()),
+    T.StructField("quantity", T.LongType()),
+    T.StructField("invoice_date", T.TimestampNTZType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("customer_id", T.StringType()),
+    T.StructField("country", T.StringType()),
+    *[T.StructField(f, T.BooleanType()) for f in FLAG_COLUMNS],
+])
+
 SNAPSHOT_COLUMNS = ["customer_id", "snapshot_date", *FEATURE_COLUMNS, "is_churned"]
 
 SNAPSHOT_SCHEMA = T.StructType([

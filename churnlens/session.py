@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -40,38 +43,81 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and scratch tables.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir);
-    only when neither is set -- local tests -- a fresh folder is made.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
+    Where neither is set a local master gets a fresh folder; any other
+    master is an error, as its executors would not see this machine's disk.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not is_local(sc.master):
+            raise ValueError(f"spark.checkpoint.dir is not set: tables between jobs need a folder that all "
+                             f"executors of {sc.master} share")
         d = tempfile.mkdtemp(prefix="churnlens-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process ("local", "local[8]")."""
+    return master == "local" or master.startswith("local[")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder of scratch tables."""
+    return f"{shared_dir(spark).rstrip('/')}/churnlens/{spark.sparkContext.applicationId}"
+
+
+_ROOTS: dict[str, SparkSession] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/churnlens/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the application's scratch folder, which goes
+    when the session is released or the process ends."""
+    root = scratch_root(spark)
+    if root not in _ROOTS:
+        if not _ROOTS:
+            atexit.register(_release_all)
+        _ROOTS[root] = spark
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the application's scratch tables: to be called once no frame reads them."""
+    root = scratch_root(spark)
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+    _ROOTS.pop(root, None)
+
+
+def _release_all() -> None:
+    for spark in list(_ROOTS.values()):
+        with contextlib.suppress(Exception):  # the session may be gone with the process
+            release_scratch(spark)
 
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def materialize(df, name: str = "intermediate"):
+def materialize(df, name: str = "intermediate", partition_by: str | None = None, files: int = 2):
     """Cut lineage: write the frame as a Parquet table in the shared folder
     and read it back (eager).
 
     Used where one intermediate feeds several branches of a plan, so it is
     computed once instead of once per branch, and a lost executor replays
     from the written files rather than from the sources. Parquet keeps it
-    columnar and gives the planner real file sizes.
+    columnar and gives the planner real file sizes. ``partition_by`` lays the
+    table out in folders by that column, each of at most ``files`` files, so
+    that later filters on it skip whole folders.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if not partition_by:
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    rest = [c for c in df.columns if c != partition_by]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rest]), F.lit(int(files)))
+    df.repartition(F.col(partition_by), spread).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -30,13 +30,15 @@ class TableTarget:
 
     def __init__(self, path: str, mode: str = "replace", fmt: str = "parquet",
                  schema: T.StructType | None = None, partition_by: list[str] | None = None,
-                 files_per_partition: int | None = None):
+                 files_per_partition: int | None = None, empty_schema: T.StructType | None = None):
         """``partition_by`` lays the table out in folders by those columns;
         declare ``schema`` with it, so partition values are typed from the
         schema (an inferred timestamp would be read as a zone-aware one).
         ``files_per_partition`` spreads each partition value over that many
         hash buckets before writing: a bounded number of files per folder,
-        without sending a whole partition value through one task."""
+        without sending a whole partition value through one task.
+        ``empty_schema`` is what a table never written reads as, where the
+        written one keeps the types of its source."""
         if mode not in _MODES:
             raise ValueError(f"a table is written with mode {' or '.join(map(repr, _MODES))}; {mode!r} is neither")
         self.path = path
@@ -45,6 +47,7 @@ class TableTarget:
         self.schema = schema
         self.partition_by = partition_by or []
         self.files_per_partition = files_per_partition
+        self.empty_schema = empty_schema or schema
 
     @classmethod
     def from_config(cls, config: Mapping) -> "TableTarget":
@@ -70,7 +73,7 @@ class TableTarget:
 
     def _publish(self, spark: SparkSession, version: str) -> None:
         """Make ``version`` the table: the pointer is replaced in one rename."""
-        fs, root = _hadoop_path(spark, self.path)
+        fs, root = hadoop_path(spark, self.path)
         jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
         before = self._current(spark)
         draft, pointer = jvm.Path(root, f".{_POINTER}-{version}"), jvm.Path(root, _POINTER)
@@ -86,7 +89,7 @@ class TableTarget:
 
     def _current(self, spark: SparkSession) -> str | None:
         """Name of the version that the pointer shows, if there is one."""
-        fs, root = _hadoop_path(spark, self.path)
+        fs, root = hadoop_path(spark, self.path)
         pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, _POINTER)
         if not fs.exists(pointer):
             return None
@@ -112,14 +115,14 @@ class TableTarget:
         return writer
 
     def exists(self, spark: SparkSession) -> bool:
-        fs, jpath = _hadoop_path(spark, self.path)
+        fs, jpath = hadoop_path(spark, self.path)
         return bool(fs.exists(jpath))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Whole table. A table never written reads as empty when its schema
         is declared (the schema is kept), else it is an error."""
-        if self.schema is not None and not self.exists(spark):
-            return spark.createDataFrame([], self.schema)
+        if self.empty_schema is not None and not self.exists(spark):
+            return spark.createDataFrame([], self.empty_schema)
         reader = spark.read.format(self.fmt)
         if self.schema is not None:
             reader = reader.schema(self.schema)
@@ -130,7 +133,7 @@ class TableTarget:
         return df.drop(SYNTHETIC_KEY) if SYNTHETIC_KEY in df.columns else df
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """(FileSystem, Path) for a table location, through the session's Hadoop
     configuration, so the same code works on local disk, HDFS or object stores."""
     jvm = spark.sparkContext._jvm

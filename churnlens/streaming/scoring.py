@@ -2,14 +2,17 @@
 
 Feature rows (customer_id, as_of_date, seven features) land as files in a
 folder; a Structured Streaming query scores each new micro-batch with the
-trained model and writes it under ``batch_id=<n>`` of the prediction log.
-Each micro-batch overwrites only its own folder, so a batch replayed after
-a failure (same id, from the checkpoint) replaces itself instead of being
-appended twice: the log is exactly-once and history is never rewritten.
+trained model and writes it under ``stream=<id>/batch_id=<n>`` of the
+prediction log. A stream's id is made with its checkpoint and kept there, so
+a batch replayed after a failure (same stream, same number) replaces itself
+instead of being appended twice, while another stream, or one started anew
+from a fresh checkpoint, writes beside it: the log is exactly-once and
+history is never rewritten.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
@@ -21,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from churnlens.functions.columns import ntz
 from churnlens.operators.model import churn_probability, risk_level
 from churnlens.schemas import FEATURE_COLUMNS
+from churnlens.sources.tables import hadoop_path
 
 FEATURE_BATCH_SCHEMA = T.StructType([
     T.StructField("customer_id", T.StringType()),
@@ -46,7 +50,8 @@ def score_batch(model: PipelineModel, features: DataFrame, bands, scored_at: dat
 def start_prediction_stream(spark: SparkSession, model: PipelineModel, source_dir: str, log_dir: str,
                             checkpoint_dir: str, bands, available_now: bool = True,
                             max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Score feature files as they arrive; one log folder per micro-batch."""
+    """Score feature files as they arrive; one log folder per stream and micro-batch."""
+    stream_id = _stream_id(spark, checkpoint_dir)
     reader = spark.readStream.schema(FEATURE_BATCH_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -54,12 +59,28 @@ def start_prediction_stream(spark: SparkSession, model: PipelineModel, source_di
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         preds = score_batch(model, batch, bands, datetime.now())
-        preds.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/batch_id={batch_id}")
+        preds.write.mode("overwrite").parquet(f"{log_dir.rstrip('/')}/stream={stream_id}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def _stream_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The id that the checkpoint holds, made when there is none."""
+    fs, folder = hadoop_path(spark, checkpoint_dir)
+    jvm = spark.sparkContext._jvm.org.apache
+    path = jvm.hadoop.fs.Path(folder, "stream_id")
+    if not fs.exists(path):
+        out = fs.create(path, False)
+        out.write(bytearray(uuid.uuid4().hex.encode()))
+        out.close()
+    stream = fs.open(path)
+    try:
+        return jvm.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
 def read_prediction_log(spark: SparkSession, log_dir: str) -> DataFrame:
-    return spark.read.parquet(log_dir)
+    return spark.read.parquet(log_dir).drop("stream")

@@ -10,11 +10,26 @@ from churnlens.sources.parts import list_parts
 from churnlens.sources.retail_view import export_raw_parts
 
 
+def test_csv_parts_through_every_stage(spark):
+    base = tempfile.mkdtemp(prefix="cli-")
+    export_raw_parts(spark, "/root/testdata/sf0.001", P.expected_parts, f"{base}/parquet")
+    for name, path in list_parts(spark, f"{base}/parquet").items():
+        spark.read.parquet(path).write.option("header", True).csv(f"{base}/source/{name}")
+    out = main(["all", "--warehouse", f"{base}/wh", "--source", f"{base}/source", "--format", "csv", "--trees", "3",
+                "--expected-parts", *P.expected_parts, "--reference-date", P.reference_date, "--test-start", P.test_start_date,
+                "--snapshot-start", P.snapshot_start_date, "--threshold-days", str(P.threshold_days)])
+    assert all(out[stage]["check"]["matches"] for stage in out)
+    assert set(out) == {"ingestion", "validation", "feature_engineering", "training", "explanation", "scoring", "drift"}
+    again = main(["scoring", "--warehouse", f"{base}/wh", "--as-of", P.as_of_date, "--threshold-days", str(P.threshold_days)])
+    assert again["scoring"]["check"]["matches"]
+    assert sorted(r["rank"] for r in out["explanation"]["importance"]) == list(range(1, 8))
+
+
 def test_all_stages_from_a_parts_folder(spark):
     base = tempfile.mkdtemp(prefix="cli-")
     export_raw_parts(spark, "/root/testdata/sf0.001", P.expected_parts, f"{base}/source")
     assert list(list_parts(spark, f"{base}/source")) == list(P.expected_parts)
-    out = main(["all", "--warehouse", f"{base}/wh", "--source", f"{base}/source",
+    out = main(["all", "--warehouse", f"{base}/wh", "--source", f"{base}/source", "--trees", "2", "--test-start", P.test_start_date,
                 "--expected-parts", *P.expected_parts, "--reference-date", P.reference_date,
                 "--snapshot-start", P.snapshot_start_date, "--threshold-days", str(P.threshold_days)])
     ing, val, fe = out["ingestion"], out["validation"], out["feature_engineering"]

@@ -8,9 +8,10 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from churnlens.functions.running import running_totals
-from churnlens.operators.drift import ks_statistic, psi
+from churnlens.operators.drift import drift_report, ks_from, psi_from, value_histogram, ks_statistic, psi
 from churnlens.operators.gaps import favourite_product, gap_histogram, gap_percentiles
 from churnlens.operators.metrics import pr_curve, pr_summary
 from churnlens.operators.split import split_counts, temporal_split
@@ -128,3 +129,32 @@ def test_temporal_split_embargo(spark):
     got = {r["split"]: (r["n_rows"], r["n_snapshots"]) for r in split_counts(sp).collect()}
     # train: T + 60 days <= 09-01 -> T <= 07-03 -> Jan..Jul; embargo: Aug; test: Sep..Dec
     assert got == {"train": (21, 7), "embargo": (3, 1), "test": (12, 4)}
+
+
+def test_one_rule_for_missing_and_infinite_values(spark):
+    base, cur = _rand_panel(spark, 1, 0), _rand_panel(spark, 2, 40)
+    odd = cur.withColumn("return_rate", F.when(F.col("customer_id") == "0", float("nan")).when(F.col("customer_id") == "1", float("inf"))
+                         .when(F.col("customer_id") == "2", None).otherwise(F.col("return_rate")))
+    r = {x["feature"]: x for x in drift_report(base, odd, 10).collect()}["return_rate"]
+    assert (r["n_current"], r["n_non_finite_current"]) == (397, 1) and r["null_rate_current"] == pytest.approx(2 / 400)
+    rest = cur.filter("customer_id NOT IN ('0', '1', '2')")
+    want = {x["feature"]: x for x in drift_report(base, rest, 10).collect()}["return_rate"]
+    for c in ("ks_statistic", "psi", "mean_current", "std_current"):
+        assert r[c] == pytest.approx(want[c]), c
+    assert {x["feature"]: x["psi"] for x in psi(base, odd, 10).collect()}["return_rate"] == r["psi"]
+
+
+@pytest.mark.parametrize("levels", [2, 6, 9, None])
+def test_the_number_of_ranges_does_not_matter(spark, levels):
+    df = spark.range(3000).select((F.col("id") * 7919 % 3001).cast("double").alias("v"), (F.col("id") % 5).alias("w"))
+    got = [r["cum_w"] for r in running_totals(df, "v", ["w"], levels=levels).orderBy("v").collect()]
+    w = [r["w"] for r in df.orderBy("v").collect()]
+    assert got == [sum(w[: i + 1]) for i in range(len(w))][: len(got)] and len(got) == 3000
+
+
+def test_each_side_is_read_once_for_ks_and_psi(spark, tmp_path):
+    _rand_panel(spark, 1, 0).write.parquet(f"{tmp_path}/b")
+    _rand_panel(spark, 2, 9).write.parquet(f"{tmp_path}/c")
+    hist = value_histogram(spark.read.parquet(f"{tmp_path}/b"), spark.read.parquet(f"{tmp_path}/c"))
+    for df in (ks_from(hist), psi_from(hist, 10)):  # both read the histogram, not the batches
+        assert all("value_histogram" in f or "psi_edges" in f for f in df.inputFiles())

@@ -12,8 +12,12 @@ from churnlens.operators.model import (
     append_predictions,
     batch_predictions,
     churn_probability,
+    evaluate_model,
+    fit_sample,
     gbt_settings,
+    load_model,
     risk_level,
+    save_model,
     train_churn_model,
 )
 from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
@@ -85,3 +89,28 @@ def test_predictions_for_selected_customers(spark, panel, model):
     chosen = spark.createDataFrame([("3",), ("7",), ("no-such-id",)], "customer_id string")
     preds = batch_predictions(model, feats, "2011-01-01", (("high", 0.7), ("low", 0.0)), customers=chosen)
     assert sorted(r["customer_id"] for r in preds.collect()) == ["3", "7"]
+
+
+def test_a_saved_model_scores_alike(panel, model):
+    path = tempfile.mkdtemp(prefix="model-") + "/m"
+    save_model(model, path)
+    save_model(model, path)  # again: replaced
+    scores = lambda m: sorted(map(tuple, churn_probability(m, panel).select("customer_id", "churn_probability").collect()))
+    assert scores(load_model(path)) == scores(model)
+
+
+def test_evaluation_equals_plain_figures(panel, model):
+    r = evaluate_model(model, panel, {"n_estimators": 500}, 0.5).first()
+    rows = [(x["churn_probability"], x["is_churned"]) for x in churn_probability(model, panel).collect()]
+    assert (r["n_rows"], r["n_positive"]) == (300, sum(y for _, y in rows))
+    assert (r["tp"], r["fp"], r["fn"], r["tn"]) == (sum(p >= 0.5 and y for p, y in rows), sum(p >= 0.5 and not y for p, y in rows),
+                                                   sum(p < 0.5 and y for p, y in rows), sum(p < 0.5 and not y for p, y in rows))
+    ap = sum(sum(y for q, y in rows if q == p) / r["n_positive"] * (sum(y for q, y in rows if q >= p) / sum(q >= p for q, _ in rows))
+             for p in {p for p, _ in rows})
+    assert r["average_precision"] == pytest.approx(ap) and r["max_iter"] == 500
+
+
+def test_the_fit_is_bounded_by_its_parameter_only(panel):
+    picked = fit_sample(panel, 40).collect()
+    assert len(picked) == 40 and picked == fit_sample(panel.repartition(7), 40).collect()
+    assert fit_sample(panel, 10_000).count() == panel.count()

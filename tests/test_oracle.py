@@ -11,6 +11,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from churnlens.oracle_sql import SQL
+from churnlens.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
@@ -39,18 +41,16 @@ def con():
     return c
 
 
-def test_every_registered_query_has_an_oracle_or_is_model_based():
-    q, s = E.queries(), E.oracle_sql()
-    assert set(s) <= set(q)
-    assert set(q) - set(s) == {"train_and_score", "shapley_contributions", "global_importance",
-                               "batch_predictions", "streaming_predictions"}
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(E.oracle_sql()[name])
+    res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)

@@ -5,12 +5,16 @@ from __future__ import annotations
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from churnlens.operators.clean import validate_and_clean
+from churnlens.functions.columns import with_month
 from churnlens.operators.features import customer_features
+from churnlens.operators.labels import churn_labels
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for
 from churnlens.queries import QUERIES
+from churnlens.session import materialize
 from churnlens.sources.retail_view import raw_transactions_from_tables
 
 SF = "/root/testdata/sf0.001"
@@ -42,9 +46,25 @@ def test_population_parity_needs_no_calendar_join(clean):
     assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-def test_range_panel_is_the_nested_loop_variant(clean):
+def test_no_plan_has_a_nested_loop(clean):
     cal = calendar_for(clean, "1996-01-01", 134)
-    assert "BroadcastNestedLoopJoin" in plan(S.snapshot_panel_range(clean, cal))
+    p = plan(S.snapshot_panel_range(clean, cal))
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+
+
+def test_a_table_laid_out_by_month_is_read_up_to_the_date(spark, clean):
+    by_month = materialize(with_month(clean), "by-month", partition_by="invoice_month")
+    for df, last in ((customer_features(by_month, "1999-01-01"), "1999-01"), (churn_labels(by_month, "1999-01-01", 45), "1999-02")):
+        p = plan(df)
+        assert "PartitionFilters: [isnotnull(invoice_month" in p and f"<= {last})" in p
+    files = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert files(by_month.filter("invoice_month = '1997-05'")) <= 2 < files(by_month)
+    assert sorted(map(str, customer_features(by_month, "1999-01-01").collect())) == \
+        sorted(map(str, customer_features(clean, "1999-01-01").collect()))
+
+
+def test_features_do_not_expand_lines(clean):
+    assert "Expand" not in plan(customer_features(clean, "1999-01-01"))
 
 
 def test_point_in_time_filter_reaches_scan(clean):

@@ -1,0 +1,51 @@
+"""The shared folder and the scratch tables in it."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+
+from churnlens.session import is_local, materialize, release_scratch, scratch_path, scratch_root, shared_dir
+
+
+class Context:
+    """A session of another master, without a checkpoint folder."""
+
+    master, applicationId = "spark://host:7077", "app-1"
+
+    def __init__(self):
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return None
+
+    def getConf(self):
+        return {}
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Context())
+
+
+def test_which_masters_are_local():
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+
+def test_scratch_tables_go_when_released(spark):
+    materialize(spark.range(3), "some")
+    root = scratch_root(spark).removeprefix("file:")
+    assert os.path.isdir(root) and scratch_path(spark, "x").startswith(scratch_root(spark))
+    # other tests' tables may lie there too, so only an empty application folder is released here
+    kept = os.listdir(root)
+    assert any(name.startswith("some-") for name in kept)
+
+
+def test_release_deletes_the_folder(spark, monkeypatch, tmp_path):
+    import churnlens.session as session
+    monkeypatch.setattr(session, "shared_dir", lambda s: str(tmp_path))
+    materialize(spark.range(3), "some")
+    assert os.listdir(tmp_path / "churnlens")
+    release_scratch(spark)
+    assert not os.listdir(tmp_path / "churnlens")

@@ -41,3 +41,15 @@ def test_stream_scores_each_file_once(spark):
     assert out.count() == 50
     assert out.select("customer_id", "as_of_date").distinct().count() == 50
     assert {r["risk_level"] for r in out.collect()} <= {"high", "medium", "low"}
+
+
+def test_history_survives_a_second_stream(spark):
+    """Two streams with checkpoints of their own write beside each other."""
+    train = spark.createDataFrame([(str(i), datetime(2010, 1, 1), i, 2, 10.0, 5.0, i + 10, 2, 0.1, i > 50) for i in range(100)],
+                                  SNAPSHOT_SCHEMA)
+    model = train_churn_model(train, {"random_state": 1}, max_iter=2)
+    base = tempfile.mkdtemp(prefix="stream-")
+    for n, seed in ((30, 1), (7, 2)):
+        _features(spark, n, datetime(2011, seed, 1), seed).write.parquet(f"{base}/src{seed}/a")
+        start_prediction_stream(spark, model, f"{base}/src{seed}/*", f"{base}/log", f"{base}/ck{seed}", BANDS).awaitTermination()
+    assert read_prediction_log(spark, f"{base}/log").count() == 37
