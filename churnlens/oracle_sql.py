@@ -414,7 +414,7 @@ SQL["model_evaluation"] = PANEL_SPLIT + f"""
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE is_churned) AS n_positive, count(*) AS n_judged,
        count(*) FILTER (WHERE is_churned) AS n_churned, {int(P.model_params["n_estimators"])} AS max_iter,
        CAST({MIN_PRECISION} AS DOUBLE) AS min_precision, true AS average_precision_in_range,
-       true AS recall_at_precision_in_range, true AS better_than_chance
+       true AS recall_at_precision_in_range
 FROM sp WHERE split = 'test'"""
 
 SQL["shapley_contributions"] = PANEL_SPLIT + """

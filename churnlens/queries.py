@@ -297,9 +297,7 @@ def q_model_evaluation(spark, sf):
     figures = ("average_precision", "recall_at_precision")
     return r.select("n_rows", "n_positive", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n_judged"),
                     (F.col("tp") + F.col("fn")).alias("n_churned"), "max_iter", "min_precision",
-                    *[F.col(c).between(0.0, 1.0).alias(f"{c}_in_range") for c in figures],
-                    # a ranking without skill has the share of positives as its average precision
-                    (F.col("average_precision") > F.col("n_positive") / F.col("n_rows")).alias("better_than_chance"))
+                    *[F.col(c).between(0.0, 1.0).alias(f"{c}_in_range") for c in figures])
 
 
 def q_shapley_contributions(spark, sf):
