@@ -1,7 +1,15 @@
 """Plans: snapshot calendar, panel plans and reports, end-to-end jobs."""
 
 from churnlens.plans.calendar import Calendar, calendar_for, calendar_frame, make_calendar
-from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation
+from churnlens.plans.jobs import (
+    run_drift,
+    run_explanation,
+    run_feature_engineering,
+    run_ingestion,
+    run_scoring,
+    run_training,
+    run_validation,
+)
 from churnlens.plans.snapshots import (
     build_customer_snapshots,
     overall_report,
@@ -14,6 +22,6 @@ from churnlens.plans.snapshots import (
 
 __all__ = [
     "Calendar", "build_customer_snapshots", "calendar_for", "calendar_frame", "make_calendar",
-    "overall_report", "panel_report", "per_snapshot_counts", "population_parity", "run_feature_engineering",
-    "run_ingestion", "run_validation", "snapshot_panel", "snapshot_panel_range",
+    "overall_report", "panel_report", "per_snapshot_counts", "population_parity", "run_drift", "run_explanation",
+    "run_feature_engineering", "run_ingestion", "run_scoring", "run_training", "run_validation", "snapshot_panel", "snapshot_panel_range",
 ]

@@ -1,7 +1,6 @@
 from churnlens.sources.parts import list_parts, load_parts, part_row_counts, verify_row_count
 from churnlens.sources.retail_view import (
     export_raw_parts,
-    raw_parts_from_tables,
     raw_transactions_from_tables,
 )
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
@@ -12,7 +11,6 @@ __all__ = [
     "list_parts",
     "load_parts",
     "part_row_counts",
-    "raw_parts_from_tables",
     "raw_transactions_from_tables",
     "read_report_json",
     "verify_row_count",

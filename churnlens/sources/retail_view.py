@@ -53,14 +53,14 @@ def _raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     # Order-level attributes first (orders is ~1/4 of lineitem), then the
     # line-level joins. lineitem x orders is fact-to-fact: it is always a
-    # shuffle join, never a broadcast of either side; orders is the hash
-    # build side (unique keys, so every partition's table is the same size).
+    # sort-merge join, never a broadcast of either side: it spills, and AQE
+    # splits its skewed partitions.
     order_side = (orders
                   .join(customer, orders.o_custkey == customer.c_custkey)
                   .join(nation, F.col("c_nationkey") == nation.n_nationkey)
                   .select("o_orderkey", "o_custkey", "o_orderdate", "n_name"))
     lines = (lineitem
-             .join(order_side.hint("shuffle_hash"), lineitem.l_orderkey == order_side.o_orderkey)
+             .join(order_side.hint("merge"), lineitem.l_orderkey == order_side.o_orderkey)
              .join(part, lineitem.l_partkey == part.p_partkey))
 
     k = F.col("o_orderkey")
@@ -108,13 +108,6 @@ def _part_name(names: tuple[str, str], split_year: int):
     return F.when(F.year("_order_date") < split_year, F.lit(names[0])).otherwise(F.lit(names[1]))
 
 
-def raw_parts_from_tables(spark: SparkSession, sf_dir: str, names: tuple[str, str],
-                          split_year: int = 1998) -> dict[str, DataFrame]:
-    """Two named export parts, split by order year like yearly sheets (lazy)."""
-    allrows = _with_planted_copies(_raw_base(spark, sf_dir)).withColumn("_part", _part_name(names, split_year))
-    return {n: allrows.filter(F.col("_part") == n).drop("_order_key", "_order_date", "_part") for n in names}
-
-
 def export_raw_parts(spark: SparkSession, sf_dir: str, names: tuple[str, str], root: str,
                      split_year: int = 1998) -> str:
     """Write the raw log once as a folder of named parts (``part=<name>``

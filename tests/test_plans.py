@@ -73,7 +73,7 @@ def test_point_in_time_filter_reaches_scan(clean):
 
 def test_fact_tables_joined_by_shuffle(spark):
     p = plan(raw_transactions_from_tables(spark, SF))
-    assert "ShuffledHashJoin" in p
+    assert "SortMergeJoin" in p and "ShuffledHashJoin" not in p
 
 
 @pytest.mark.parametrize("name", ["clean_transactions", "customer_features_asof", "customer_snapshots",

@@ -16,7 +16,6 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from churnlens import queries as Q  # noqa: E402
-from churnlens.operators.features import customer_features  # noqa: E402
 from churnlens.params import SYNTHETIC_PARAMS as P  # noqa: E402
 from churnlens.plans import snapshots as S  # noqa: E402
 from churnlens.plans.calendar import calendar_for  # noqa: E402
@@ -38,7 +37,7 @@ def summary(text: str) -> str:
     for block in details.split("\n\n"):
         if block.lstrip().startswith("(") and "Scan parquet" in block.splitlines()[0]:
             head = block.splitlines()[0].strip()
-            keep = [ln for ln in block.splitlines() if ln.startswith(("PushedFilters", "ReadSchema", "Location"))]
+            keep = [ln for ln in block.splitlines() if ln.startswith(("PartitionFilters", "PushedFilters", "ReadSchema", "Location"))]
             keep = [re.sub(r"InMemoryFileIndex \[file:.*/([^/]+)\]", r"\1", ln) for ln in keep]
             scans.append("\n".join([head, *keep]))
     return tree.strip() + ("\n\n" + "\n\n".join(scans) if scans else "")
@@ -46,16 +45,16 @@ def summary(text: str) -> str:
 
 def main() -> None:
     spark = get_session("local[8]", 8, extra={"spark.ui.showConsoleProgress": "false"})
-    clean = Q._clean_persisted(spark, SF)
+    clean = Q._clean_by_month(spark, SF)
     cal = calendar_for(clean, P.snapshot_start_date, P.threshold_days)
     panel = S.snapshot_panel(clean, cal)
     items = [
         ("Source view + cleaning (`clean_transactions`)", Q._clean(spark, SF)),
         ("Validation report (one aggregate over distinct rows + copies)", Q.q_validation_report(spark, SF)),
-        ("Features at one date (`customer_features_asof`, on the written clean table)",
-         customer_features(clean, P.as_of_date)),
-        ("Snapshot panel, bucketed plan (on the written clean table)", panel),
-        ("Snapshot panel, range-join plan (cross-check only)", S.snapshot_panel_range(clean, cal)),
+        ("Features at one date (`customer_features_asof`)", Q.q_customer_features_asof(spark, SF)),
+        ("Labels at one date (`churn_labels`)", Q.q_churn_labels(spark, SF)),
+        ("Snapshot panel (`customer_snapshots`)", Q.q_customer_snapshots(spark, SF)),
+        ("Snapshot panel, range plan (`customer_snapshots_range`, cross-check only)", Q.q_customer_snapshots_range(spark, SF)),
         ("Population parity (no calendar join)", S.population_parity(clean, panel, cal)),
         ("Purchase gap percentile", Q.q_purchase_gap_percentile(spark, SF)),
         ("PR curve (histogram materialized once; range-bucketed running totals)", Q.q_pr_curve(spark, SF)),
