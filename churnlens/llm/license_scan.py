@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from churnlens.session import materialize
+
 from .common import map_arrow, text_of
 
 #: Short notices of public licenses by SPDX identifier.
@@ -126,6 +128,7 @@ def scan_licenses(files: DataFrame, id_col: str = "doc_id", path_col: str = "pat
     rows = files.select(F.col(id_col).cast("long").alias("_id"), F.col(path_col).cast("string").alias("_path"),
                         text_of(text_col).alias("_text"))
     own = map_arrow(rows, run, "_id long, _path string, own_license string, own_score double, is_license_file boolean")
+    own = materialize(own, "own-licenses")  # read by three branches below
     own = own.withColumn("_dir", F.when(F.instr("_path", "/") > 0, F.regexp_replace("_path", "/[^/]*$", "")).otherwise(
         F.when(F.col("_path").isNotNull(), F.lit(""))))
 
