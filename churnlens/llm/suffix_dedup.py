@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 
 from churnlens.session import materialize
 
-from .common import _BASE, _BASE_INVERSE, _BYTE_VALUES, _powers, binary_values, map_arrow, mix64, utf8
+from .common import _BASE, _BASE_INVERSE, _BYTE_VALUES, _powers, binary_values, blocks_of, map_arrow, mix64, utf8
 
 _PIECE = 1 << 22  # bytes of one text hashed at once
+_BLOCK = 1 << 24  # bytes of texts whose equal segments meet before the shuffle
 _LOC = 1 << 16    # place, left and run of an anchor in one number
 
 
@@ -84,26 +85,27 @@ def _anchor_batch(kind, h, seg, doc, loc) -> pa.RecordBatch:
 
 
 def _anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """kind 1: an anchor to compare; kind 0: one whose segment stands earlier in the same batch
+    """kind 1: an anchor to compare; kind 0: one whose segment stands earlier in the same block
     of texts, a repeat for certain, under a key of its own so that it spreads."""
     def run(batches):
         for batch in batches:
             data, offsets = binary_values(batch.column(1))
             ids = batch.column(0).to_numpy()
-            found = [[] for _ in range(4)]
-            for i in range(len(offsets) - 1):
-                h, seg, place, left, windows = anchors(data[offsets[i]: offsets[i + 1]], length, gram)
-                if len(h):
-                    for column, values in zip(found, (h, seg, np.full(len(h), ids[i]), (place * 256 + left) * 256 + windows)):
-                        column.append(values)
-            if not found[0]:
-                continue
-            h, seg, doc, loc = (np.concatenate(c) for c in found)
-            order = np.lexsort((loc, doc, seg, h))
-            h, seg, doc, loc = h[order], seg[order], doc[order], loc[order]
-            repeat = np.concatenate([[False], (h[1:] == h[:-1]) & (seg[1:] == seg[:-1])])
-            h[repeat] = mix64((doc[repeat] * 1_000_003 + loc[repeat]).astype(np.uint64))
-            yield _anchor_batch(np.where(repeat, 0, 1), h, seg, doc, loc)
+            for lo, hi in blocks_of(offsets, _BLOCK):
+                found = [[] for _ in range(4)]
+                for i in range(lo, hi):
+                    h, seg, place, left, windows = anchors(data[offsets[i]: offsets[i + 1]], length, gram)
+                    if len(h):
+                        for column, values in zip(found, (h, seg, np.full(len(h), ids[i]), (place * 256 + left) * 256 + windows)):
+                            column.append(values)
+                if not found[0]:
+                    continue
+                h, seg, doc, loc = (np.concatenate(c) for c in found)
+                order = np.lexsort((loc, doc, seg, h))
+                h, seg, doc, loc = h[order], seg[order], doc[order], loc[order]
+                repeat = np.concatenate([[False], (h[1:] == h[:-1]) & (seg[1:] == seg[:-1])])
+                h[repeat] = mix64((doc[repeat] * 1_000_003 + loc[repeat]).astype(np.uint64))
+                yield _anchor_batch(np.where(repeat, 0, 1), h, seg, doc, loc)
 
     return map_arrow(docs, run, _ROWS)
 
@@ -233,17 +235,40 @@ def equal_runs(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length:
         edge = np.concatenate([[True], tied[1:] != tied[:-1]])
         classes[rows] = fresh + np.cumsum(edge) - 1
         return classes
-    body = data.tobytes()
-    cut = np.append(np.flatnonzero(np.concatenate([[True], tied[1:] != tied[:-1]])), len(rows))
-    at = (starts[rows] + shallow).tolist()
+    # windows equal in all that is left are put together first: the tries see distinct strings
     rest = length - shallow
-    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-        trie = BlindTrie()
-        for i in range(a, b):
-            trie.add(body[at[i]: at[i] + rest], i)
-        for members in trie.groups():
-            classes[rows[members]] = fresh
-            fresh += 1
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.add.accumulate(_BYTE_VALUES[data] * _powers("up", _BASE, len(data)), out=total[1:])
+    at = starts[rows] + shallow
+    hashes = (total[at + rest] - total[at]) * _powers("down", _BASE_INVERSE, len(data))[at]
+    order = np.lexsort((hashes, tied))
+    rows, tied, at = rows[order], tied[order], at[order]
+    first = np.concatenate([[True], tied[1:] != tied[:-1]])
+    for depth in [*range(0, rest - 7, 8), max(0, rest - 8)] if rest >= 8 else []:
+        digit = digits[at + depth]
+        first[1:] |= digit[1:] != digit[:-1]
+    if rest < 8:
+        first[:] = True
+    string = np.cumsum(first) - 1
+    heads, head_tied = at[first], tied[first]
+    edge = np.concatenate([[True], head_tied[1:] != head_tied[:-1]])
+    alone = edge & np.append(edge[1:], True)
+    head_class = np.zeros(len(heads), np.int64)
+    head_class[alone] = fresh + np.arange(alone.sum())
+    fresh += int(alone.sum())
+    several = np.flatnonzero(~alone)
+    if len(several):
+        body = data.tobytes()
+        places = heads[several].tolist()
+        cut = np.append(np.flatnonzero(edge[several]), len(several))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            trie = BlindTrie()
+            for i in range(a, b):
+                trie.add(body[places[i]: places[i] + rest], i)
+            for members in trie.groups():
+                head_class[several[members]] = fresh
+                fresh += 1
+    classes[rows] = head_class[string]
     return classes
 
 
@@ -296,10 +321,11 @@ def _single_windows(segments: DataFrame, length: int) -> DataFrame:
     return map_arrow(segments, run, _SEGMENTS)
 
 
-def _repeated_windows(segments: DataFrame, length: int, chunk_rows: int = 20_000) -> DataFrame:
+def _repeated_windows(segments: DataFrame, length: int, most: int, chunk_rows: int = 4_000) -> DataFrame:
     """Segments sorted by (g, doc, start) -> (doc, start, end) spans of windows that stand
-    earlier under the same key. Keys are taken in chunks of whole groups; of a group larger
-    than a chunk the distinct windows so far go on as single-window segments."""
+    earlier under the same key. Keys are taken in chunks of whole groups. Only windows dealt by
+    content come in groups of more than ``most`` rows: there the first of each distinct window
+    stands for those so far."""
     def spans(g, doc, start, body):
         data, offsets = binary_values(pa.array(body, pa.large_binary()))
         sizes = np.diff(offsets)
@@ -335,7 +361,7 @@ def _repeated_windows(segments: DataFrame, length: int, chunk_rows: int = 20_000
                 if cut:
                     yield spans(*[c[:cut] for c in held])[0]
                     held = [c[cut:] for c in held]
-                if len(held[0]) >= 2 * chunk_rows:
+                if len(held[0]) > most:
                     found, row, inner, again = spans(*held)
                     yield found
                     keep = np.flatnonzero(~again)
@@ -377,7 +403,7 @@ def kept_pieces(text: bytes, spans: list[tuple[int, int]]) -> tuple[list[bytes],
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 24,
-                   hot_segments: int = 20_000) -> DataFrame:
+                   hot_segments: int = 8_000) -> DataFrame:
     """One row per document: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept`` (the bytes left).
 
     Texts are their UTF-8 bytes, null empty; strings never cross documents. A byte goes if a
@@ -411,7 +437,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sorted_ = dealt.repartition("g").sortWithinPartitions("g", "doc", "start")
     place = F.floor(F.col("loc") / _LOC) - F.floor(F.col("loc") / 256) % 256
     whole = met.filter("kind = 0").select("doc", place.alias("start"), (place + F.col("loc") % 256 - 1 + length).alias("end"))
-    spans = whole.union(_repeated_windows(sorted_, length)).groupBy("doc").agg(
+    spans = whole.union(_repeated_windows(sorted_, length, hot_segments)).groupBy("doc").agg(
         F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def cut(batches):

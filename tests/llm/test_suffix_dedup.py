@@ -13,7 +13,7 @@ def result(df):
     return {r[0]: tuple(r)[1:] for r in df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()}
 
 
-@pytest.mark.parametrize("hot_segments", [20_000, 2])
+@pytest.mark.parametrize("hot_segments", [8_000, 2])
 def test_matches_brute_force(spark, hot_segments):
     rows = awkward_documents()
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
