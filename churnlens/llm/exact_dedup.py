@@ -140,7 +140,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     groups = recipes.groupBy(F.col("_recipe").alias("_group")).agg(
         F.min("_key").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # a group may hold a third of all rows: the plain sort-merge join leaves its splitting to AQE
+    # a group may hold a third of all rows: between two written tables AQE can split its partition
+    groups = materialize(groups, "recipe-groups")
     out = recipes.join(groups, F.col("_recipe") == F.col("_group"))
     return out.select(F.col("_key").alias(id_col), "keep_id", "group_size",
                       F.coalesce(F.col("_key") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
