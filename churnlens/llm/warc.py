@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnlens.session import materialize
+
 from .common import map_arrow, text_of
 
 _MEMBER = b"\x1f\x8b\x08"
@@ -71,6 +73,7 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", uri_col
     # only the payloads that occur more than once are looked up; copies are split by AQE
     first = (rows.filter(F.col("_n") >= min_bytes).groupBy(F.col("_sha").alias("_of"))
              .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_copies")).filter("_copies > 1").drop("_copies"))
+    first = materialize(first, "repeated-payloads")  # written, so that AQE can split a hot payload's partition
     rows = rows.join(first, F.col("_sha") == F.col("_of"), "left")
 
     def blocks(batches):
