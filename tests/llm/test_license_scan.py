@@ -1,8 +1,10 @@
 import math
+import textwrap
 
 import pytest
 
-from churnlens.llm.license_scan import Matcher, scan_licenses, words_of
+from churnlens.llm.license_scan import (FULL_TEXTS, HEADERS, TEMPLATES, Matcher, full_texts, header_blocks, scan_licenses,
+                                        words_of)
 
 MIT = "Released under the MIT License."
 APACHE = "Licensed under the Apache License, Version 2.0."
@@ -41,3 +43,55 @@ def test_cosine_by_hand():
     score, name = m.best(words_of("Alpha, gamma"))
     assert name == "T" and score == pytest.approx(alpha * t[0] / (math.hypot(*t) * math.hypot(alpha, rare)))
     assert m.best(["gamma"]) == (0.0, None) and m.best([]) == (0.0, None)
+
+
+def wrapped(text, mark, width=72, opening="", closing=""):
+    """Every paragraph filled to the width behind a comment mark, as editors do."""
+    paragraphs = [" ".join(p.split()) for p in text.split("\n\n") if p.strip()]
+    lines = f"\n{mark.rstrip()}\n".join("\n".join(textwrap.wrap(p, width, initial_indent=mark, subsequent_indent=mark)) for p in paragraphs)
+    return opening + lines + closing
+
+
+CODE = "\n" + "\n".join(f"def function_{i}(argument_{i}):\n    return value_{i} + other_{i}" for i in range(60))
+
+
+@pytest.mark.parametrize("name", FULL_TEXTS)
+def test_unmodified_license_files(spark, name):
+    text = full_texts()[name][0]
+    named = text.replace("<year>", "2019").replace("<owner>", "Jane Doe").replace("<copyright holders>", "Jane Doe and others")
+    rows = [(1, "r/LICENSE", named), (2, "r/a/b/x.py", "import os"), (3, "q/y.py", wrapped(named, "# ") + CODE),
+            (4, "p/z.c", wrapped(named, " * ", opening="/*\n", closing="\n */") + CODE), (5, "m/w.js", "nothing")]
+    got = scan(spark, rows + [(10 + i, f"o/{i}", f"some other file {i}, the text of which is of no license") for i in range(40)])
+    assert [got[d]["license"] for d in (1, 2, 3, 4, 5)] == [name] * 4 + [None]
+    assert got[1]["is_license_file"] and got[2]["inherited_dir"] == "r"
+    assert not any(got[d]["license"] for d in range(10, 50))
+
+
+def test_wrapped_headers(spark):
+    gpl3 = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License "
+            "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n\n"
+            "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+            "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.\n\n"
+            "You should have received a copy of the GNU General Public License along with this program.  If not, see "
+            "<https://www.gnu.org/licenses/>.")
+    mpl = ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed "
+           "with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.")
+    lgpl = gpl3.replace("program", "library").replace("General", "Lesser General").replace("version 3", "version 2.1")
+    headers = {"GPL-3.0": gpl3, "GPL-2.0": gpl3.replace("version 3", "version 2"), "LGPL-2.1": lgpl, "MPL-2.0": mpl,
+               "AGPL-3.0": gpl3.replace("General", "Affero General"), "Apache-2.0": HEADERS["Apache-2.0"][0],
+               "MIT": TEMPLATES["MIT"][1], "BSD-3-Clause": TEMPLATES["BSD-3-Clause"][1]}
+    rows, want = [], {}
+    for name, text in headers.items():
+        for copyright in ("", "Copyright (C) 2021 Jane Doe\n\n"):
+            for mark, opening, closing in (("# ", "#!/bin/sh\n", ""), ("// ", "", ""), (" * ", "/*\n", "\n */"), ("", '"""', '"""'), ("", "", "\n")):
+                want[len(rows)] = name
+                rows.append((len(rows), f"d{len(rows)}/x", wrapped(copyright + text, mark, 60, opening, closing) + CODE))
+    got = scan(spark, rows)
+    assert {d: r["license"] for d, r in got.items()} == want
+
+
+def test_blocks_of_lines():
+    lines = ["/* a", " * b", " *", " * c */", "int x;", "// d", "// e", "", "dnl f", "g", "", "h", '"""', "i", '"""', "k"]
+    bare, ranges = header_blocks(lines)
+    assert ranges == {(0, 2), (0, 4), (5, 7), (9, 12)} and bare[0].strip() == "a" and bare[8].strip() == "f"
+    assert header_blocks([""]) == ([""], set())
