@@ -86,4 +86,17 @@ p AS (SELECT t.*, g.source_size, g.target, g.u, CASE WHEN g.source_size > 0 THEN
       FROM t JOIN g ON t.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
        (least(floor(place * share + u) - floor((place - 1) * share + u), 3) * size)::BIGINT AS taken FROM p""",
+    "op12_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS x FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+d AS (SELECT vec_id, label, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM v),
+s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, any_value(a.label = c.label) AS same, sum(a.x * c.x)::BIGINT AS score
+      FROM d a JOIN d c ON a.i = c.i AND a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0 GROUP BY 1, 2),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) AS nth FROM s WHERE same) WHERE nth <= 5),
+m AS (SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.other_id ORDER BY n.score DESC, n.other_id)::INTEGER AS rank
+      FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same
+      WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""",
 }

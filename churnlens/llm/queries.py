@@ -10,15 +10,18 @@ from churnlens.session import scratch_path
 
 from .common import read_table
 from .exact_dedup import exact_duplicates
+from .hard_negatives import mine_hard_negatives, relabelled
 from .license_scan import scan_licenses
 from .line_dedup import drop_boilerplate
 from .mixing import mix_sources
 from .packing import pack_documents
 from .partenum import similar_components
 from .quality import fit_quality, score_quality
+from .streaming_bpe import bpe_round_trip
 from .suffix_dedup import remove_repeats
 from .topk import topk_inner_product
 from .warc import archive_round_trip
+from .whitening import whiten
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,6 +72,22 @@ def pack_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
 
+def bpe_streaming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe_round_trip(read_table(spark, sf_dir, "documents"))
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      digest(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+                      digest(F.col("decoded")).alias("decoded_sha256"))
+
+
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_hard_negatives(relabelled(read_table(spark, sf_dir, "embeddings")))
+
+
+def whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_exact_dedup": exact_dedup,
     "op2_quality_classifier": quality_classifier,
@@ -80,4 +99,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": ngram_jaccard_join,
     "op9_mix_systematic": mix_systematic,
     "op10_pack_best_fit": pack_best_fit,
+    "op11_bpe_streaming": bpe_streaming,
+    "op12_hard_negatives": hard_negatives,
+    "op13_whitening": whitened,
 }

@@ -1,0 +1,106 @@
+import math
+
+import numpy as np
+
+from churnlens.llm.whitening import (charpoly_modulo, coefficient_bits, components, exact_sums, largest_roots, null_space, primes_beyond, refined,
+                                     remaindered, roots_above, whiten)
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def charpoly(matrix):
+    primes = primes_beyond(coefficient_bits(matrix) + 1)
+    return remaindered({p: charpoly_modulo(np.array([[v % p for v in row] for row in matrix], np.int64), p) for p in primes})
+
+
+def fixed(rng, rows, d):
+    """Vectors whose dimensions differ in spread, so that eigenvalues do."""
+    return (rng.normal(0, 1, (rows, d)) * (1 + np.arange(d)) / d).astype(np.float32)
+
+
+def plain(vectors, count=16):
+    x = np.floor(64.0 * vectors.astype(np.float64)) + 1_000_000
+    fit = np.unique(x, axis=0)
+    n, mean = len(fit), fit.mean(axis=0)
+    values, axes = np.linalg.eigh(np.cov(fit.T, bias=True))
+    values, axes = values[::-1][:count], axes[:, ::-1][:, :count]
+    return n, x, fit, (x - mean) @ axes / np.sqrt(values), values, np.linalg.eigvalsh(np.cov(fit.T, bias=True)).sum()
+
+
+def test_polynomial_roots_and_multiplicities():
+    m = [[0] * 6 for _ in range(6)]
+    for i, v in enumerate((5, 5, 5, 9, 0, 2)):
+        m[i][i] = v
+    poly = charpoly(m)
+    assert poly == [0, -2250, 2725, -1220, 258, -26, 1]
+    assert [roots_above(poly, a, 1) for a in (-1, 3, 4, 9, 10, 17, 18)] == [6, 5, 4, 4, 1, 1, 0]
+    roots = largest_roots(poly, 16)
+    assert [(round(a / 2 ** b, 9), k) for a, b, k in roots] == [(9.0, 1), (5.0, 3), (2.0, 1)]
+    v = np.array(null_space(m, refined(poly, roots[1], 340), 340, 3))
+    assert np.allclose(v @ v.T, np.eye(3), atol=1e-15) and np.allclose(v[:, 3:], 0, atol=1e-15)
+    assert len(largest_roots(poly, 2)) == 2 and largest_roots([0, 0, 1], 4) == []
+
+
+def test_polynomial_of_random_integers_with_zero_pivots():
+    rng = np.random.default_rng(1)
+    for d in (1, 2, 5, 9):
+        for _ in range(5):
+            b = rng.integers(-4, 5, (d, max(1, d - 1)))
+            m = (b @ b.T).tolist()
+            want = [round(float(c)) for c in np.poly(np.array(m, float))[::-1]]
+            assert charpoly(m) == want
+
+
+def test_close_eigenvalues_are_told_apart(spark):
+    # 1e15 and 1e15 + 1, which doubles barely tell apart, at 45 degrees to the axes
+    m = [[2 * 10 ** 15 + 1, 1], [1, 2 * 10 ** 15 + 1]]
+    found = components(spark, 1, [0, 0], m, 2)
+    assert [round(f[0]) for f in found] == [2 * 10 ** 15 + 2, 2 * 10 ** 15]
+    assert abs(abs(found[0][2][0] * found[0][2][1]) - 0.5) < 1e-15 and abs(sum(x * y for x, y in zip(found[0][2], found[1][2]))) < 1e-15
+
+
+def test_matches_plain_eigenvectors(spark):
+    rng = np.random.default_rng(5)
+    vectors = fixed(rng, 300, 20)
+    vectors[250:] = vectors[:50]  # repeated vectors count once in the fit
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    rows += [(900, None), (901, [float("nan")] * 20), (902, [float("inf")] * 20), (903, [None] + [0.0] * 19), (904, [])]
+    out = whiten(spark.createDataFrame(rows, SCHEMA)).toPandas()
+    n, x, fit, want, values, total = plain(vectors)
+    got = out.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    assert got.shape == want.shape == (300, 16)
+    signs = np.sign((got * want).sum(axis=0))
+    assert np.abs(got * signs - want).max() < 1e-9
+    assert set(out["n"]) == {n} == {250}
+    one = out[out["component"] == 1].sort_values("vec_id")
+    assert one["deviation"].tolist() == [int(((n * v - fit.sum(axis=0)) ** 2).sum()) for v in x]
+    shares = out.groupby("component")["explained"].first().to_numpy()
+    assert np.allclose(shares, values / total, rtol=1e-10) and out["identity_error"].max() < 1e-12
+
+
+def test_few_rows_repeats_null_ids_lengths_and_empty(spark):
+    assert whiten(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], SCHEMA)).collect() == []  # nothing varies
+    rows = [(1, [0.0, 0.0]), (None, [1.0, 1.0]), (3, [2.0, 2.0]), (3, [2.0, 2.0]), (7, [1.0]), (8, [3.0])]
+    out = whiten(spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 AS x", "'a' AS component", "2 AS n")).collect()
+    by_id = sorted(((r["vec_id"] or 0, r["component"], r["n"], r["deviation"], round(abs(r["whitened"]), 9)) for r in out))
+    away = round(math.sqrt(1.5), 9)
+    assert by_id == [(0, 1, 3, 0, 0.0), (1, 1, 3, 2 * 192 ** 2, away), (3, 1, 3, 2 * 192 ** 2, away), (3, 1, 3, 2 * 192 ** 2, away),
+                     (7, 1, 2, 128 ** 2, 1.0), (8, 1, 2, 128 ** 2, 1.0)]
+
+
+def test_equal_eigenvalues_whiten_too(spark):
+    square = [(i, [float(a), float(b)]) for i, (a, b) in enumerate([(1, 1), (1, -1), (-1, 1), (-1, -1)])]
+    out = whiten(spark.createDataFrame(square, SCHEMA)).toPandas()
+    w = out.pivot(index="vec_id", columns="component", values="whitened").to_numpy()
+    assert np.allclose(w.T @ w / 4, np.eye(2), atol=1e-12) and np.allclose(out["explained"], 0.5)
+
+
+def test_sums_beyond_doubles_and_longs(spark):
+    big = 1 << 40
+    x = [[big + 3, -big], [big - 5, 7], [1, big]]
+    n, sums, products = exact_sums(spark.createDataFrame([(v,) for v in x], "x array<long>"))[2]
+    assert n == 3 and sums == [sum(v[j] for v in x) for j in range(2)]
+    assert products == [[sum(v[i] * v[j] for v in x) for j in range(2)] for i in range(2)]
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate([[3e16, 1.0], [-3e16, 5.0], [1e16, 2.0]])]
+    assert {r["deviation"] for r in whiten(spark.createDataFrame(rows, SCHEMA)).collect()} == {None}
