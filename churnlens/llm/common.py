@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import os
 import zipfile
@@ -55,6 +56,18 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def shielded(df: DataFrame, **keys: Column) -> DataFrame:
+    """(_row, keys...): the rows as one struct, so that no column of theirs meets a name of ours. ``keys`` are columns of ``df``."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), *[c.alias(n) for n, c in keys.items()])
+
+
+def one_per(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
+    """Of shielded rows equal in ``keys`` (null meets null) the one that comes first by its text and then by its whole content:
+    partial aggregates, so any number of copies may share a key."""
+    order = F.struct(text_of(f"_row.`{text_col}`").alias("text"), F.to_json("_row", {"ignoreNullFields": "false"}).alias("all"))
+    return rows.groupBy(*keys).agg(F.min_by("_row", order).alias("_row"))
+
+
 def text_of(column: str = "text") -> Column:
     """The text with null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -103,28 +116,21 @@ def blocks_of(offsets: np.ndarray, limit: int):
 
 
 # --- word hashing -----------------------------------------------------------------
-# A word's hash is a polynomial over its bytes modulo 2**64, each byte first mapped
-# to a random 64-bit value. Prefix sums give every word of a batch in a few passes:
-# sum(T[b_i] * B**(i - start)) = (S[end] - S[start]) * B**-start.
+# A word's hash is a polynomial over its bytes modulo 2**64, each byte first mapped to a random 64-bit
+# value. Such polynomials have fixed collisions (the Thue-Morse words) from some hundred bytes on, so
+# a word of more than _LONGEST_POLYNOMIAL bytes is hashed by blake2b instead.
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_LONGEST_POLYNOMIAL = 128
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(
     1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER_BYTES = np.arange(256, dtype=np.uint8)
 _LOWER_BYTES[65:91] += 32  # A-Z only
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(kind: str, base: int, n: int) -> np.ndarray:
-    have = _POWERS.get(kind)
-    if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), np.uint64(base), np.uint64)
-        steps[0] = 1
-        have = _POWERS[kind] = np.multiply.accumulate(steps)
-    return have[:n]
+_POWERS = np.full(_LONGEST_POLYNOMIAL, np.uint64(_BASE), np.uint64)
+_POWERS[0] = 1
+_POWERS = np.multiply.accumulate(_POWERS)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -162,12 +168,19 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.
     start, end, row = word_spans(data, offsets)
     if len(start) == 0:
         return np.zeros(0, np.uint64), start, end, row
-    values = _BYTE_VALUES[_LOWER_BYTES[data] if lower else data]
-    values = values * _powers("up", _BASE, len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.add.accumulate(values, out=total[1:])
-    hashes = (total[end] - total[start]) * _powers("down", _BASE_INVERSE, len(data))[start]
-    return mix64(hashes + (end - start).astype(np.uint64)), start, end, row
+    length = end - start
+    first = np.cumsum(length) - length  # of each word among the bytes of all words
+    place = np.arange(int(length.sum()))
+    inside = data[place + np.repeat(start - first, length)]
+    if lower:
+        inside = _LOWER_BYTES[inside]
+    place -= np.repeat(first, length)
+    np.minimum(place, _LONGEST_POLYNOMIAL - 1, out=place)
+    hashes = mix64(np.add.reduceat(_BYTE_VALUES[inside] * _POWERS[place], first) + length.astype(np.uint64))
+    for i in np.flatnonzero(length > _LONGEST_POLYNOMIAL).tolist():
+        body = inside[first[i]: first[i] + length[i]].tobytes()
+        hashes[i] = int.from_bytes(hashlib.blake2b(body, digest_size=8).digest(), "little")
+    return hashes, start, end, row
 
 
 def shingle_hashes(words: np.ndarray, row: np.ndarray, n_rows: int, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from churnlens.session import materialize
 
-from .common import SPACE_CLASS, binary_values, map_arrow, text_of
+from .common import SPACE_CLASS, binary_values, map_arrow, one_per, shielded, text_of
 
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, dtype=np.uint32)
 _WINDOW = 32
@@ -149,8 +149,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
-    keep = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_keep_sha")).distinct()
+    """One row of ``docs`` per group of equal texts, with all its columns, whatever their names: that of the smallest id, null ids
+    last. Of rows repeated under that id (a table loaded twice), or of a group of null ids only, the first by text and content stays.
+    An empty table stays empty."""
+    keep = materialize(exact_duplicates(docs, id_col, text_col).filter("kept").groupBy(
+        F.col(id_col).alias("_keep"), F.col("text_sha256").alias("_keep_sha")).agg(F.count(F.lit(1)).alias("_copies")), "kept-texts")
     sha = F.sha2(F.regexp_replace(text_of(text_col), SPACE_CLASS, " ").cast("binary"), 256)
-    return docs.join(keep, F.col(id_col).cast("long").eqNullSafe(F.col("_keep")) & (sha == F.col("_keep_sha")), "left_semi")
+    rows = shielded(docs, _id=F.col(id_col).cast("long"), _sha=sha)
+    match = F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_sha") == F.col("_keep_sha"))
+    kept = rows.join(keep.filter("_copies = 1"), match, "left_semi").select("_row.*")
+    several = keep.filter("_copies > 1")
+    if several.isEmpty():
+        return kept
+    return kept.union(one_per(rows.join(several, match, "left_semi"), ["_id", "_sha"], text_col).select("_row.*"))

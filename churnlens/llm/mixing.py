@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from churnlens.session import materialize
 
-from .common import text_of, word_count
+from .common import shielded, text_of, word_count
 
 _SALTS = 256
 
@@ -62,17 +62,27 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     takes nothing. A source without words has target 0 and emits nothing. Repeated
     rows are documents of their own, told apart by nothing, so each takes its own
     place in the order. An empty table gives an empty result. Reruns agree: the order
-    is by (size, salt of the id, id), the offset by source name and ``seed``.
+    is by (size, salt of the id, id), for null ids by (size, salt of the text, text hash), the offset by source name and ``seed``.
 
     The place of a document is found without a window over a source: documents per
     (source, size) are counted, and running sums over sizes and over 256 salts of
     the id give each (source, size, salt) its first place. A hot source or a hot
     size is thus spread; windows over rows see one salt of one size.
     """
+    out = _mixed(docs, id_col, text_col, source_col, weights, cap, seed)
+    return out.select(F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies", "taken")
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3,
+           seed: str = "mix") -> DataFrame:
+    """:func:`mix_sources` under fixed names, with ``_mark``: a hash of the text of a null id, else 0."""
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(source_col).cast("string").alias("source"),
-                       word_count(text_of(text_col)).alias("size"))
-    rows = materialize(rows.withColumn("_salt", F.conv(F.substring(F.md5(
-        F.coalesce(F.col("_id").cast("string"), F.lit(""))), 1, 2), 16, 10).cast("int")), "mix-sizes")
+                       word_count(text_of(text_col)).alias("size"), text_of(text_col).alias("_text"))
+    # null ids, which any number of rows may share, are spread by their texts
+    spread = F.md5(F.coalesce(F.col("_id").cast("string"), F.col("_text")))
+    rows = materialize(rows.withColumn("_salt", F.conv(F.substring(spread, 1, 2), 16, 10).cast("int"))
+                       .withColumn("_mark", F.when(F.col("_id").isNull(), F.xxhash64("_text")).otherwise(F.lit(0)))
+                       .drop("_text"), "mix-sizes")
 
     cells = rows.groupBy("source", "size", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     steps = cells.groupBy("source", "size").agg(F.sum("_n").alias("_n"))
@@ -86,14 +96,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cells = cells.select("source", "size", "_salt", F.coalesce(F.sum("_n").over(in_size), F.lit(0)).alias("_inside"))
     cells = _on(cells, steps, ["source", "size"])
 
-    in_cell = Window.partitionBy("source", "size", "_salt").orderBy("_id")
+    in_cell = Window.partitionBy("source", "size", "_salt").orderBy("_id", "_mark")
     out = _on(rows.withColumn("_nth", F.row_number().over(in_cell)), cells, ["source", "size", "_salt"])
     place = (F.col("_before") + F.col("_inside") + F.col("_nth")).cast("double")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = fraction_of(F.col("source"), seed)
     copies = F.floor(place * share + offset) - F.floor((place - 1) * share + offset)
     copies = F.least(copies, F.lit(int(cap)))
-    return out.select(F.col("_id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target",
+    return out.select("_id", "source", "size", "_mark", "source_size", "target",
                       copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
 
 
@@ -106,18 +116,18 @@ def _on(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     **params) -> DataFrame:
-    """The mix itself: every row of ``docs``, with its columns, as often as it has copies.
+    """The mix itself: every row of ``docs``, with its columns, whatever their names, as often as it has copies.
 
-    Rows that share id, size and source differ in nothing that a decision rests on;
+    Rows that share id, size and source (null ids: and text) differ in nothing that a decision rests on;
     they are numbered on both sides and matched by number.
     """
-    keys = ["_mix_id", "_mix_source", "_mix_size"]
+    keys = ["_mix_id", "_mix_source", "_mix_size", "_mix_mark"]
     numbered = F.row_number().over(Window.partitionBy(*keys).orderBy("_mix_id"))
-    mix = mix_sources(docs, id_col, text_col, source_col, **params).select(
-        F.col(id_col).alias("_mix_id"), F.col(source_col).alias("_mix_source"), F.col("size").alias("_mix_size"),
-        F.col("copies").alias("_mix_copies")).withColumn("_mix_nth", numbered)
-    rows = docs.withColumns({"_mix_id": F.col(id_col).cast("long"), "_mix_source": F.col(source_col).cast("string"),
-                             "_mix_size": word_count(text_of(text_col))}).withColumn("_mix_nth", numbered)
-    out = _on(rows, mix, [*keys, "_mix_nth"]).filter("_mix_copies > 0")
+    mix = _mixed(docs, id_col, text_col, source_col, **params).select(
+        F.col("_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"),
+        F.col("_mark").alias("_mix_mark"), F.col("copies").alias("_mix_copies")).withColumn("_mix_nth", numbered)
+    rows = shielded(docs, _mix_id=F.col(id_col).cast("long"), _mix_source=F.col(source_col).cast("string"), _mix_size=word_count(text_of(text_col)),
+                    _mix_mark=F.when(F.col(id_col).cast("long").isNull(), F.xxhash64(text_of(text_col))).otherwise(F.lit(0)))
+    out = _on(rows.withColumn("_mix_nth", numbered), mix, [*keys, "_mix_nth"]).filter("_mix_copies > 0")
     out = out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-    return out.select(*docs.columns)
+    return out.select("_row.*")

@@ -71,7 +71,7 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS comp
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id""",
     "op9_mix_systematic": f"""
 WITH t AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
-                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2))::BIGINT AS salt FROM documents),
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 2))::BIGINT AS salt FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM t GROUP BY source),
 w AS (SELECT *, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::DOUBLE AS weight,
              source_size * 3.0::DOUBLE AS cap, sum(source_size) OVER () AS total FROM s),

@@ -86,3 +86,23 @@ def test_every_stage_takes_awkward_and_empty_tables(spark, name):
         rows = out.collect()
         assert out.columns == docs.columns or name == "pack"
         assert len(rows) > 0 or df is not docs
+
+
+@pytest.mark.parametrize("name", ["quality", "exact", "near", "mix"])
+def test_stages_keep_columns_of_any_name_and_reduce_a_table_loaded_twice(spark, name):
+    clashing = ["_keep", "_keep_sha", "_mix_id", "_mix_copies", "_mix_mark", "_row", "_nth", "_fp", "_id", "_own", "copies", "size"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in clashing)
+    words = [f"The quick brown fox number {i} runs over the lazy dog and back again to its den." for i in range(12)]
+    rows = [(i, words[i], "en", f"s{i % 2}", 9, *(20 + i + j for j in range(len(clashing)))) for i in range(12)]
+    rows += [(None, f"{words[0]} null {i % 2}", "en", "s0", 9, *range(len(clashing))) for i in range(4)] + [(None, None, None, None, None, *range(len(clashing)))] * 2
+    docs = spark.createDataFrame(rows + rows, schema)
+    out = STAGES[name](spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [tuple(r) for r in out.collect()]
+    assert set(got) <= set(rows)
+    if name in ("exact", "near"):
+        assert len(got) == len(set(got)) == len({(r[0], r[1]) for r in got})
+        assert {r[0] for r in got if r[0] is not None} == set(range(12)) or name == "near"
+        assert sum(r[1] is None for r in got) == 1
+    assert got == [tuple(r) for r in STAGES[name](spark, docs, SF).collect()] or sorted(map(repr, got)) == sorted(
+        map(repr, (tuple(r) for r in STAGES[name](spark, docs, SF).collect())))
