@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import hashlib
 import io
 import os
@@ -50,10 +52,22 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def release_memory() -> None:
+    """Give freed memory of this process back to the machine: Python workers live on for later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+    """``mapInArrow`` with the package shipped to the workers, which give their memory back at the end of a partition."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def frugal(batches):
+        yield from run(batches)
+        release_memory()
+
+    return df.mapInArrow(frugal, schema)
 
 
 def shielded(df: DataFrame, **keys: Column) -> DataFrame:
@@ -121,6 +135,7 @@ def blocks_of(offsets: np.ndarray, limit: int):
 # a word of more than _LONGEST_POLYNOMIAL bytes is hashed by blake2b instead.
 
 _BASE = 0x9E3779B97F4A7C15 | 1
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _LONGEST_POLYNOMIAL = 128
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(
     1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -128,9 +143,16 @@ _LOWER_BYTES = np.arange(256, dtype=np.uint8)
 _LOWER_BYTES[65:91] += 32  # A-Z only
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[list(SPACE_BYTES)] = True
-_POWERS = np.full(_LONGEST_POLYNOMIAL, np.uint64(_BASE), np.uint64)
-_POWERS[0] = 1
-_POWERS = np.multiply.accumulate(_POWERS)
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 to base**(n - 1), modulo 2**64."""
+    steps = np.full(n, np.uint64(base), np.uint64)
+    steps[:1] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWERS = powers(_BASE, _LONGEST_POLYNOMIAL)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -124,6 +124,7 @@ def tokenised_pieces(docs: DataFrame, id_col: str, text_col: str, capacity: int,
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        encoder.cache_clear()  # some 100 MB that a reused worker would hold through later stages
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     return map_arrow(rows, run, PIECES)

@@ -21,7 +21,7 @@ from churnlens.session import materialize
 from .common import _BYTE_VALUES, binary_values, blocks_of, hashed_words, map_arrow, mix64, ship, text_of
 
 BITS = 18
-_BLOCK = 1 << 21
+_BLOCK = 1 << 19
 
 
 def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:

@@ -31,13 +31,26 @@ from pyspark.sql import functions as F
 
 from churnlens.session import materialize
 
-from .common import _BASE, _BASE_INVERSE, _BYTE_VALUES, _powers, binary_values, blocks_of, map_arrow, mix64, utf8
+from .common import _BASE, _BASE_INVERSE, _BYTE_VALUES, binary_values, blocks_of, map_arrow, mix64, powers, utf8
 
 _PIECE = 1 << 22  # bytes of one text hashed at once
 _BLOCK = 1 << 24  # bytes of texts whose equal segments meet before the shuffle
 _LOC = 1 << 16    # place, left and run of an anchor in one number
 
 
+_KNOWN: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """Powers of ``base``, kept for the texts to come up to a piece's length."""
+    have = _KNOWN.get(base)
+    if have is None or len(have) < n:
+        have = powers(base, max(n, 1 << 16))
+        if n <= _PIECE + 1024:
+            _KNOWN[base] = have
+    return have[:n]
+
+
 def window_minima(keys: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` consecutive keys, from running minima of blocks."""
     n = len(keys)
@@ -59,8 +72,8 @@ def anchors(text: np.ndarray, length: int, gram: int):
         part = text[low: low + _PIECE + length - 1]
         m = len(part)
         total = np.zeros(m + 1, np.uint64)
-        np.add.accumulate(_BYTE_VALUES[part] * _powers("up", _BASE, m), out=total[1:])
-        down = _powers("down", _BASE_INVERSE, m)
+        np.add.accumulate(_BYTE_VALUES[part] * _powers(_BASE, m), out=total[1:])
+        down = _powers(_BASE_INVERSE, m)
         grams = mix64((total[gram:] - total[:-gram]) * down[: m - gram + 1])
         # ties of the leading 40 bits go to the leftmost place, whatever stands before the window
         keys = (grams & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(grams), dtype=np.uint64)
@@ -238,9 +251,9 @@ def equal_runs(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length:
     # windows equal in all that is left are put together first: the tries see distinct strings
     rest = length - shallow
     total = np.zeros(len(data) + 1, np.uint64)
-    np.add.accumulate(_BYTE_VALUES[data] * _powers("up", _BASE, len(data)), out=total[1:])
+    np.add.accumulate(_BYTE_VALUES[data] * _powers(_BASE, len(data)), out=total[1:])
     at = starts[rows] + shallow
-    hashes = (total[at + rest] - total[at]) * _powers("down", _BASE_INVERSE, len(data))[at]
+    hashes = (total[at + rest] - total[at]) * _powers(_BASE_INVERSE, len(data))[at]
     order = np.lexsort((hashes, tied))
     rows, tied, at = rows[order], tied[order], at[order]
     first = np.concatenate([[True], tied[1:] != tied[:-1]])
