@@ -17,6 +17,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
 import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
@@ -32,8 +33,9 @@ from .common import binary_values, blocks_of, map_arrow, utf8
 
 _PIECE = 1 << 16  # characters normalised at once
 _BLOCK = 1 << 20  # bytes of texts per batch of results
+_SHORT = 48  # symbols up to which a plain search for the next merge is faster than a heap
 _AHEAD = 1024  # symbols gathered beyond the lookahead before the buffer is merged
-_WORDS = 1 << 17  # words whose ids a worker remembers
+_WORDS = 1 << 16  # words of a turn; a worker remembers the ids of those of two turns
 _LONGEST_KNOWN = 64  # characters of such a word
 
 # The normaliser and the splitting pattern that this transducer knows.
@@ -41,6 +43,7 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
 
 _SPLIT = regex.compile(WORD_PATTERN)
+_SPLIT_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+")  # the same for lower-case ASCII
 _LETTERS, _MARKS, _SPACE = regex.compile(r"\p{L}+"), regex.compile(r"[^\s\p{L}\p{N}]+"), regex.compile(r"\s")
 _SHADOW = {"letter": "a", "number": "1", "mark": "!", "space": " "}
 
@@ -99,6 +102,20 @@ class Merges:
         self.pairs = {(vocab[u], vocab[v]): (r, vocab[u + v]) for r, (u, v) in enumerate(merges)}
         self.lookahead = sufficient_lookahead(merges, suffix)
 
+    def short(self, ids: list[int]) -> list[int]:
+        """The tokens of a few symbols."""
+        get, none = self.pairs.get, (len(self.pairs), -1)
+        found = [get(p, none) for p in zip(ids, ids[1:])]
+        while found and (best := min(found)) is not none:
+            i = found.index(best)
+            ids[i: i + 2] = [best[1]]
+            del found[i]
+            if i < len(found):
+                found[i] = get((ids[i], ids[i + 1]), none)
+            if i:
+                found[i - 1] = get((ids[i - 1], ids[i]), none)
+        return ids
+
     def merged(self, ids: list[int]) -> tuple[list[int], list[int]]:
         """(tokens, where each ends) of a run of symbols: the smallest rank first, of equal ones the leftmost."""
         n = len(ids)
@@ -156,7 +173,15 @@ class Transducer:
         """What is left, the word being at its end."""
         ids = [*self.buffer] + ([] if self.held is None else [self.merges.last[self.held]])
         self.buffer, self.held = [], None
-        return self.merges.merged(ids)[0]
+        return self.merges.short(ids) if len(ids) <= _SHORT else self.merges.merged(ids)[0]
+
+    def whole(self, data: bytes) -> list[int]:
+        """The tokens of a word that is known whole; one within the lookahead and the block never emits before its end."""
+        if len(data) <= self.block:
+            inside = self.merges.inside
+            self.buffer, self.held = [inside[b] for b in data[:-1]], data[-1]
+            return self.finish()
+        return self.feed(data) + self.finish()
 
 
 class StreamingEncoder:
@@ -193,6 +218,7 @@ class StreamingEncoder:
         self._added = regex.compile("|".join(map(regex.escape, longest_first))) if longest_first else None
         self.piece, self.block = piece, block
         self._ids: dict[str, list[int]] = {}
+        self._older: dict[str, list[int]] = {}
         self._plain: set[str] = set(map(chr, range(128)))
         self._odd: dict[int, str] = {}
 
@@ -226,13 +252,16 @@ class StreamingEncoder:
                     out += word.finish()
                     word = None
             if start < len(shadow):
-                words = _SPLIT.findall(shadow, start) if shadow is piece else [
-                    piece[m.start(): m.end()] for m in _SPLIT.finditer(shadow, start)]
+                if shadow is piece:
+                    words = (_SPLIT_ASCII if piece.isascii() else _SPLIT).findall(shadow, start)
+                else:
+                    words = [piece[m.start(): m.end()] for m in _SPLIT.finditer(shadow, start)]
                 goes_on = cut < end and not _SPACE.match(text[cut]) and words and (
                     _LETTERS.match(shadow[-1]) or _MARKS.match(shadow[-1]))
                 last = words.pop() if goes_on else None
                 for w in words:
-                    out += self._ids.get(w) or self._word(w)
+                    known = self._ids.get(w)
+                    out += self._word(w) if known is None else known
                 if last is not None:
                     more = _LETTERS if _LETTERS.match(shadow[-1]) else _MARKS
                     word = Transducer(self.merges, self.block)
@@ -243,11 +272,10 @@ class StreamingEncoder:
             yield word.finish()
 
     def _word(self, word: str) -> list[int]:
-        run = Transducer(self.merges, self.block)
-        ids = run.feed(word.encode()) + run.finish()
+        ids = self._older.get(word) or Transducer(self.merges, self.block).whole(word.encode())
         if len(word) <= _LONGEST_KNOWN:
-            if len(self._ids) >= _WORDS:
-                self._ids.clear()
+            if len(self._ids) >= _WORDS:  # words not met since the last turn are forgotten
+                self._older, self._ids = self._ids, {}
             self._ids[word] = ids
         return ids
 
