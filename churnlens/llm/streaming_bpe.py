@@ -35,7 +35,7 @@ _PIECE = 1 << 16  # characters normalised at once
 _BLOCK = 1 << 20  # bytes of texts per batch of results
 _SHORT = 48  # symbols up to which a plain search for the next merge is faster than a heap
 _AHEAD = 1024  # symbols gathered beyond the lookahead before the buffer is merged
-_WORDS = 1 << 16  # words of a turn; a worker remembers the ids of those of two turns
+_WORDS = 1 << 18  # words of a turn; a worker remembers the ids of those of two turns
 _LONGEST_KNOWN = 64  # characters of such a word
 
 # The normaliser and the splitting pattern that this transducer knows.
@@ -100,20 +100,24 @@ class Merges:
         self.inside = [vocab[c] for c in alphabet]
         self.last = [vocab[c + suffix] for c in alphabet]
         self.pairs = {(vocab[u], vocab[v]): (r, vocab[u + v]) for r, (u, v) in enumerate(merges)}
+        self.steps = {a << 24 | b: r << 24 | new for (a, b), (r, new) in self.pairs.items()}  # the same in plain numbers
         self.lookahead = sufficient_lookahead(merges, suffix)
 
     def short(self, ids: list[int]) -> list[int]:
         """The tokens of a few symbols."""
-        get, none = self.pairs.get, (len(self.pairs), -1)
-        found = [get(p, none) for p in zip(ids, ids[1:])]
-        while found and (best := min(found)) is not none:
+        get, none = self.steps.get, 1 << 62
+        found = [get(a << 24 | b, none) for a, b in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best == none:
+                break
             i = found.index(best)
-            ids[i: i + 2] = [best[1]]
-            del found[i]
+            ids[i] = new = best & 0xFFFFFF
+            del ids[i + 1], found[i]
             if i < len(found):
-                found[i] = get((ids[i], ids[i + 1]), none)
+                found[i] = get(new << 24 | ids[i + 1], none)
             if i:
-                found[i - 1] = get((ids[i - 1], ids[i]), none)
+                found[i - 1] = get(ids[i - 1] << 24 | new, none)
         return ids
 
     def merged(self, ids: list[int]) -> tuple[list[int], list[int]]:

@@ -37,6 +37,7 @@ def test_transducer_equals_whole_words_for_random_merge_lists():
         ids = {t: i for i, t in enumerate(tokens)}
         merges_of.inside = merges_of.last = {ord(c): ids[c] for c in "abc"}
         merges_of.pairs = {(ids[u], ids[v]): (r, ids[u + v]) for r, (u, v) in enumerate(merges)}
+        merges_of.steps = {a << 24 | b: r << 24 | new for (a, b), (r, new) in merges_of.pairs.items()}
         merges_of.lookahead = sufficient_lookahead(merges)
         for _ in range(12):
             word = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 120))).encode()
