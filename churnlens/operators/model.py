@@ -110,6 +110,12 @@ def churn_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*keep, vector_to_array(F.col("probability"))[1].alias("churn_probability"))
 
 
+def churn_margin(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """As :func:`churn_probability`, but the column holds the model's margin, the sum over its trees (half the log-odds)."""
+    scored = model.transform(model_input(df))
+    return scored.select(*df.columns, vector_to_array(F.col("rawPrediction"))[1].alias("churn_probability"))
+
+
 def risk_level(p: Column, bands) -> Column:
     """First band whose lower bound the probability reaches (bands high->low)."""
     expr = None

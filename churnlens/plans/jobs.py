@@ -20,8 +20,9 @@ from churnlens.operators.drift import drift_report
 from churnlens.operators.features import customer_features
 from churnlens.operators.model import (append_predictions, batch_predictions, evaluate_model, load_model, save_model,
                                        train_churn_model)
-from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
+from churnlens.operators.shapley import baseline_point, global_importance
 from churnlens.operators.split import temporal_split
+from churnlens.operators.tree_paths import path_contributions
 from churnlens.params import Params
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for
@@ -121,7 +122,7 @@ def run_explanation(spark: SparkSession, panel_target: TableTarget, model_path:
     """D5 + D6: contributions of the saved model on every test row, and their global ranking."""
     split = temporal_split(panel_target.read(spark), params.test_start_date, params.threshold_days)
     test = split.filter("split = 'test'")
-    contributions_target.write(shapley_contributions(load_model(model_path), test, baseline_point(split.filter("split = 'train'"))))
+    contributions_target.write(path_contributions(load_model(model_path), test, baseline_point(split.filter("split = 'train'"))))
     written = contributions_target.read(spark)
     importance_target.write(global_importance(written))
     check = verify_row_count("shapley_contributions", written.count(), test.count())

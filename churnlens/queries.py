@@ -22,6 +22,7 @@ from churnlens.operators.labels import churn_labels
 from churnlens.operators.model import (append_predictions, batch_predictions, churn_probability, evaluate_model, load_model,
                                        risk_level, save_model, train_churn_model)
 from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
+from churnlens.operators.tree_paths import path_contributions
 from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary, recency_baseline_score
 from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
@@ -303,7 +304,7 @@ def q_model_evaluation(spark, sf):
 def q_shapley_contributions(spark, sf):
     """D5 on the trained model: contributions add up to prediction - base value on every test row."""
     model, train, test, _ = _trained(spark, sf)
-    out = shapley_contributions(model, test, baseline_point(train))
+    out = path_contributions(model, test, baseline_point(train))
     total = sum((F.col(f"phi_{c}") for c in FEATURE_COLUMNS), F.lit(0.0))
     return out.select("customer_id", "snapshot_date", (F.abs(total - (F.col("prediction") - F.col("base_value"))) < 1e-9).alias("adds_up"))
 
@@ -311,7 +312,7 @@ def q_shapley_contributions(spark, sf):
 def q_global_importance(spark, sf):
     """D6 on the trained model: every feature once, with a rank of its own."""
     model, train, test, _ = _trained(spark, sf)
-    out = global_importance(shapley_contributions(model, test, baseline_point(train)))
+    out = global_importance(path_contributions(model, test, baseline_point(train)))
     return out.select("feature", (F.col("mean_abs_contribution") >= F.abs("mean_contribution") - 1e-12).alias("not_below_its_mean"),
                       F.col("rank").between(1, len(FEATURE_COLUMNS)).alias("ranked"))
 

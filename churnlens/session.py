@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import io
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -97,6 +99,30 @@ def _release_all() -> None:
             release_scratch(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application: as a zip in the shared folder, added like
+    ``--py-files``, so workers need no path to it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'package')}/churnlens.zip")
+    stream = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(body.getvalue()))
+    stream.close()
+    sc.addPyFile(target.toString())
+    _SHIPPED.add(sc.applicationId)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

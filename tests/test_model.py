@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from churnlens.operators.model import (
     append_predictions,
     batch_predictions,
+    churn_margin,
     churn_probability,
     evaluate_model,
     fit_sample,
@@ -21,6 +22,7 @@ from churnlens.operators.model import (
     train_churn_model,
 )
 from churnlens.operators.shapley import baseline_point, global_importance, shapley_contributions
+from churnlens.operators.tree_paths import path_contributions
 from churnlens.schemas import FEATURE_COLUMNS, SNAPSHOT_SCHEMA
 from churnlens.sources.tables import TableTarget
 
@@ -65,6 +67,40 @@ def test_shapley_efficiency(panel, model):
     assert imp[0]["mean_abs_contribution"] >= imp[-1]["mean_abs_contribution"]
 
 
+def test_tree_paths_equal_all_coalitions(panel, model):
+    base = baseline_point(panel)
+    want = {r["customer_id"]: r for r in shapley_contributions(lambda df: churn_margin(model, df), panel, base).collect()}
+    out = path_contributions(model, panel, base)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
+    got = out.collect()
+    assert len(got) == len(want) == 300
+    for r in got:
+        assert all(abs(r[c] - want[r["customer_id"]][c]) < 1e-9 for c in out.columns[2:])
+    assert any(abs(r["phi_recency_days"]) > 0.01 for r in got)
+    margins = {r["customer_id"]: r["churn_probability"] for r in churn_margin(model, panel).collect()}
+    assert all(abs(r["prediction"] - margins[r["customer_id"]]) < 1e-12 for r in got)
+
+
+def test_tree_paths_take_empty_and_unusual_rows(spark, panel, model):
+    base = baseline_point(panel)
+    assert path_contributions(model, panel.limit(0), base).collect() == []
+    odd = panel.limit(3).withColumn("monetary_avg_order", F.lit(float("nan"))).withColumn("return_rate", F.lit(None).cast("double"))
+    rows = path_contributions(model, odd.union(odd), base, ["customer_id"]).collect()
+    assert len(rows) == 6 and all(abs(sum(r[f"phi_{c}"] for c in FEATURE_COLUMNS) - (r["prediction"] - r["base_value"])) < 1e-9 for r in rows)
+
+
+def test_the_model_ranks_better_than_recency(panel, model):
+    from churnlens.operators.metrics import pr_curve, pr_summary, recency_baseline_score
+
+    figures = lambda df, c: pr_summary(pr_curve(df, c), 0.7).first()
+    own = figures(churn_probability(model, panel), "churn_probability")
+    plain = figures(recency_baseline_score(panel, 134), "score")
+    assert own["average_precision"] > plain["average_precision"] and own["recall_at_precision"] >= plain["recall_at_precision"]
+    constant = figures(panel.withColumn("c", F.lit(0.5)), "c")
+    assert own["average_precision"] > constant["average_precision"] + 0.2
+
+
 def test_risk_bands(spark):
     df = spark.createDataFrame([(0.9,), (0.5,), (0.1,)], "p double")
     bands = (("high", 0.7), ("medium", 0.4), ("low", 0.0))
