@@ -1,7 +1,7 @@
 """Run one stage of the batch flow: ``python -m churnlens <stage> ...``.
 
 Stages read and write tables under one warehouse folder:
-  ingestion            <source folder of named parts> -> raw_transactions
+  ingestion            <source folder of named parts> -> raw_transactions, quarantine (lines of text that the declared types do not hold)
   validation           raw_transactions -> clean_transactions + validation_report.json
   feature_engineering  clean_transactions -> customer_snapshots + feature_engineering_report.json
   training             customer_snapshots -> churn_model + training_metrics (appended)
@@ -25,11 +25,10 @@ from churnlens.plans.jobs import (run_drift, run_explanation, run_feature_engine
                                   run_training, run_validation)
 from churnlens.schemas import CLEAN_SCHEMA, RAW_SCHEMA, SNAPSHOT_SCHEMA
 from churnlens.session import get_session, release_scratch
-from churnlens.sources.parts import list_parts
+from churnlens.sources.parts import TEXT_FORMATS, list_parts
 from churnlens.sources.tables import TableTarget
 
 STAGES = ("ingestion", "validation", "feature_engineering", "training", "explanation", "scoring", "drift", "all")
-TEXT_FORMATS = ("csv", "json")
 
 
 def main(argv=None) -> dict:
@@ -70,10 +69,9 @@ def main(argv=None) -> dict:
         opts = {"header": "true"} if args.format == "csv" else None
         # text carries no types: the source's are declared
         schema = RAW_SCHEMA if args.format in TEXT_FORMATS else None
-        res = run_ingestion(spark, list_parts(spark, args.source), tuple(args.expected_parts), raw_t,
-                            fmt=args.format, schema=schema, options=opts)
-        out["ingestion"] = {"row_counts": res["row_counts"], "used_fallback": res["used_fallback"],
-                            "check": res["check"]}
+        aside = TableTarget(f"{wh}/quarantine", mode="append") if schema is not None else None
+        out["ingestion"] = run_ingestion(spark, list_parts(spark, args.source), tuple(args.expected_parts), raw_t,
+                                         fmt=args.format, schema=schema, options=opts, quarantine_target=aside)
     if args.stage in ("validation", "all"):
         res = run_validation(spark, raw_t, clean_t, f"{wh}/validation_report.json", args.reference_date)
         out["validation"] = res

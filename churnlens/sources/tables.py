@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Mapping
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 _MODES = ("replace", "append")
 _VERSION = "v-"
 _POINTER = "_CURRENT"
+_FIELDS = "_FIELDS"
 SYNTHETIC_KEY = "_id"
 
 
@@ -24,7 +26,9 @@ class TableTarget:
     the other, also when a writer dies half-way; nothing is copied. The
     version before is kept for frames that still read it, older ones are
     deleted. An empty input leaves an empty table that keeps its schema.
-    ``append`` adds rows and keeps history. Spark tasks write their
+    ``append`` adds rows and keeps history; rows may gain fields, which are noted in a small file beside the data, so
+    every field of every append is read back (null where an append had none). A field that comes back with another type, or in
+    another case, is an error, and nothing is written. Appends that add fields must not run at the same time. Spark tasks write their
     partitions in parallel; there is no driver-side batching.
     """
 
@@ -64,24 +68,61 @@ class TableTarget:
         if not isinstance(df, DataFrame):
             raise TypeError(f"only a pyspark DataFrame can be written as a table, this is a {type(df).__name__}")
         spark = df.sparkSession
+        if self.schema is not None and (odd := [c for c in df.columns if c not in self.schema.names]):
+            raise ValueError(f"columns {odd} are not in the table's declared schema")
         if self.mode == "append":
-            self._writer(df).mode("append").save(self._location(spark))
+            location = self._location(spark)
+            if self.schema is None:
+                known = self._fields(spark, location)
+                merged = merged_fields(known, df.schema)
+                if merged != known:
+                    self._put(spark, location, _FIELDS, merged.json())  # first: a field without rows yet reads as null
+            self._writer(df).mode("append").save(location)
             return
         version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         self._writer(df).mode("errorifexists").save(f"{self.path.rstrip('/')}/{version}")
         self._publish(spark, version)
 
+    def _put(self, spark: SparkSession, folder: str, name: str, text: str) -> None:
+        """Replace a small file in one rename."""
+        fs, root = hadoop_path(spark, folder)
+        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+        fs.mkdirs(root)
+        draft = jvm.Path(root, f".{name}-{uuid.uuid4().hex[:8]}")
+        stream = fs.create(draft)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        jvm.FileContext.getFileContext(fs.makeQualified(root).toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+            draft, jvm.Path(root, name), _overwrite(spark, jvm))
+
+    def _get(self, spark: SparkSession, folder: str, name: str) -> str | None:
+        """Text of a small file, if it is there."""
+        fs, root = hadoop_path(spark, folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, name)
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def _fields(self, spark: SparkSession, location: str) -> T.StructType | None:
+        """The fields of all appends so far; those of a table written without the file are merged from its data files."""
+        text = self._get(spark, location, _FIELDS)
+        if text:
+            return T.StructType.fromJson(json.loads(text))
+        fs, root = hadoop_path(spark, location)
+        if not fs.exists(root) or not any(not s.getPath().getName().startswith((".", "_")) for s in fs.listStatus(root)):
+            return None
+        reader = spark.read.format(self.fmt)
+        return (reader.option("mergeSchema", "true") if self.fmt in ("parquet", "orc") else reader).load(location).schema
+
     def _publish(self, spark: SparkSession, version: str) -> None:
         """Make ``version`` the table: the pointer is replaced in one rename."""
         fs, root = hadoop_path(spark, self.path)
-        jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
         before = self._current(spark)
-        draft, pointer = jvm.Path(root, f".{_POINTER}-{version}"), jvm.Path(root, _POINTER)
-        stream = fs.create(draft)
-        stream.write(bytearray(version.encode()))
-        stream.close()
-        jvm.FileContext.getFileContext(root.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
-            draft, pointer, _overwrite(spark, jvm))
+        self._put(spark, self.path, _POINTER, version)
         for status in fs.listStatus(root):
             name = status.getPath().getName()
             if name.startswith(_VERSION) and name not in (version, before):
@@ -89,15 +130,7 @@ class TableTarget:
 
     def _current(self, spark: SparkSession) -> str | None:
         """Name of the version that the pointer shows, if there is one."""
-        fs, root = hadoop_path(spark, self.path)
-        pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, _POINTER)
-        if not fs.exists(pointer):
-            return None
-        stream = fs.open(pointer)
-        try:
-            return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
-        finally:
-            stream.close()
+        return self._get(spark, self.path, _POINTER)
 
     def _location(self, spark: SparkSession) -> str:
         """The folder of the data files: the current version, or the path itself."""
@@ -124,15 +157,32 @@ class TableTarget:
         if self.empty_schema is not None and not self.exists(spark):
             return spark.createDataFrame([], self.empty_schema)
         reader = spark.read.format(self.fmt)
-        if self.schema is not None:
-            reader = reader.schema(self.schema)
-        df = reader.load(self._location(spark))
-        if self.schema is not None:  # partition columns come last from the reader
-            return df.select(*[F.col(f"`{c}`") for c in self.schema.names])
+        location = self._location(spark)
+        schema = self.schema
+        if schema is None and self.mode == "append":
+            schema = self._fields(spark, location)
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.load(location)
+        if schema is not None:  # partition columns come last from the reader
+            return df.select(*[F.col(f"`{c}`") for c in schema.names if self.schema is not None or c != SYNTHETIC_KEY])
         # a store-assigned synthetic key is never part of the table
         return df.drop(SYNTHETIC_KEY) if SYNTHETIC_KEY in df.columns else df
 
 
+def merged_fields(known: T.StructType | None, new: T.StructType) -> T.StructType:
+    """The fields of both, the known ones first. A field with another type or in another case raises ``ValueError``."""
+    fields = list(known.fields) if known is not None else []
+    by_name = {f.name.lower(): f for f in fields}
+    for f in new.fields:
+        have = by_name.get(f.name.lower())
+        if have is None:
+            fields.append(T.StructField(f.name, f.dataType))
+        elif have.name != f.name or have.dataType.simpleString() != f.dataType.simpleString():
+            raise ValueError(f"field {f.name!r} ({f.dataType.simpleString()}) clashes with {have.name!r} ({have.dataType.simpleString()}) of the table")
+    return T.StructType(fields)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """(FileSystem, Path) for a table location, through the session's Hadoop
     configuration, so the same code works on local disk, HDFS or object stores."""

@@ -103,3 +103,52 @@ def test_list_parts_skips_markers_and_reads_partition_folders(spark):
     found = list_parts(spark, base)
     assert list(found) == ["a_part", "b_part"]
     assert found["a_part"].endswith("part=a_part")
+
+
+LINES = ["1,A,d,3,2010-01-02 08:26:00,1.5,17850.0,UK", "2,A,d,1.0,2010-01-02 08:26:00,1.5,17850.0,UK", '3,A,d,"1,000",2010-01-02 08:26:00,1.5,17850.0,UK',
+         "4,A,d,3,01/12/2010 08:26,1.5,17850.0,UK", "5,A,d,3,2010-01-02 08:26:00,£3.5,17850.0,UK", "6,A,,,,,,"]
+
+
+@pytest.fixture
+def csv_dirs(spark):
+    base = tempfile.mkdtemp(prefix="csv-")
+    for name, lines in [(NAMES[0], LINES[:3]), (NAMES[1], LINES[3:])]:
+        os.makedirs(f"{base}/{name}")
+        with open(f"{base}/{name}/lines.csv", "w", encoding="utf-8") as f:
+            f.write("\n".join([",".join(SCHEMA.names), *lines]) + "\n")
+    return base, {n: f"{base}/{n}" for n in NAMES}
+
+
+def test_values_that_types_do_not_hold_are_put_aside(spark, csv_dirs):
+    base, paths = csv_dirs
+    raw, aside = TableTarget(f"{base}/raw"), TableTarget(f"{base}/aside", mode="append")
+    for run in (1, 2):
+        res = run_ingestion(spark, paths, NAMES, raw, "csv", SCHEMA, {"header": "true"}, aside)
+        assert res["row_counts"] == {NAMES[0]: 1, NAMES[1]: 1, "total": 2} and res["check"]["matches"]
+        assert res["quarantined"] == {NAMES[0]: 2, NAMES[1]: 2, "total": 4}
+        good = {r["Invoice"]: r for r in raw.read(spark).collect()}
+        assert set(good) == {"1", "6"} and good["1"]["Quantity"] == 3 and good["6"]["Price"] is None
+        assert good["1"]["InvoiceDate"] == datetime(2010, 1, 2, 8, 26) and raw.read(spark).columns == SCHEMA.names
+        kept = aside.read(spark).collect()
+        assert len(kept) == 4 * run and sorted({r["record"] for r in kept}) == LINES[1:5]
+        assert all('"Invoice"' in r["read_as"] and r["part"] in NAMES for r in kept)
+    with pytest.raises(ValueError):
+        run_ingestion(spark, paths, NAMES, raw, "csv", SCHEMA, {"header": "true"}, TableTarget(f"{base}/other", mode="replace"))
+
+
+def test_without_a_quarantine_such_values_fail_the_job(spark, csv_dirs):
+    base, paths = csv_dirs
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
+        run_ingestion(spark, paths, NAMES, TableTarget(f"{base}/raw2"), "csv", SCHEMA, {"header": "true"})
+    assert not TableTarget(f"{base}/raw2")._current(spark)
+
+
+def test_json_and_typed_parts_with_a_quarantine(spark, part_dirs):
+    base = tempfile.mkdtemp(prefix="json-")
+    with open(f"{base}/a.json", "w") as f:
+        f.write('{"Invoice": "1", "Quantity": 2}\n{"Invoice": "2", "Quantity": "many"}\n{broken\n')
+    aside = TableTarget(f"{base}/aside", mode="append")
+    res = run_ingestion(spark, {"x": f"{base}/a.json", "y": f"{base}/a.json"}, ("x", "y"), TableTarget(f"{base}/raw"), "json", SCHEMA, None, aside)
+    assert res["row_counts"]["total"] == 2 and res["quarantined"] == {"x": 2, "y": 2, "total": 4}
+    res = run_ingestion(spark, part_dirs, NAMES, TableTarget(f"{base}/typed"), quarantine_target=aside)
+    assert res["row_counts"]["total"] == 5 and res["quarantined"]["total"] == 0 and aside.read(spark).count() == 4

@@ -173,3 +173,45 @@ def test_partitioned_panel_keeps_naive_snapshot_dates_and_prunes(spark, make_cle
         assert march.count() == panel.filter(F.col("snapshot_date") == ntz("2012-03-01")).count() > 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_appends_that_gain_fields_are_read_whole(spark, tmp_path):
+    target = TableTarget(str(tmp_path / "t"), mode="append")
+    target.write(spark.createDataFrame([(1, "x")], "a int, b string"))
+    target.write(spark.createDataFrame([(2.5, "y", 2)], "c double, b string, a int"))
+    target.write(spark.createDataFrame([("z",)], "b string"))
+    out = target.read(spark)
+    assert out.columns == ["a", "b", "c"]
+    assert sorted(out.collect(), key=lambda r: r["b"]) == [(1, "x", None), (2, "y", 2.5), (None, "z", None)]
+    assert TableTarget(str(tmp_path / "t"), mode="append").read(spark).count() == 3  # by any reader of the table
+
+
+@pytest.mark.parametrize("clash", ["a string", "A int", "a long", "b array<string>"])
+def test_a_field_that_changes_is_refused_and_nothing_is_written(spark, tmp_path, clash):
+    target = TableTarget(str(tmp_path / "t"), mode="append")
+    target.write(spark.createDataFrame([(1, "x")], "a int, b string"))
+    with pytest.raises(ValueError, match="clashes"):
+        target.write(spark.createDataFrame([], clash + ", d int"))
+    assert target.read(spark).columns == ["a", "b"] and target.read(spark).count() == 1
+
+
+def test_a_table_of_earlier_appends_gains_fields_too(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1,)], "a int").write.parquet(path)
+    spark.createDataFrame([(2, "n")], "a int, b string").write.mode("append").parquet(path)  # written without the fields file
+    target = TableTarget(path, mode="append")
+    assert target.read(spark).columns == ["a", "b"]
+    target.write(spark.createDataFrame([(True,)], "c boolean"))
+    assert target.read(spark).columns == ["a", "b", "c"] and target.read(spark).count() == 3
+
+
+def test_nested_fields_and_a_declared_schema(spark, tmp_path):
+    target = TableTarget(str(tmp_path / "n"), mode="append")
+    target.write(spark.sql("SELECT 1 AS a, named_struct('x', 1) AS s"))
+    with pytest.raises(ValueError):
+        target.write(spark.sql("SELECT 1 AS a, named_struct('x', 1, 'y', 2) AS s"))
+    declared = TableTarget(str(tmp_path / "d"), mode="append", schema=spark.createDataFrame([], "a int, b string").schema)
+    declared.write(spark.createDataFrame([(1, "x")], "a int, b string"))
+    with pytest.raises(ValueError):
+        declared.write(spark.createDataFrame([(1, "x", 2)], "a int, b string, c int"))
+    assert declared.read(spark).count() == 1
