@@ -481,3 +481,6 @@ SQL["importance_formula"] = PANEL_SPLIT + _SHAPLEY + f""",
 means AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, avg(abs(phi_{c})) AS a, avg(phi_{c}) AS m FROM shap" for c in _NAMES)})
 SELECT feature, round(a, 6) AS mean_abs_contribution, round(m, 6) AS mean_contribution,
        row_number() OVER (ORDER BY a DESC, feature) AS rank FROM means"""
+
+# the panel kept up to date by increments is the panel
+SQL["panel_increments"] = SQL["customer_snapshots"]

@@ -116,6 +116,12 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
                     F.sum("n_new_products").alias("n_new_products"),
                 ))
 
+    return panel_of_partials(partials, cal, money)
+
+
+def panel_of_partials(partials: DataFrame, cal: Calendar, money: Money) -> DataFrame:
+    """Merged per-(customer, bucket) partials -> the panel."""
+    k = cal.n_usable
     # 3a. dense spine: each customer gets every bucket from its first one to K
     by_bucket = Window.partitionBy("customer_id").orderBy("g")
     spine = (partials

@@ -27,6 +27,7 @@ from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary, rece
 from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
+from churnlens.plans.increments import PanelStore
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
 from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA, RAW_SCHEMA
@@ -156,6 +157,19 @@ def q_customer_snapshots(spark, sf):
     return _panel(spark, sf)[1]
 
 
+def q_panel_increments(spark, sf):
+    """U14 kept up to date: the lines arrive in three batches (the second holds late ones), only months that they change are written."""
+    clean = _clean_persisted(spark, sf)
+    store = PanelStore(scratch_path(spark, "panel_store"), P.snapshot_start_date, P.threshold_days)
+    late = F.col("stock_code").cast("long") % 50 == 0
+    early = F.col("invoice_date") < ntz(P.as_of_date)
+    recent = F.col("invoice_date") >= ntz(P.test_start_date)
+    store.update(clean.filter(early & ~late), "first")
+    store.update(clean.filter(~early & ~recent | early & late), "second")
+    store.update(clean.filter(recent), "third")
+    return store.panel(spark)
+
+
 def q_snapshot_report(spark, sf):
     _, panel, cal = _panel(spark, sf)
     return S.per_snapshot_counts(panel, cal)
@@ -453,6 +467,7 @@ QUERIES: dict[str, Query] = {
     "churn_labels": q_churn_labels,
     "snapshot_calendar": q_snapshot_calendar,
     "customer_snapshots": q_customer_snapshots,
+    "panel_increments": q_panel_increments,
     "snapshot_report": q_snapshot_report,
     "panel_report_overall": q_panel_report_overall,
     "population_parity": q_population_parity,
