@@ -422,7 +422,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are their UTF-8 bytes, null empty; strings never cross documents. A byte goes if a
     ``length``-byte string that also starts earlier (in a smaller id, or earlier in the same document)
     covers it; strings are judged on the input. Texts shorter than ``length`` stay whole. Rows repeated
-    under one id are documents of their own, in the order of their texts; null ids come last. An empty
+    under one id are documents of their own, in the order of their texts' SHA-256; null ids come last. An empty
     table gives an empty result; other columns are not read.
 
     Grams with more than ``hot_segments`` distinct segments have their windows dealt by content.
@@ -433,10 +433,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.groupBy("_id").count().filter("count > 1 OR _id IS NULL").isEmpty()
     if plain:
         docs = docs.withColumn("doc", F.col("_id"))
-    else:  # numbers of their own, in the order of (id, text)
-        docs = docs.withColumn("_void", F.col("_id").isNull())
-        docs = materialize(docs.repartitionByRange("_void", "_id", "_text").sortWithinPartitions("_void", "_id", "_text")
-                           .withColumn("doc", F.monotonically_increasing_id()).drop("_void"), "numbered")
+    else:  # numbers of their own, in the order of (id, hash of the text)
+        # the ranges are found from samples of these short keys, no text goes to the driver; the place of a row
+        # in the input parts equal rows, so that many of them don't meet in one task
+        key = ["_void", "_id", "_sha", "_place"]
+        docs = docs.withColumns({"_void": F.col("_id").isNull(), "_sha": F.unhex(F.sha2("_text", 256)),
+                                 "_place": F.monotonically_increasing_id()})
+        docs = materialize(docs.repartitionByRange(*key).sortWithinPartitions(*key)
+                           .withColumn("doc", F.monotonically_increasing_id()).drop("_void", "_sha", "_place"), "numbered")
     texts = docs.select("doc", "_text")
 
     rows = _anchor_rows(texts, length, gram).repartition("h").sortWithinPartitions("h", "seg", "doc", "loc")

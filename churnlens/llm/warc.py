@@ -5,7 +5,11 @@ bounded size and each block is one archive file, written and committed by Spark'
 writer, so a lost executor leaves no half archive. The reader takes each file
 whole, checks every record (gzip checksum, header, length, block and payload digests), and
 after a failed check searches byte by byte for the next member or version line that
-passes; what lies between is logged as a quarantined gap.
+passes; what lies between is logged as a quarantined gap. Of a damaged member that holds many
+records, those in the part that still inflates are kept if a digest of theirs vouches for them.
+
+Archives of other writers are read too: digests in base32 of either case or in hex, of SHA-1, SHA-256,
+SHA-512 or MD5 (others are not checked), and header values folded over several lines.
 
 Archive files end in one zero byte (the writer's record separator), which gzip readers
 take as padding. Files are read as single values, so they must stay below Spark's
@@ -31,6 +35,7 @@ from .common import map_arrow, text_of
 _MEMBER = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"(?:\A|(?<=\n))WARC/1\.[01]\r\n")
 _STEP = 1 << 16
+_DIGESTS = ("sha1", "sha256", "sha512", "md5")
 RECORDS = ("kind string, file string, start long, end long, reason string, record_type string, record_id string, "
            "refers_to string, target_uri string, payload_bytes long, payload_digest string, payload binary")
 
@@ -109,6 +114,46 @@ def _member(data: memoryview, at: int) -> tuple[bytes, int]:
     return b"".join(out), pos - len(inflate.unused_data)
 
 
+def _prefix(data: memoryview, at: int) -> bytes:
+    """What still inflates of the damaged member at ``at``."""
+    inflate, out, pos, step = zlib.decompressobj(31), [], at, _STEP
+    while pos < len(data) and not inflate.eof:
+        before = inflate.copy()
+        try:
+            out.append(inflate.decompress(data[pos: pos + step]))
+            pos += step
+        except zlib.error:
+            if step == 1:
+                break
+            inflate, step = before, step >> 4  # up to the very byte that fails
+    return b"".join(out)
+
+
+def digest_of(field: str | None) -> tuple[str, bytes] | None:
+    """(algorithm, digest) of a header value such as ``sha1:...`` in base32 or hex; None without one, or of
+    an algorithm not known here. A value that is neither raises ``ValueError``."""
+    algorithm, _, text = (field or "").partition(":")
+    algorithm, text = algorithm.strip().lower().replace("-", ""), text.strip()
+    if algorithm not in _DIGESTS:
+        return None
+    size = hashlib.new(algorithm).digest_size
+    if len(text) == 2 * size:
+        return algorithm, bytes.fromhex(text)
+    text = text.rstrip("=").upper()
+    found = base64.b32decode(text + "=" * (-len(text) % 8))
+    if len(found) != size:
+        raise ValueError("digest of a wrong length")
+    return algorithm, found
+
+
+def _vouched(field: str | None, data: bytes, name: str) -> bool:
+    """Whether a digest speaks for these bytes; one that differs raises ``ValueError``."""
+    want = digest_of(field)
+    if want is not None and hashlib.new(want[0], data).digest() != want[1]:
+        raise ValueError(f"{name} digest")
+    return want is not None
+
+
 def _record(data: bytes, at: int) -> tuple[dict, int]:
     """(fields, end) of the record at ``at``; raises ValueError on a failed check."""
     if not _VERSION.match(data, at):
@@ -116,8 +161,12 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     stop = data.find(b"\r\n\r\n", at)
     if stop < 0:
         raise ValueError("unended header")
-    fields = {}
+    fields, name = {}, None
     for line in data[at:stop].split(b"\r\n")[1:]:
+        if line[:1] in (b" ", b"\t") and name is not None:  # a folded value goes on
+            key = name.strip().lower().decode("utf-8", "replace")
+            fields[key] = f"{fields[key]} {line.strip().decode('utf-8', 'replace')}".strip()
+            continue
         name, colon, value = line.partition(b":")
         if not colon:
             raise ValueError("bad header line")
@@ -128,23 +177,22 @@ def _record(data: bytes, at: int) -> tuple[dict, int]:
     if data[end: end + 4] != b"\r\n\r\n":
         raise ValueError("length does not meet the record's end")
     block = data[begin:end]
-    want = fields.get("warc-block-digest", "")
-    if want.startswith("sha1:") and base32_sha1(block) != want[5:]:
-        raise ValueError("block digest")
+    checked = _vouched(fields.get("warc-block-digest"), block, "block")
     payload = block
     if fields.get("content-type", "").startswith("application/http"):
         payload = block.partition(b"\r\n\r\n")[2]
-    want = fields.get("warc-payload-digest", "")
-    if fields["warc-type"] != "revisit" and want.startswith("sha1:") and base32_sha1(payload) != want[5:]:
-        raise ValueError("payload digest")
-    return fields | {"payload": payload}, end + 4
+    if fields["warc-type"] != "revisit":  # a revisit's is that of another record's payload
+        checked |= _vouched(fields.get("warc-payload-digest"), payload, "payload")
+    return fields | {"payload": payload, "checked": checked}, end + 4
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
     """(start, end, fields, None) of every valid record of an archive, compressed by record
     or whole or not at all, and (start, end, None, reason) of every gap between them.
-    Places inside a compressed member are the member's."""
+    Places inside a compressed member are the member's; records from the sound part of a damaged member
+    end where its gap ends."""
     view, at, bad, reason = memoryview(data), 0, -1, ""
+    rescued: list[tuple[int, dict]] = []
     member = line = -1  # the next places to try, kept while they lie ahead
 
     def here(pos: int):
@@ -164,6 +212,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
         except (ValueError, zlib.error) as e:
             if bad < 0:
                 bad, reason = at, str(e) or type(e).__name__
+            if data.startswith(_MEMBER, at):  # damaged bytes may inflate to anything, so only records with a digest
+                rescued += [(at, f) for f, _ in _inner(_prefix(view, at)) if f and f["checked"]]
             if member <= at:
                 member = data.find(_MEMBER, at + 1) % (len(data) + 1)
             if line <= at:
@@ -172,12 +222,14 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict | None, str | None]]:
             at = min(member, line)
             continue
         if bad >= 0:
+            yield from ((start, at, f, None) for start, f in rescued)
             yield bad, at, None, reason
-            bad = -1
+            bad, rescued = -1, []
         for fields, why in found:
             yield at, end, fields, why
         at = end
     if bad >= 0:
+        yield from ((start, len(data), f, None) for start, f in rescued)
         yield bad, len(data), None, reason
 
 
@@ -204,7 +256,14 @@ def _inner(content: bytes) -> Iterator[tuple[dict | None, str | None]]:
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """One row per record (``kind`` 'record') and per quarantined gap (``kind`` 'gap', with
     ``file``, ``start``, ``end`` and ``reason``). A revisit has the length and digest that its
-    header tells and no payload. Empty files and folders give no rows."""
+    header tells (the digest if it is SHA-1) and no payload. Empty files and folders give no rows."""
+    def told_digest(f: dict) -> str | None:
+        try:
+            told = digest_of(f.get("warc-payload-digest"))
+        except ValueError:
+            return None
+        return base64.b32encode(told[1]).decode() if told and told[0] == "sha1" else None
+
     def run(batches):
         for batch in batches:
             for file, content in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -219,7 +278,7 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
                                 "refers_to": f["warc-refers-to"].strip("<>") if "warc-refers-to" in f else None,
                                 "target_uri": f.get("warc-target-uri"),
                                 "payload_bytes": int(told) if revisit and told.isdigit() else None if revisit else len(payload),
-                                "payload_digest": f.get("warc-payload-digest", "")[5:] if revisit else base32_sha1(payload),
+                                "payload_digest": told_digest(f) if revisit else base32_sha1(payload),
                                 "payload": payload if payloads and not revisit else None}
                         held += len(row["payload"] or b"")
                     rows.append(row)

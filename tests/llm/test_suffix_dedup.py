@@ -37,6 +37,18 @@ def test_repeated_and_null_ids_and_empty_table(spark):
     assert remove_repeats(docs.limit(0)).collect() == []
 
 
+def test_many_repeated_rows_and_texts_of_one_id(spark):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdef") for _ in range(150)) for _ in range(4)]
+    rows = [(None, texts[i % 4]) for i in range(60)] + [(i, texts[3] + str(i)) for i in range(6)] + [(3, texts[0]), (3, texts[1])]
+    out = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert len(out) == len(rows)
+    # the texts first met (ids 0 and 3, then the one text that only null ids have) stay once, all others go but for their digit
+    assert sum(bytes(r["kept"]) == t.encode() for r in out for t in texts[:3]) == 3
+    assert sum(r["n_removed"] == 150 for r in out if r["doc_id"] is None) == 59
+    assert sorted(r["n_removed"] for r in out if r["doc_id"] is not None) == [0, 0, 0, 150, 150, 150, 150, 150]
+
+
 def test_equal_runs_group_equal_windows_of_one_group():
     rng = random.Random(1)
     data = np.frombuffer(bytes(rng.choice(b"ab") for _ in range(300)) * 3 + b"x" * 150, np.uint8)

@@ -92,3 +92,73 @@ def test_salvage_of_plain_archives_and_wrong_digests():
     bad = gzip_member(spoilt)
     assert found(bad + gzip_member(records[3]))[0] == ids(3)
     assert found(b"") == ([], []) and found(b"\x00" * 9) == ([], []) and found(b"junk") == ([], [(0, 4)])
+
+
+def foreign(i, digest, extra=""):
+    body = f"<p>page {i}</p>".encode() * 30
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\n{extra}"
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + body
+    return (head + f"WARC-Payload-Digest: {digest(body)}\r\nContent-Type: application/http\r\n"
+            f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+
+DIGESTS = [lambda b: "sha1:" + base32_sha1(b).lower(), lambda b: "SHA-1:" + hashlib.sha1(b).hexdigest(),
+           lambda b: "sha1:" + hashlib.sha1(b).hexdigest().upper(), lambda b: "sha256:" + hashlib.sha256(b).hexdigest(),
+           lambda b: "sha-256:" + base64.b32encode(hashlib.sha256(b).digest()).decode().rstrip("="),
+           lambda b: "md5:" + hashlib.md5(b).hexdigest(), lambda b: "blake3:unknown"]
+
+
+@pytest.mark.parametrize("digest", DIGESTS)
+def test_digests_of_other_writers(digest):
+    good = foreign(1, digest)
+    assert found(good + gzip_member(foreign(2, digest))) == (ids(1, 2), [])
+    spoilt = good.replace(b"page 1", b"page X")
+    known = not digest(b"").startswith("blake3")
+    assert found(spoilt) == ((([], [(0, len(spoilt))])) if known else (ids(1), []))
+
+
+def test_undecodable_digest_is_a_failed_check():
+    for text in ("sha1:", "sha1:!!!!", "sha1:" + "0" * 39, "sha1:" + "z" * 40):
+        bad = foreign(1, lambda b: text)  # noqa: B023
+        assert found(bad + foreign(2, DIGESTS[0])) == (ids(2), [(0, len(bad))])
+
+
+def test_folded_header_values():
+    record = foreign(1, DIGESTS[0], "WARC-Target-URI: http://h/\r\n  one\r\n\ttwo\r\n")
+    (_, _, fields, _), = salvage(record)
+    assert fields["warc-target-uri"] == "http://h/ one two" and fields["payload"].startswith(b"<p>page 1")
+    lost = record.replace(b"WARC-Type", b" folded\r\nWARC-Type", 1)  # nothing to go on with
+    assert found(lost) == ([], [(0, len(lost))])
+
+
+def test_sound_part_of_a_damaged_member():
+    # random letters: the compressed place tells the place in the content
+    import random
+    rng = random.Random(5)
+    records = [record_bytes(f"urn:page:{i}", "u", body := bytes(rng.choices(b"abcdefgh", k=4000)), base32_sha1(body)) for i in range(50)]
+    member = gzip_member(b"".join(records))
+    after = members(7)[6]
+    for at in (len(member) - 6, len(member) - 1500, len(member) // 2):  # the checksum, near the end, half-way
+        data = bytearray(member + after)
+        data[at] ^= 0xFF
+        got, gaps = found(bytes(data))
+        sound = got[:-1]
+        assert got[-1:] == ids(6) and gaps == [(0, len(member))]
+        assert sound == ids(*range(len(sound))) or at == len(member) // 2
+        assert len(sound) >= (50 if at == len(member) - 6 else 47 if at > len(member) // 2 else 23)
+    assert len(found(member[:-1500])[0]) >= 47
+    # without a digest nothing vouches for what a damaged member inflates to
+    plain = gzip_member(b"".join(foreign(i, lambda b: "none:") for i in range(20)))
+    assert found(plain) == (ids(*range(20)), [])
+    assert found(plain[:-4]) == ([], [(0, len(plain) - 4)])
+
+
+def test_revisit_digest_is_read_in_any_form(spark, tmp_path):
+    import pathlib
+    body = b"x" * 10
+    block = b"HTTP/1.1 200 OK\r\n\r\n"
+    record = (f"WARC/1.0\r\nWARC-Type: revisit\r\nWARC-Record-ID: <urn:page:1>\r\nWARC-Payload-Digest: "
+              f"sha1:{hashlib.sha1(body).hexdigest()}\r\nContent-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+    pathlib.Path(tmp_path, "f.warc").write_bytes(record)
+    row, = read_archives(spark, f"file://{tmp_path}").collect()
+    assert row["payload_digest"] == base32_sha1(body) and row["payload"] is None and row["payload_bytes"] is None
