@@ -41,11 +41,13 @@ def main(argv=None) -> dict:
     ap.add_argument("--snapshot-start", default=Params().snapshot_start_date)
     ap.add_argument("--threshold-days", type=int, default=Params().threshold_days)
     ap.add_argument("--expected-parts", nargs="*", default=list(Params().expected_parts))
-    ap.add_argument("--files-per-snapshot", type=int, default=4,
-                    help="files written per snapshot month of the panel")
-    ap.add_argument("--files-per-month", type=int, default=4, help="files written per invoice month of the clean table")
+    ap.add_argument("--files-per-snapshot", type=int, default=None,
+                    help="files written per snapshot month of the panel (default: by size)")
+    ap.add_argument("--files-per-month", type=int, default=None,
+                    help="files written per invoice month of the clean table (default: by size)")
     ap.add_argument("--test-start", default=Params().test_start_date, help="first snapshot of the test split")
     ap.add_argument("--as-of", default=None, help="date to score at (default: the first test snapshot)")
+    ap.add_argument("--customer", default=None, help="score this customer only")
     ap.add_argument("--trees", type=int, default=Params().model_params["n_estimators"])
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -56,9 +58,9 @@ def main(argv=None) -> dict:
     params = replace(Params(), test_start_date=args.test_start, threshold_days=args.threshold_days,
                      model_params={**Params().model_params, "n_estimators": args.trees})
     raw_t = TableTarget(f"{wh}/raw_transactions", empty_schema=RAW_SCHEMA)
-    # lines lie in folders by invoice month, so date-bounded reads skip later months
+    # lines lie in folders by invoice month, so date-bounded reads skip later months, and in each file by customer
     clean_t = TableTarget(f"{wh}/clean_transactions", partition_by=[MONTH_COLUMN],
-                          files_per_partition=args.files_per_month, empty_schema=CLEAN_SCHEMA)
+                          files_per_partition=args.files_per_month, empty_schema=CLEAN_SCHEMA, sort_by=["customer_id"])
     # the panel is laid out by snapshot month, so per-snapshot reads prune folders
     panel_t = TableTarget(f"{wh}/customer_snapshots", schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"],
                           files_per_partition=args.files_per_snapshot)
@@ -88,7 +90,7 @@ def main(argv=None) -> dict:
                                              TableTarget(f"{wh}/feature_importance"), params)
     if args.stage in ("scoring", "all"):
         out["scoring"] = run_scoring(spark, clean_t, model, TableTarget(f"{wh}/predictions", mode="append"),
-                                     args.as_of or params.test_start_date, params)
+                                     args.as_of or params.test_start_date, params, args.customer)
     if args.stage in ("drift", "all"):
         out["drift"] = run_drift(spark, panel_t, TableTarget(f"{wh}/drift_report"), params)
     release_scratch(spark)

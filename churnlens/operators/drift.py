@@ -22,12 +22,12 @@ from churnlens.schemas import FEATURE_COLUMNS
 PSI_EPSILON = 1e-4  # proportion used for a bin that is empty on one side
 
 
-def _missing(v: Column) -> Column:
+def is_missing(v: Column) -> Column:
     return v.isNull() | F.isnan(v)
 
 
-def _infinite(v: Column) -> Column:
-    return ~_missing(v) & (F.abs(v) == F.lit(float("inf")))
+def is_infinite(v: Column) -> Column:
+    return ~is_missing(v) & (F.abs(v) == F.lit(float("inf")))
 
 
 def value_histogram(baseline: DataFrame, current: DataFrame, columns=FEATURE_COLUMNS) -> DataFrame:
@@ -35,7 +35,7 @@ def value_histogram(baseline: DataFrame, current: DataFrame, columns=FEATURE_COL
     def long(df: DataFrame, side: str) -> DataFrame:
         wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
         v = F.col("value")
-        return (wide.unpivot([], list(columns), "feature", "value").filter(~_missing(v) & ~_infinite(v))
+        return (wide.unpivot([], list(columns), "feature", "value").filter(~is_missing(v) & ~is_infinite(v))
                 .select("feature", "value", F.lit(int(side == "b")).alias("nb"), F.lit(int(side == "c")).alias("nc")))
 
     return materialize(long(baseline, "b").unionByName(long(current, "c")).groupBy("feature", "value").agg(
@@ -108,11 +108,11 @@ def _moments(df: DataFrame, side: str) -> DataFrame:
     parts = []
     for c in FEATURE_COLUMNS:
         v = F.col(c)
-        x = F.when(~_missing(v) & ~_infinite(v), v)
+        x = F.when(~is_missing(v) & ~is_infinite(v), v)
         parts.append(F.struct(
             F.lit(c).alias("feature"), F.avg(x).alias(f"mean_{side}"), F.stddev_samp(x).alias(f"std_{side}"),
-            F.when(n > 0, F.count_if(_missing(v)).cast("double") / n).alias(f"null_rate_{side}"),
-            F.count_if(_infinite(v)).alias(f"n_non_finite_{side}")))
+            F.when(n > 0, F.count_if(is_missing(v)).cast("double") / n).alias(f"null_rate_{side}"),
+            F.count_if(is_infinite(v)).alias(f"n_non_finite_{side}")))
     return wide.agg(F.array(*parts).alias("_all")).select(F.inline("_all"))
 
 

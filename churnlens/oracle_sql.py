@@ -484,3 +484,9 @@ SELECT feature, round(a, 6) AS mean_abs_contribution, round(m, 6) AS mean_contri
 
 # the panel kept up to date by increments is the panel
 SQL["panel_increments"] = SQL["customer_snapshots"]
+SQL["table_replace_month"] = SQL["customer_snapshots"]
+
+# the same report, its sides being two months instead of the split's
+_TWO_MONTHS = f"""sp AS (SELECT panel.*, CASE WHEN snapshot_date = TIMESTAMP '{P.as_of_date}' THEN 'train'
+                                 WHEN snapshot_date = TIMESTAMP '{P.test_start_date}' THEN 'test' END AS split FROM panel)"""
+SQL["drift_between_months"] = SQL["drift_report"].replace(SPLIT.strip(), _TWO_MONTHS)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from churnlens.functions.columns import MONTH_COLUMN, with_month
 from churnlens.operators import clean as C
 from churnlens.operators.drift import drift_report
-from churnlens.operators.features import customer_features
+from churnlens.operators.features import customer_features, single_customer_features
 from churnlens.operators.model import (append_predictions, batch_predictions, evaluate_model, load_model, save_model,
                                        train_churn_model)
 from churnlens.operators.shapley import baseline_point, global_importance
@@ -150,9 +150,12 @@ def run_explanation(spark: SparkSession, panel_target: TableTarget, model_path:
 
 
 def run_scoring(spark: SparkSession, clean_target: TableTarget, model_path: str, log_target: TableTarget,
-                as_of_date, params: Params) -> dict:
-    """Features at a date, scored by the saved model and appended to the prediction log."""
-    features = materialize(customer_features(clean_target.read(spark), as_of_date), "features")
+                as_of_date, params: Params, customer_id: str | None = None) -> dict:
+    """Features at a date, scored by the saved model and appended to the prediction log; of one customer only, if
+    it is named (in a table sorted by customer the scan skips what does not hold it)."""
+    clean = clean_target.read(spark)
+    features = materialize(customer_features(clean, as_of_date) if customer_id is None
+                           else single_customer_features(clean, customer_id, as_of_date), "features")
     before = log_target.read(spark).count() if log_target.exists(spark) else 0
     append_predictions(batch_predictions(load_model(model_path), features, as_of_date, params.risk_bands), log_target)
     return {"check": verify_row_count("predictions", log_target.read(spark).count(), before + features.count())}

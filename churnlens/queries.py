@@ -27,10 +27,11 @@ from churnlens.operators.metrics import confusion_at, pr_curve, pr_summary, rece
 from churnlens.operators.split import split_counts, temporal_split
 from churnlens.params import SYNTHETIC_PARAMS as P
 from churnlens.plans import snapshots as S
+from churnlens.plans.drift_months import MonthHistograms
 from churnlens.plans.increments import PanelStore
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
-from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA, RAW_SCHEMA
+from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA, RAW_SCHEMA, SNAPSHOT_SCHEMA
 from churnlens.session import materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import list_parts, load_parts, part_row_counts
@@ -207,6 +208,16 @@ def q_table_replace(spark, sf):
     return target.read(spark)
 
 
+def q_table_replace_month(spark, sf):
+    """U21 for one folder: a panel with one month spoilt, which is then replaced; all other months stay by reference."""
+    _, panel, _ = _panel_persisted(spark, sf)
+    target = TableTarget(scratch_path(spark, "replace_month"), schema=SNAPSHOT_SCHEMA, partition_by=["snapshot_date"])
+    hit = F.col("snapshot_date") == ntz(P.as_of_date)
+    target.write(panel.withColumn("is_churned", F.when(hit, ~F.col("is_churned")).otherwise(F.col("is_churned"))))
+    target.replace_parts(panel.filter(hit))
+    return target.read(spark)
+
+
 def q_table_append(spark, sf):
     """Two appends keep both frames."""
     clean = _clean_persisted(spark, sf)
@@ -323,6 +334,14 @@ def q_drift_report(spark, sf):
     return out.withColumns({c: round_significant(F.col(c)) for c in out.columns if c.startswith(("mean_", "std_"))})
 
 
+def q_drift_between_months(spark, sf):
+    """D8 between two stored months, from their value counts alone."""
+    store = MonthHistograms(scratch_path(spark, "month_histograms"))
+    store.update(_panel_persisted(spark, sf)[1])
+    out = store.report(spark, [P.as_of_date], [P.test_start_date], P.drift_bins).withColumn("psi", F.round("psi", 9))
+    return out.withColumns({c: round_significant(F.col(c)) for c in out.columns if c.startswith(("mean_", "std_"))})
+
+
 # One model per application and source folder, as a job would keep it: trained by the first
 # query that needs it, saved, and loaded by the others.
 _MODELS: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
@@ -473,6 +492,7 @@ QUERIES: dict[str, Query] = {
     "population_parity": q_population_parity,
     "rowcount_check": q_rowcount_check,
     "table_replace": q_table_replace,
+    "table_replace_month": q_table_replace_month,
     "table_append": q_table_append,
     "append_new_fields": q_append_new_fields,
     "refused_inputs": q_refused_inputs,
@@ -493,6 +513,7 @@ QUERIES: dict[str, Query] = {
     "shapley_formula": q_shapley_formula,
     "importance_formula": q_importance_formula,
     "drift_report": q_drift_report,
+    "drift_between_months": q_drift_between_months,
     "batch_predictions": q_batch_predictions,
     "streaming_predictions": q_streaming_predictions,
     "confusion_counts": q_confusion_counts,

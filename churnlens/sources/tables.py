@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _MODES = ("replace", "append")
-_VERSION = "v-"
+_VERSION = "_v="  # read as a partition column where a table spans versions
 _POINTER = "_CURRENT"
 _FIELDS = "_FIELDS"
+_PARTS = "_PARTS"
 SYNTHETIC_KEY = "_id"
 
 
@@ -26,6 +27,8 @@ class TableTarget:
     the other, also when a writer dies half-way; nothing is copied. The
     version before is kept for frames that still read it, older ones are
     deleted. An empty input leaves an empty table that keeps its schema.
+    ``replace_parts`` replaces some folders of a table laid out by one column in the same way: the new version holds
+    them alone and refers to the versions before for all others, which are neither read nor copied.
     ``append`` adds rows and keeps history; rows may gain fields, which are noted in a small file beside the data, so
     every field of every append is read back (null where an append had none). A field that comes back with another type, or in
     another case, is an error, and nothing is written. Appends that add fields must not run at the same time. Spark tasks write their
@@ -34,13 +37,18 @@ class TableTarget:
 
     def __init__(self, path: str, mode: str = "replace", fmt: str = "parquet",
                  schema: T.StructType | None = None, partition_by: list[str] | None = None,
-                 files_per_partition: int | None = None, empty_schema: T.StructType | None = None):
+                 files_per_partition: int | None = None, empty_schema: T.StructType | None = None,
+                 sort_by: list[str] | None = None, options: Mapping[str, str] | None = None):
         """``partition_by`` lays the table out in folders by those columns;
         declare ``schema`` with it, so partition values are typed from the
         schema (an inferred timestamp would be read as a zone-aware one).
         ``files_per_partition`` spreads each partition value over that many
         hash buckets before writing: a bounded number of files per folder,
-        without sending a whole partition value through one task.
+        without sending a whole partition value through one task. Without it the files
+        follow the size: rows are rebalanced by the partition columns, so adaptive execution splits a large
+        partition value over tasks of the session's advisory size and joins small ones.
+        ``sort_by`` sorts the rows of each file and gives it a Bloom filter on those columns, so a reader of a few of
+        their values skips the rest of the files. ``options`` go to the writer.
         ``empty_schema`` is what a table never written reads as, where the
         written one keeps the types of its source."""
         if mode not in _MODES:
@@ -52,6 +60,8 @@ class TableTarget:
         self.partition_by = partition_by or []
         self.files_per_partition = files_per_partition
         self.empty_schema = empty_schema or schema
+        self.sort_by = sort_by or []
+        self.options = dict(options or {})
 
     @classmethod
     def from_config(cls, config: Mapping) -> "TableTarget":
@@ -79,10 +89,46 @@ class TableTarget:
                     self._put(spark, location, _FIELDS, merged.json())  # first: a field without rows yet reads as null
             self._writer(df).mode("append").save(location)
             return
+        self._publish(spark, self._write_version(df))
+
+    def _write_version(self, df: DataFrame) -> str:
         version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         self._writer(df).mode("errorifexists").save(f"{self.path.rstrip('/')}/{version}")
+        return version
+
+    def replace_parts(self, df: DataFrame) -> None:
+        """Replace the partition values that ``df`` holds; all others stay as they are, by reference. A reader sees
+        the table before or after, never a mix. Only for a replaced table with a declared schema that is laid out by
+        one column; such writes must not run at the same time. An empty frame changes nothing."""
+        if self.mode != "replace" or self.schema is None or len(self.partition_by) != 1:
+            raise ValueError("parts are replaced in a table of mode 'replace' with a declared schema and one partition column")
+        spark = df.sparkSession
+        before = self._current(spark)
+        if before is None and self.exists(spark):
+            raise ValueError(f"the table at {self.path} was not written by versions")
+        version = self._write_version(df)
+        parts = {**self._parts(spark, before), **{folder: version for folder in self._folders(spark, version)}}
+        self._put(spark, f"{self.path.rstrip('/')}/{version}", _PARTS, json.dumps(parts))
         self._publish(spark, version)
 
+    def _folders(self, spark: SparkSession, version: str) -> list[str]:
+        """Names of a version's partition folders."""
+        fs, root = hadoop_path(spark, f"{self.path.rstrip('/')}/{version}")
+        names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()]
+        return [n for n in names if n.startswith(f"{self.partition_by[0]}=")]
+
+    def _parts(self, spark: SparkSession, version: str | None) -> dict[str, str]:
+        """The version that holds each partition folder of ``version``."""
+        if version is None:
+            return {}
+        text = self._get(spark, f"{self.path.rstrip('/')}/{version}", _PARTS)
+        return json.loads(text) if text else {folder: version for folder in self._folders(spark, version)}
+
+    def _held(self, spark: SparkSession, version: str | None) -> set[str]:
+        """The versions whose files ``version`` reads."""
+        text = None if version is None else self._get(spark, f"{self.path.rstrip('/')}/{version}", _PARTS)
+        return {version} | (set(json.loads(text).values()) if text else set())
+
     def _put(self, spark: SparkSession, folder: str, name: str, text: str) -> None:
         """Replace a small file in one rename."""
         fs, root = hadoop_path(spark, folder)
@@ -122,10 +168,11 @@ class TableTarget:
         """Make ``version`` the table: the pointer is replaced in one rename."""
         fs, root = hadoop_path(spark, self.path)
         before = self._current(spark)
+        keep = self._held(spark, version) | self._held(spark, before)
         self._put(spark, self.path, _POINTER, version)
         for status in fs.listStatus(root):
             name = status.getPath().getName()
-            if name.startswith(_VERSION) and name not in (version, before):
+            if name.startswith(_VERSION) and name not in keep:
                 fs.delete(status.getPath(), True)
 
     def _current(self, spark: SparkSession) -> str | None:
@@ -142,7 +189,14 @@ class TableTarget:
             others = [F.col(f"`{c}`") for c in df.columns if c not in self.partition_by]
             bucket = F.pmod(F.xxhash64(*others), F.lit(int(self.files_per_partition)))
             df = df.repartition(*[F.col(c) for c in self.partition_by], bucket)
+        elif self.partition_by:
+            df = df.hint("rebalance", *[F.col(c) for c in self.partition_by])
+        if self.sort_by:
+            df = df.sortWithinPartitions(*self.partition_by, *self.sort_by)
         writer = df.write.format(self.fmt)
+        for c in self.sort_by if self.fmt == "parquet" else ():
+            writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer = writer.options(**self.options)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         return writer
@@ -163,7 +217,17 @@ class TableTarget:
             schema = self._fields(spark, location)
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.load(location)
+        parts = self._get(spark, location, _PARTS) if self.schema is not None and self.partition_by else None
+        if parts is not None:  # folders of several versions, in one scan
+            root = self.path.rstrip("/")
+            found = [f"{root}/{version}/{folder}" for folder, version in sorted(json.loads(parts).items())]
+            if not found:
+                return spark.createDataFrame([], self.schema)
+            reader = (spark.read.format(self.fmt).option("basePath", root)
+                      .schema(T.StructType([*self.schema.fields, T.StructField(_VERSION[:-1], T.StringType())])))
+            df = reader.load(found)
+        else:
+            df = reader.load(location)
         if schema is not None:  # partition columns come last from the reader
             return df.select(*[F.col(f"`{c}`") for c in schema.names if self.schema is not None or c != SYNTHETIC_KEY])
         # a store-assigned synthetic key is never part of the table
