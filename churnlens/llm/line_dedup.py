@@ -3,7 +3,9 @@
 Per host, a line is boilerplate when the share of the host's pages that hold it
 exceeds a ratio. Lines are counted once per page as 128-bit hashes, pre-aggregated
 before the shuffle; the boilerplate of a host is a short list (at most lines per
-page / ratio entries), which meets the host's pages under salted keys.
+page / ratio entries). The lists are written, so the planner knows their size: small, they go to
+the pages, which stay where they lie; else pages and lists meet by host in a plain join, whose
+hot hosts AQE splits.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnlens.session import materialize
+
 from .common import text_of
 
 _EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -21,7 +25,7 @@ def _line_key(line: Column) -> Column:
 
 
 def drop_boilerplate(pages: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                     ratio: float = 0.1, min_pages: int = 3, salts: int = 32) -> DataFrame:
+                     ratio: float = 0.1, min_pages: int = 3) -> DataFrame:
     """One row per page: id, host, ``n_lines``, ``n_dropped``, ``kept_text``.
 
     Lines are what newlines separate, compared without the white space at their ends.
@@ -41,10 +45,8 @@ def drop_boilerplate(pages: DataFrame, id_col: str = "doc_id", text_col: str = "
     hosts = rows.groupBy(F.col("_host").alias("_of")).agg(F.count(F.lit(1)).alias("_pages"))
     boiler = (counted.join(hosts, F.col("_host").eqNullSafe(F.col("_of")))
               .filter(F.col("_n") > F.lit(float(ratio)) * F.col("_pages"))
-              .groupBy("_of").agg(F.collect_list("_key").alias("_boiler"))
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    salted = rows.withColumn("_at", F.pmod(F.xxhash64("_id", F.length("_text")), F.lit(salts)).cast("int"))
-    out = salted.join(boiler, F.col("_host").eqNullSafe(F.col("_of")) & (F.col("_at") == F.col("_salt")), "left")
+              .groupBy("_of").agg(F.collect_list("_key").alias("_boiler")))
+    out = rows.join(materialize(boiler, "boilerplate"), F.col("_host").eqNullSafe(F.col("_of")), "left")
     keep = F.filter(lines, lambda x: F.coalesce(
         (bare(x) == "") | ~F.array_contains(F.col("_boiler"), _line_key(bare(x))), F.lit(True)))
     out = out.select("_id", "_host", F.size(lines).alias("n_lines"), keep.alias("_kept"))

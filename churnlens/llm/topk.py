@@ -37,7 +37,7 @@ def threshold_topk(query: np.ndarray, values: np.ndarray, order: np.ndarray, ids
                    skip: np.ndarray | None = None, first_depth: int = 16) -> tuple[np.ndarray, np.ndarray]:
     """(row, score) of the k best rows of ``values`` (n x d) for one query, ties to the
     smaller id. ``order[:, j]`` lists the rows by ascending value in dimension j.
-    ``skip`` marks rows that take no part. The depth doubles from step to step."""
+    ``skip`` marks rows that take no part. The depth grows fourfold from step to step."""
     n = len(values)
     used = np.flatnonzero(query)
     seen = np.zeros(n, bool) if skip is None else skip.copy()

@@ -19,3 +19,27 @@ def test_awkward_rows(spark):
     out = sorted(((r["doc_id"] or 0), r["n_lines"], r["n_dropped"], r["kept_text"]) for r in drop_boilerplate(docs).collect())
     assert out == [(0, 3, 0, "a\na\na"), (1, 1, 0, ""), (1, 1, 0, ""), (2, 1, 0, "")]
     assert drop_boilerplate(docs.limit(0)).collect() == []
+
+
+def test_lists_joined_by_host_split_as_broadcast(spark):
+    """The same rows whether the lists are small enough to go to the pages or not; a hot host, ties at the ratio."""
+    rows = [(i, f"top\nx {i}\nshared {i % 7}", "hot" if i % 3 else f"h{i % 11}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    plain = sorted(map(tuple, drop_boilerplate(docs).collect()))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = drop_boilerplate(docs)
+        assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, out.collect())) == plain
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    pages = {}
+    for i, text, host in rows:
+        pages.setdefault(host, []).append((i, text.split("\n")))
+    want = {}
+    for host, held in pages.items():
+        for i, lines in held:
+            gone = [x for x in lines if (n := sum(x in other for _, other in held)) >= 3 and n > 0.1 * len(held)]
+            want[i] = "\n".join(x for x in lines if x not in gone)
+    assert {r[0]: r[4] for r in plain} == want and any("top" not in t for t in want.values())
