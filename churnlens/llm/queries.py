@@ -38,9 +38,10 @@ def warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of a tree: source / thousands / hundreds of the id / id."""
-    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.floor(F.col("doc_id") / 1000).cast("string"),
-                       F.floor(F.col("doc_id") / 100 % 10).cast("string"), F.col("doc_id").cast("string"))
+    """Documents as files of a tree of three depths: source / thousands / hundreds of the id / id; ids divisible by ten
+    lie in the folder of the thousands, those divisible by fifty in that of the source."""
+    path = F.concat_ws("/", F.coalesce("source", F.lit("")), F.expr("if(doc_id % 50 != 0, cast(doc_id div 1000 AS string), null)"),
+                       F.expr("if(doc_id % 10 != 0, cast(doc_id div 100 % 10 AS string), null)"), F.col("doc_id").cast("string"))
     return scan_licenses(read_table(spark, sf_dir, "documents").withColumn("path", path))
 
 

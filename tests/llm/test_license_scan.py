@@ -1,10 +1,14 @@
 import math
+import re
 import textwrap
+from collections import Counter
 
 import pytest
 
+from churnlens.llm.common import read_table
 from churnlens.llm.license_scan import (FULL_TEXTS, HEADERS, TEMPLATES, Matcher, full_texts, header_blocks, scan_licenses,
                                         words_of)
+from churnlens.llm.queries import QUERIES
 
 MIT = "Released under the MIT License."
 APACHE = "Licensed under the Apache License, Version 2.0."
@@ -95,3 +99,62 @@ def test_blocks_of_lines():
     bare, ranges = header_blocks(lines)
     assert ranges == {(0, 2), (0, 4), (5, 7), (9, 12)} and bare[0].strip() == "a" and bare[8].strip() == "f"
     assert header_blocks([""]) == ([""], set())
+
+
+def plain_scan(files):
+    """{id: (license, own score, from, directory)}, every text compared with every template, every ancestor walked."""
+    words = lambda t: re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", t.lower())
+    kinds = [{k: TEMPLATES.get(k, []) + HEADERS.get(k, []) for k in {**TEMPLATES, **HEADERS}}, full_texts()]
+    known = {w for kind in kinds for texts in kind.values() for t in texts for w in words(t)}
+    held = Counter(w for _, _, text in files for w in set(words(text)) & known)
+    idf = lambda w: math.log((1 + len(files)) / (1 + held[w])) + 1
+
+    def vector(found):
+        v = {w: (1 + math.log(c)) * idf(w) for w, c in Counter(found).items()}
+        return v, math.sqrt(sum(x * x for x in v.values()))
+
+    flat = [[(name, *vector(words(t))) for name in sorted(kind) for t in kind[name]] for kind in kinds]
+
+    def best(found, kind):
+        if not known & set(found):
+            return 0.0, ""
+        v, size = vector(found)
+        scores = [(round(sum(x * u.get(w, 0.0) for w, x in v.items()) / (size * n), 12), name) for name, u, n in flat[kind]]
+        return max(scores, key=lambda x: x[0])  # the first name of equal ones
+
+    own, folders = {}, {}
+    for d, path, text in files:
+        lines = text.split("\n")
+        bare, ranges = header_blocks(lines)
+        units = [words(text), *map(words, lines)] + [words("\n".join(bare[i:j])) for i, j in ranges if (i, j) != (0, len(lines))]
+        short, full = (max(best(u, kind) for u in units) for kind in (0, 1))
+        score, name = full if full[0] >= 0.75 else max(short, full)
+        own[d] = (name if score >= 0.75 else None, score)
+        if path is not None and max(best(units[0], 0), best(units[0], 1))[0] >= 0.75:
+            folders.setdefault(path.rpartition("/")[0], []).append((-score, name))
+    out = {}
+    for d, path, _ in files:
+        name, score = own[d]
+        at, where = path.rpartition("/")[0], None
+        while name is None and where is None:
+            if at in folders:
+                where, name = at, min(folders[at])[1]
+            elif not at:
+                break
+            else:
+                at = at.rpartition("/")[0]
+        out[d] = (name, score, None if name is None else "own" if where is None else "inherited", where)
+    return out
+
+
+def test_query_equals_a_plain_scan(spark):
+    small = "/root/testdata/sf0.001"
+    got = {r["doc_id"]: r for r in QUERIES["op4_license_scan"](spark, small).collect()}
+    texts = {r["doc_id"]: r["text"] or "" for r in read_table(spark, small, "documents").collect()}
+    assert len({r["path"].count("/") for r in got.values()}) == 3
+    want = plain_scan([(d, got[d]["path"], text) for d, text in texts.items()])
+    assert got.keys() == want.keys() and any(name for name, *_ in want.values())
+    for d, (name, score, source, where) in want.items():
+        r = got[d]
+        assert (r["license"], r["license_from"], r["inherited_dir"]) == (name, source, where), d
+        assert r["own_score"] == pytest.approx(score, abs=1e-9)
