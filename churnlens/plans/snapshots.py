@@ -19,12 +19,14 @@ computed by column arithmetic (no join with the calendar):
 
 The "range" plan gives every line to every later snapshot (the snapshots of
 a line are a run of months, so they are generated, not joined) and aggregates
-per (customer, T). Its cost grows with lines x snapshots; it is the
-cross-check of the bucketed plan and no job runs it.
+per (customer, T), all in the task that holds the customer. Its time grows with
+lines x snapshots and with the hottest customer; it is the cross-check of the
+bucketed plan and no job runs it.
 """
 
 from __future__ import annotations
 
+import math
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +38,9 @@ from churnlens.plans.calendar import Calendar, calendar_for, calendar_frame
 from churnlens.schemas import SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
 
 
+RANGE_TASK_LINES = 250_000  # lines of a task of the range plan
+
+
 def _days(n: int) -> Column:
     return F.make_dt_interval(F.lit(int(n)))
 
@@ -169,39 +174,45 @@ def _at_snapshots(df: DataFrame, cal: Calendar, first: Column) -> DataFrame:
 
 
 def snapshot_panel_range(clean: DataFrame, cal: Calendar) -> DataFrame:
-    """U14, range plan: every line at every snapshot it can affect."""
+    """U14, range plan: every line at every snapshot it can affect.
+
+    Lines are moved once, to the task of their customer, and only there repeated and aggregated, so what is shuffled grows
+    with the lines and not with lines x snapshots. The number of tasks follows the lines (they are counted).
+    """
     if cal.n_usable == 0:
         return _empty_panel(clean)
     ts = F.col("invoice_date")
     t = F.col("T")
-    lines = _relevant_lines(clean, cal)
     money = Money(clean)
+    lines = _relevant_lines(clean, cal)
+    tasks = max(1, math.ceil(lines.count() / RANGE_TASK_LINES))
+    lines = lines.select("customer_id", "invoice", "stock_code", "invoice_date", F.coalesce(is_real(), F.lit(False)).alias("real"),
+                         money.line_value().alias("value"), "has_non_positive_quantity").repartition(tasks, "customer_id")
+    real = F.col("real")
+
+    # distinct counts as plain counts: a key counts at T iff its first real line is before T (no distinct
+    # aggregation over the repeated rows)
+    def first_of(key: str) -> Column:
+        seen = Window.partitionBy("customer_id", key).orderBy(real.desc(), ts)
+        return (F.row_number().over(seen) == 1) & real & F.col(key).isNotNull()
+
+    lines = lines.withColumns({"new_invoice": first_of("invoice"), "new_product": first_of("stock_code")})
     # the first snapshot with ts <= T + N: snapshots strictly before ts - N come earlier
     back = _bucket_columns(cal, ts - _days(cal.threshold_days))
-    joined = _at_snapshots(lines, cal, back["g"] - back["on_boundary"].cast("int"))
+    joined = _at_snapshots(lines.drop("invoice", "stock_code"), cal, back["g"] - back["on_boundary"].cast("int"))
     before = ts < t
-    real_before = before & is_real()
+    real_before = before & real
     agg = joined.groupBy("customer_id", "T").agg(
         F.count_if(real_before).alias("n_real"),
         F.max(F.when(real_before, ts)).alias("last_real_ts"),
         F.min(F.when(real_before, ts)).alias("first_real_ts"),
-        money.total(F.when(before, money.line_value())).alias("value_sum"),
+        money.total(F.when(before, F.col("value"))).alias("value_sum"),
         F.count_if(before).alias("n_lines"),
         F.count_if(before & F.col("has_non_positive_quantity")).alias("n_nonpos"),
-        F.bool_or((ts > t) & is_real()).alias("_returned"),
+        F.count_if(before & F.col("new_invoice")).alias("n_invoices"),
+        F.count_if(before & F.col("new_product")).alias("n_products"),
+        F.bool_or((ts > t) & real).alias("_returned"),
     ).filter(F.col("n_real") > 0)
-
-    # distinct counts as plain counts: a key counts at T iff its first real
-    # line is before T (no distinct aggregation over the joined rows)
-    def distinct_before(key: str, out: str) -> DataFrame:
-        firsts = (lines.filter(is_real() & F.col(key).isNotNull())
-                  .groupBy("customer_id", key).agg(F.min("invoice_date").alias("_seen")))
-        return (_at_snapshots(firsts, cal, _bucket_columns(cal, F.col("_seen"))["g"])
-                .groupBy("customer_id", "T").agg(F.count(F.lit(1)).alias(out)))
-
-    agg = (agg.join(distinct_before("invoice", "n_invoices"), ["customer_id", "T"], "left")
-           .join(distinct_before("stock_code", "n_products"), ["customer_id", "T"], "left")
-           .fillna(0, ["n_invoices", "n_products"]))
     out = finish_features(agg.withColumnRenamed("T", "snapshot_date"), F.col("snapshot_date"), money)
     return out.withColumn("is_churned", ~F.coalesce(F.col("_returned"), F.lit(False))).select(*SNAPSHOT_COLUMNS)
 

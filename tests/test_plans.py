@@ -82,3 +82,10 @@ def test_no_python_udf_in_plans(spark, name):
     p = plan(QUERIES[name](spark, SF))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
         assert marker not in p, (name, marker)
+
+
+def test_range_plan_moves_lines_once(clean):
+    cal = calendar_for(clean, "1996-01-01", 134)
+    p = plan(S.snapshot_panel_range(clean, cal))
+    assert p.count("Exchange") == p.count("Exchange hashpartitioning(customer_id") == 1
+    assert p.index("Exchange hashpartitioning(customer_id") > p.index("Generate")  # plans print from the result down
