@@ -8,7 +8,7 @@ computed by column arithmetic (no join with the calendar):
 
   g = #{snapshots T_i <= ts}  (the line counts for every snapshot j >= g)
 
-1. partial aggregates per (customer, g) -- map-side combined, so a hot
+1. sums per (customer, g) -- map-side combined with 2, so a hot
    customer ships one row per bucket per map task;
 2. exact distinct counts without re-reading: per (customer, invoice) and
    (customer, stock_code) the first bucket a real line appears in;
@@ -89,24 +89,20 @@ def snapshot_panel(clean: DataFrame, cal: Calendar) -> DataFrame:
              .withColumns(_bucket_columns(cal)))
     real = F.col("real")
 
-    # 1. partials per (customer, bucket)
-    per_bucket = lines.groupBy("customer_id", "g").agg(
-        F.count_if(real).alias("n_real"),
-        money.total(F.col("value")).alias("value_sum"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.count_if(F.col("has_non_positive_quantity")).alias("n_nonpos"),
-        F.max(F.when(real, ts)).alias("max_real"),
-        F.min(F.when(real, ts)).alias("min_real"),
-        F.min(F.when(real & ~F.col("on_boundary"), ts)).alias("min_real_strict"),
-    )
+    # 1. what each line adds to its (customer, bucket)
+    added = lines.select(
+        "customer_id", "g", real.cast("bigint").alias("n_real"), F.col("value").alias("value_sum"), F.lit(1).cast("bigint").alias("n_lines"),
+        F.col("has_non_positive_quantity").cast("bigint").alias("n_nonpos"), F.when(real, ts).alias("max_real"),
+        F.when(real, ts).alias("min_real"), F.when(real & ~F.col("on_boundary"), ts).alias("min_real_strict"))
 
     # 2. first-seen bucket of each distinct invoice / stock code (real lines)
     def first_seen(key: str, out: str) -> DataFrame:
         return (lines.filter(real & F.col(key).isNotNull())
                 .groupBy("customer_id", key).agg(F.min("g").alias("g"))
-                .groupBy("customer_id", "g").agg(F.count(F.lit(1)).alias(out)))
+                .select("customer_id", "g", F.lit(1).cast("bigint").alias(out)))
 
-    partials = (per_bucket
+    # summed together: combined in the tasks that hold the lines and the pairs, then moved once
+    partials = (added
                 .unionByName(first_seen("invoice", "n_new_invoices"), allowMissingColumns=True)
                 .unionByName(first_seen("stock_code", "n_new_products"), allowMissingColumns=True)
                 .groupBy("customer_id", "g").agg(
