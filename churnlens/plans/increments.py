@@ -59,7 +59,7 @@ class PanelStore:
         least = span["first"] - timedelta(days=self.threshold_days)
         least = min(least, known.last_usable) if known is not None and known.n_usable else cal.first
         panel = panel_of_partials(self._partials(merged, cal), cal, money) if cal.n_usable else spark.createDataFrame([], SNAPSHOT_SCHEMA)
-        panel = panel.filter(F.col("snapshot_date") >= ntz(least)).repartition("snapshot_date")
+        panel = panel.filter(F.col("snapshot_date") >= ntz(least)).hint("rebalance", "snapshot_date")  # a large month goes to several tasks
         writer = panel.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot_date")
         writer.parquet(f"{self.path}/panel")
         log.info("batch %s: months from %s on are written.", batch, least)
@@ -115,11 +115,12 @@ class PanelStore:
         total = F.try_sum("value_sum") if dict(state.dtypes)["value_sum"] == "bigint" else F.sum("value_sum")
         held = F.when(F.count("value_sum") > 0, F.coalesce(total, F.raise_error(F.lit("sum of line values beyond a long")).cast(
             state.schema["value_sum"].dataType)))
-        partials = sums.groupBy("customer_id", capped).agg(
-            F.sum("n_real").alias("n_real"), held.alias("value_sum"), F.sum("n_lines").alias("n_lines"), F.sum("n_nonpos").alias("n_nonpos"),
-            F.max("max_real").alias("max_real"), F.min("min_real").alias("min_real"), F.min("min_real_strict").alias("min_real_strict"))
-        for kind, out in (("invoice", "n_new_invoices"), ("stock_code", "n_new_products")):
-            firsts = (state.filter(F.col("kind") == kind).groupBy("customer_id", "key").agg(F.min("g").alias("g"))
-                      .groupBy("customer_id", capped).agg(F.count(F.lit(1)).alias(out)))
-            partials = partials.join(firsts, ["customer_id", "g"], "left")
-        return partials
+        held = held.alias("value_sum")
+        firsts = state.filter("kind <> 'lines'").groupBy("kind", "customer_id", "key").agg(F.min("g").alias("g"))
+        one = lambda kind, out: F.when(F.col("kind") == kind, F.lit(1)).cast("bigint").alias(out)
+        firsts = firsts.select("customer_id", "g", one("invoice", "n_new_invoices"), one("stock_code", "n_new_products"))
+        # each pair's bucket holds lines of its customer, so the pairs add no bucket
+        return sums.unionByName(firsts, allowMissingColumns=True).groupBy("customer_id", capped).agg(
+            F.sum("n_real").alias("n_real"), held, F.sum("n_lines").alias("n_lines"), F.sum("n_nonpos").alias("n_nonpos"),
+            F.max("max_real").alias("max_real"), F.min("min_real").alias("min_real"), F.min("min_real_strict").alias("min_real_strict"),
+            F.sum("n_new_invoices").alias("n_new_invoices"), F.sum("n_new_products").alias("n_new_products"))
