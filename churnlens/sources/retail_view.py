@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.session import table_path
+from churnlens.session import bound_tasks, table_path
+from churnlens.sources.tables import file_bytes
 
 # Fixed planting rules (keyed on order key / part key / customer key).
 CANCEL_EVERY = 17        # o_orderkey % 17 == 0 -> cancellation invoice
@@ -42,6 +43,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _raw_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_tasks(spark, sum(file_bytes(spark, table_path(sf_dir, name)) for name in ("orders", "lineitem")))
     orders = _read(spark, sf_dir, "orders")
     customer = _read(spark, sf_dir, "customer")
     # Join strategies are left to the planner: it broadcasts a side only when

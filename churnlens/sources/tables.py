@@ -255,6 +255,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file, or of all files in a folder, from its listing."""
+    fs, jpath = hadoop_path(spark, path)
+    return int(fs.getContentSummary(jpath).getLength())
+
+
 def _overwrite(spark: SparkSession, jvm):
     """The one-element array of rename options that replaces a file."""
     options = spark.sparkContext._gateway.new_array(getattr(jvm, "Options$Rename"), 1)
