@@ -84,7 +84,8 @@ def test_no_python_udf_in_plans(spark, name):
         assert marker not in p, (name, marker)
 
 
-def test_range_plan_moves_lines_once(clean):
+def test_range_plan_moves_lines_once(clean, monkeypatch):
+    monkeypatch.setattr(S, "RANGE_TASK_LINES", 1000)
     cal = calendar_for(clean, "1996-01-01", 134)
     p = plan(S.snapshot_panel_range(clean, cal))
     assert p.count("Exchange") == p.count("Exchange hashpartitioning(customer_id") == 1
