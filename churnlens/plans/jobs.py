@@ -128,8 +128,7 @@ def run_training(spark: SparkSession, panel_target: TableTarget, model_path: str
     if metrics_target.mode != "append":
         raise ValueError("training metrics are a history: their table needs mode 'append'")
     split = temporal_split(panel_target.read(spark), params.test_start_date, params.threshold_days)
-    save_model(train_churn_model(split.filter("split = 'train'"), params.model_params,
-                                 max_fit_rows=params.max_fit_rows), model_path)
+    save_model(train_churn_model(split.filter("split = 'train'"), params.model_params), model_path)
     before = metrics_target.read(spark).count() if metrics_target.exists(spark) else 0
     metrics_target.write(evaluate_model(load_model(model_path), split.filter("split = 'test'"), params.model_params,
                                         params.min_precision))
