@@ -27,7 +27,7 @@ from churnlens.params import Params
 from churnlens.plans import snapshots as S
 from churnlens.plans.calendar import calendar_for
 from churnlens.schemas import FEATURE_COLUMNS, FLAG_COLUMNS, PANEL_REPORT_SCHEMA, VALIDATION_REPORT_SCHEMA, require_columns
-from churnlens.session import materialize
+from churnlens.session import freed_shuffles, materialize
 from churnlens.sources.parts import MALFORMED_COLUMN, PART_COLUMN, load_parts, verify_row_count
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 
@@ -110,7 +110,8 @@ def run_feature_engineering(spark: SparkSession, clean_target: TableTarget, pane
     panel_target.write(S.snapshot_panel(clean, cal))
     written = panel_target.read(spark)
     # one row per month reaches the driver
-    odd = S.population_parity(clean, written, cal).filter("n_only_features > 0 OR n_only_labels > 0").collect()
+    with freed_shuffles(spark):
+        odd = S.population_parity(clean, written, cal).filter("n_only_features > 0 OR n_only_labels > 0").collect()
     if odd:
         raise ValueError("the panel's population is not that of the labels at "
                          + ", ".join(f"{r['snapshot_date']:%Y-%m-%d} ({r['n_only_features']} only in the panel, "

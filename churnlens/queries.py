@@ -32,7 +32,7 @@ from churnlens.plans.increments import PanelStore
 from churnlens.plans.calendar import calendar_for, calendar_frame
 from churnlens.plans.jobs import run_feature_engineering, run_ingestion, run_validation, verification_frame
 from churnlens.schemas import FEATURE_COLUMNS, PANEL_REPORT_SCHEMA, RAW_SCHEMA, SNAPSHOT_SCHEMA
-from churnlens.session import materialize, scratch_path
+from churnlens.session import drop_scratch, materialize, scratch_path
 from churnlens.sources.tables import TableTarget, read_report_json, write_report_json
 from churnlens.sources.parts import list_parts, load_parts, part_row_counts
 from churnlens.sources.retail_view import export_raw_parts, raw_by_part, raw_transactions_from_tables
@@ -189,10 +189,11 @@ def q_population_parity(spark, sf):
 def q_rowcount_check(spark, sf):
     """The three jobs end to end, each table re-read and counted."""
     base = scratch_path(spark, "jobs")
-    raw_t = TableTarget(f"{base}/raw_transactions")
-    clean_t = TableTarget(f"{base}/clean_transactions")
-    panel_t = TableTarget(f"{base}/customer_snapshots")
-    a = run_ingestion(spark, _exported_parts(spark, sf), P.expected_parts, raw_t)
+    raw_t, clean_t, panel_t = (TableTarget(f"{base}/{name}", options={"compression": "zstd"})
+                               for name in ("raw_transactions", "clean_transactions", "customer_snapshots"))
+    root = export_raw_parts(spark, sf, P.expected_parts, scratch_path(spark, "raw_export"))
+    a = run_ingestion(spark, list_parts(spark, root), P.expected_parts, raw_t)
+    drop_scratch(spark, root)  # the raw table holds its rows by now, and nothing reads it again
     b = run_validation(spark, raw_t, clean_t, f"{base}/validation_report", P.reference_date)
     c = run_feature_engineering(spark, clean_t, panel_t, f"{base}/feature_engineering_report",
                                 P.snapshot_start_date, P.threshold_days)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnlens.session import bound_tasks, table_path
+from churnlens.session import bound_tasks, freed_shuffles, table_path
 from churnlens.sources.tables import file_bytes
 
 # Fixed planting rules (keyed on order key / part key / customer key).
@@ -120,5 +120,7 @@ def export_raw_parts(spark: SparkSession, sf_dir: str, names: tuple[str, str], r
                      split_year: int = 1998) -> str:
     """Write the raw log once as a folder of named parts (``part=<name>``
     sub-folders), the layout a source export arrives in. Returns ``root``."""
-    raw_by_part(spark, sf_dir, names, split_year).write.mode("overwrite").partitionBy("part").parquet(root)
+    rows = raw_by_part(spark, sf_dir, names, split_year)
+    with freed_shuffles(spark):
+        rows.write.mode("overwrite").partitionBy("part").parquet(root)
     return root

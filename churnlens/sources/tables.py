@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnlens.session import freed_shuffles
+
 _MODES = ("replace", "append")
 _VERSION = "_v="  # read as a partition column where a table spans versions
 _POINTER = "_CURRENT"
@@ -87,13 +89,15 @@ class TableTarget:
                 merged = merged_fields(known, df.schema)
                 if merged != known:
                     self._put(spark, location, _FIELDS, merged.json())  # first: a field without rows yet reads as null
-            self._writer(df).mode("append").save(location)
+            with freed_shuffles(spark):
+                self._writer(df).mode("append").save(location)
             return
         self._publish(spark, self._write_version(df))
 
     def _write_version(self, df: DataFrame) -> str:
         version = f"{_VERSION}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        self._writer(df).mode("errorifexists").save(f"{self.path.rstrip('/')}/{version}")
+        with freed_shuffles(df.sparkSession):
+            self._writer(df).mode("errorifexists").save(f"{self.path.rstrip('/')}/{version}")
         return version
 
     def replace_parts(self, df: DataFrame) -> None:
@@ -270,7 +274,8 @@ def _overwrite(spark: SparkSession, jvm):
 
 def write_report_json(report: DataFrame, path: str) -> None:
     """A report is a one-row frame (structs and arrays of structs)."""
-    report.coalesce(1).write.mode("overwrite").json(path)
+    with freed_shuffles(report.sparkSession):
+        report.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_report_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
